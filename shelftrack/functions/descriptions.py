@@ -73,5 +73,4 @@ def publication_year(description: Column | str) -> Column:
 
 
 def _number(description: Column | str, pattern: str) -> Column:
-    """The matched digits; no match is an empty text, which casts to NULL."""
-    return F.regexp_extract(as_column(description), pattern, 1).try_cast("int")
+    return first_match(description, pattern).try_cast("int")

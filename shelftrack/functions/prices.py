@@ -22,7 +22,7 @@ def parse_price(c: Column | str) -> Column:
     Every step uses the one before it once: the expression stays linear and
     compiles well whatever it is applied to. The decimal mark is first turned
     into a semicolon, commas before dots; then separators up to it are dropped.
-    Text without digits, ``None`` included, casts to NULL.
+    Text without digits, ``None`` included, is NULL.
     """
     kept = F.regexp_replace(as_column(c), fixed.PRICE_NOISE, "")
     comma_marked = F.regexp_replace(kept, rf"^([^,]*),([^,]*)(?:,.*)?(?<={fixed.COMMA_DECIMALS})\z", "$1;$2")
@@ -30,4 +30,6 @@ def parse_price(c: Column | str) -> Column:
         comma_marked, rf"^([^.;]*)\.([^.;]*)(?:\.[^;]*)?(?<={fixed.DOT_DECIMALS})\z", "$1;$2"
     )
     ungrouped = F.regexp_replace(marked, r"\G([^.,;]*)[.,]", "$1")
-    return F.translate(ungrouped, ";", ".").try_cast(PRICE_TYPE)
+    number = F.translate(ungrouped, ";", ".")
+    # A failing cast is costly, and most failures are texts without any digit.
+    return F.nullif(number, F.lit("")).try_cast(PRICE_TYPE)

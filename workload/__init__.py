@@ -1,0 +1,6 @@
+"""Queries over the given tables, each with its reference SQL."""
+
+from workload import model_queries  # noqa: F401
+from workload.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

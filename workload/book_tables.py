@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelftrack import pin_utc
 from shelftrack.plans import marts
 from shelftrack.plans.warehouse import build_models
+from shelftrack.sources.tables import is_written, shared_folder, write_version
 
 CENTS = [
     "event_id",
@@ -100,11 +101,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table, typed as the loader leaves it."""
-    scans = table(spark, sf_dir, "events")
-    for step in (CENTS, DIGITS, PRICES, RAW_BOOKS):
-        scans = scans.selectExpr(*step)
-    return scans.withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
+    """The raw table, typed and stored as the loader leaves it; written once per session."""
+    path = f"{shared_folder(pin_utc(spark))}/{spark.sparkContext.applicationId}/raw{sf_dir.replace('/', '-')}"
+    if not is_written(spark, path):
+        scans = table(spark, sf_dir, "events")
+        for step in (CENTS, DIGITS, PRICES, RAW_BOOKS):
+            scans = scans.selectExpr(*step)
+        scans = scans.withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
+        tasks = spark.sparkContext.defaultParallelism
+        # A small input is one file; a large one already has a task per block.
+        if scans.rdd.getNumPartitions() < tasks:
+            scans = scans.repartition(tasks)
+        write_version(scans, path)
+    return spark.read.parquet(path)
 
 
 def last_day(events: DataFrame, column: str = "ts") -> Column:
