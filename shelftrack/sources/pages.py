@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelftrack import fixed_values as fixed
 from shelftrack.functions.text import default_empty
@@ -33,7 +34,7 @@ def select_fields(
     names = list(fields)
     schema = pages.select(*keep).schema
     for name in names:
-        schema = schema.add(name, "array<string>")
+        schema = schema.add(name, T.ArrayType(T.StringType()))
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

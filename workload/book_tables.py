@@ -75,7 +75,7 @@ RAW_BOOKS = [
     "ELSE 'knjige/' || cast(user_id as string) END AS book_link",
     "CASE WHEN user_id % 6 = 0 THEN NULL ELSE ' Oblast ' || cast(user_id % 6 as string) END AS category",
     _price_text("old", 0) + " AS old_price",
-    _price_text("new", 3) + " AS discount_price",
+    _price_text("new", 2) + " AS discount_price",
     "'RSD' AS currency",
     "' o''kuća-' || event_type || ' d.o.o. ŠABAC' AS publisher",
     "CASE event_id % 7 "

@@ -51,10 +51,10 @@ def weekend_orders(spark, sf):
     return table(spark, sf, "orders").filter((F.weekday("o_orderdate") + 1).isin(6, 7)).select("o_orderkey")
 
 
-@query("contains_lower", "SELECT doc_id FROM documents WHERE lower(text) LIKE '%copyright%' OR lower(text) LIKE '%straße%'")
+@query("contains_lower", "SELECT doc_id FROM documents WHERE lower(text) LIKE '%licen%' OR lower(text) LIKE '%für%'")
 def contains_lower(spark, sf):
     text = F.lower("text")
-    return table(spark, sf, "documents").filter(text.contains("copyright") | text.contains("straße")).select("doc_id")
+    return table(spark, sf, "documents").filter(text.contains("licen") | text.contains("für")).select("doc_id")
 
 
 @query(
@@ -379,11 +379,11 @@ def append(spark, sf):
 
 @query(
     "source_difference",
-    "SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE lang = 'de')",
+    "SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE n_chars > 8000)",
 )
 def source_difference(spark, sf):
     documents = table(spark, sf, "documents")
-    return missing_in(documents.select("source").distinct(), "source", documents.filter("lang = 'de'"), "source")
+    return missing_in(documents.select("source").distinct(), "source", documents.filter("n_chars > 8000"), "source")
 
 
 @query(
