@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelftrack.operators.aggregates import high_watermark
 from shelftrack.operators.joins import left_join_dim
+from shelftrack.operators.ranking import latest_per_key
 from shelftrack.sources.tables import is_table, is_written, work_folder, write_version
 
 _BEFORE_ALL = "0001-01-01 00:00:00"
@@ -59,6 +60,12 @@ def upsert(target: DataFrame | None, new: DataFrame, keys: Sequence[str]) -> Dat
     return target.join(new.select(*keys), list(keys), "left_anti").unionByName(new)
 
 
+def newest(target: DataFrame, new: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Of old and new rows the latest per key; a new row wins a tie."""
+    both = target.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    return latest_per_key(both, keys, ts, ["_new"]).drop("_new")
+
+
 def full_refresh(spark: SparkSession, new: DataFrame, path: str, partition: str | None = None) -> DataFrame:
     """Write a table from scratch, with no watermark."""
     writer = new.write.mode("overwrite")
@@ -73,6 +80,7 @@ def upsert_table(
     keys: Sequence[str],
     partition: str,
     batch: str,
+    newest_by: str | None = None,
 ) -> DataFrame:
     """Upsert ``new`` into the stored table at ``path``.
 
@@ -82,7 +90,8 @@ def upsert_table(
     same ``batch`` name: it finds the finished merge and publishes it again,
     which changes nothing if it was already published. Batch names must not be
     used twice for different rows. ``partition`` is a date column that the key
-    determines.
+    determines. A new row replaces the old one of its key; with ``newest_by``
+    the later of the two stays, so that batches may come in any order.
     """
     work = work_folder(spark, path, batch)
     if not is_written(spark, f"{work}/merged"):
@@ -93,7 +102,7 @@ def upsert_table(
             # One value per calendar day of the batch, however many rows it has.
             days = [row[0] for row in new.select(partition).distinct().collect()]
             touched = spark.read.parquet(path).filter(_among(F.col(partition), days))
-            merged = upsert(touched, new, keys)
+            merged = upsert(touched, new, keys) if newest_by is None else newest(touched, new, keys, newest_by)
         write_version(merged, f"{work}/merged")
     merged = spark.read.parquet(f"{work}/merged")
     (

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from shelftrack.operators.upsert import full_refresh, newer_than, upsert_table
 from shelftrack.plans import marts
 from shelftrack.plans.staging import STG_KEYS, build_stg_books, one_per_scan
-from shelftrack.sources.tables import is_table, save_model
+from shelftrack.sources.tables import is_table, save_model, work_folder
 
 
 def build_models(raw: DataFrame, dim_date: DataFrame, as_of: Column | None = None) -> dict[str, DataFrame]:
@@ -71,6 +71,25 @@ class Warehouse:
             self.spark, self.path("fct_book_prices"), daily, marts.FCT_KEYS, "price_day", batch
         )
 
+    def apply_batch(
+        self, raw: DataFrame, dim_date: DataFrame, batch: str, as_of: Column | None = None
+    ) -> DataFrame:
+        """Stage a batch of raw rows and its facts without a watermark.
+
+        For loads that see every row once, such as a stream: rows are measured
+        against the stored row of their own key, not against a global time, so
+        batches may come in any order and nothing is dropped as late.
+        """
+        staged = one_per_scan(build_stg_books(raw, as_of, keep_instant=True))
+        path = self.path("stg_books")
+        upsert_table(self.spark, path, staged, STG_KEYS, "scrape_day", batch)
+        written = self.spark.read.parquet(f"{work_folder(self.spark, path, batch)}/batch")
+        daily = marts.build_fct_prices(written, dim_date, keep_day=True)
+        return upsert_table(
+            self.spark, self.path("fct_book_prices"), daily, marts.FCT_KEYS, "price_day", batch,
+            newest_by="max_scraped_at",
+        )
+
     def rebuild_dimensions(self, dim_date: DataFrame) -> dict[str, DataFrame]:
         """Rewrite the small tables from staging; facts and staging stay."""
         stg = self.table("stg_books")

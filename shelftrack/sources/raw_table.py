@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelftrack import fixed_values as fixed
 from shelftrack.schemas import raw_schema
-from shelftrack.sources.tables import work_folder, write_version
+from shelftrack.sources.tables import is_table, work_folder, write_version
 
 
 def parse_scraped_at(c: Column) -> Column:
@@ -98,3 +98,9 @@ def append_raw(spark: SparkSession, landed: DataFrame, path: str, batch: str, qu
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("batch").parquet(quarantine)
     return metrics
+
+
+def read_batch(spark: SparkSession, path: str, batch: str) -> DataFrame | None:
+    """The raw rows of one batch, without listing the others; None if all were refused."""
+    folder = f"{path}/batch={batch}"
+    return spark.read.option("basePath", path).parquet(folder) if is_table(spark, folder) else None

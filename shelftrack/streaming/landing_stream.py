@@ -11,13 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelftrack import fixed_values as fixed
 from shelftrack.plans.warehouse import Warehouse
 from shelftrack.sources.landing import read_files
-from shelftrack.sources.raw_table import append_raw
+from shelftrack.sources.raw_table import append_raw, read_batch
 
 _FILES_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -74,19 +73,27 @@ def streaming_upsert(
     dim_date: DataFrame,
     checkpoint: str,
     as_of: Column | None = None,
-    by: str | None = None,
+    ignore_late: bool = False,
 ) -> StreamingQuery:
-    """Keep staging and facts current with arriving files.
+    """Keep raw, staging and facts current with arriving files.
 
-    Each micro-batch goes through the same steps as a batch run, so rows at
-    or below the watermark are ignored and the newest row of a key wins.
+    Files of different sources arrive in any order, and of every book and day
+    the latest scan wins whatever file it came in: the result equals one full
+    refresh over all files. ``ignore_late`` applies the rule of the scheduled
+    batch run instead, by which rows at or below the watermark of what is
+    loaded are left out.
     """
 
     def handle(landed: DataFrame, batch: str) -> None:
         spark = landed.sparkSession
         append_raw(spark, landed, warehouse.path("raw"), batch, warehouse.path("quarantine"))
-        loaded = spark.read.parquet(warehouse.path("raw")).filter(F.col("batch") == batch)
-        warehouse.update_staging(loaded, batch, as_of, by)
-        warehouse.update_facts(dim_date, batch)
+        loaded = read_batch(spark, warehouse.path("raw"), batch)
+        if loaded is None:
+            return
+        if ignore_late:
+            warehouse.update_staging(loaded, batch, as_of)
+            warehouse.update_facts(dim_date, batch)
+        else:
+            warehouse.apply_batch(loaded, dim_date, batch, as_of)
 
     return _each_batch(files, checkpoint, handle)
