@@ -7,6 +7,6 @@ returns DataFrames or Columns; nothing here reads the clock unless ``as_of``
 is left out, and no data row passes through the driver.
 """
 
-from shelftrack.session import build_session, pin_utc
+from shelftrack.session import build_session, prepare
 
-__all__ = ["build_session", "pin_utc"]
+__all__ = ["build_session", "prepare"]

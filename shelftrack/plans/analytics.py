@@ -58,7 +58,7 @@ def comparison_dates(
     days: int | None = None,
     fct: DataFrame | None = None,
 ) -> DataFrame:
-    """One row: the latest day's key and the key of the day a lookback before it.
+    """One row: keys and dates of the latest day and of the day a lookback before it.
 
     The latest day is the calendar's, or the last with prices where ``fct`` is
     given.
@@ -69,8 +69,12 @@ def comparison_dates(
     latest = up_to.agg(F.max("date_id").alias("latest_id"), F.max("full_date").alias("latest"))
     latest_day = latest.select("latest").scalar()
     bound = F.date_sub(latest_day, days) if days is not None else F.add_months(latest_day, -months)
-    past = dim_date.filter(F.col("full_date") <= bound).agg(F.max("date_id").alias("past_id"))
-    return latest.select("latest_id", past.scalar().alias("past_id"))
+    past = dim_date.filter(F.col("full_date") <= bound).agg(
+        F.struct(F.max("date_id").alias("id"), F.max("full_date").alias("day"))
+    )
+    return latest.withColumn("past", past.scalar()).select(
+        "latest_id", "latest", F.col("past.id").alias("past_id"), F.col("past.day").alias("past")
+    )
 
 
 def price_change(
@@ -87,19 +91,21 @@ def price_change(
 ) -> DataFrame:
     """The ``k`` largest price rises between the latest day and a month before.
 
-    Both days enter the fact scan as scalar subqueries, so a fact stored by
-    day reads two partitions.
+    Both days enter the fact scan as scalar subqueries; a fact that is stored
+    by ``price_day`` reads just the two partitions.
     """
     dates = comparison_dates(dim_date, as_of, months, days, fct if latest_from == "fact" else None)
 
     def prices_on(day: str, name: str) -> DataFrame:
-        on_day = fct.filter(F.col("date_id") == dates.select(day).scalar())
+        on_day = fct.filter(F.col("date_id") == dates.select(f"{day}_id").scalar())
+        if "price_day" in fct.columns:
+            on_day = on_day.filter(F.col("price_day") == dates.select(day).scalar())
         return on_day.filter(F.col("discount_price").isNotNull()).select(
             "book_id", F.col("discount_price").alias(name)
         )
 
     change = F.col("price_latest") - F.col("price_month_ago")
-    both = prices_on("latest_id", "price_latest").join(prices_on("past_id", "price_month_ago"), "book_id")
+    both = prices_on("latest", "price_latest").join(prices_on("past", "price_month_ago"), "book_id")
     columns = [
         "title", "publisher_name", "book_id", "price_month_ago", "price_latest", change.alias("absolute_change"),
     ]

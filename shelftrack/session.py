@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Stored instants are UTC wall-clock times. The JVM does not compile methods
+# above 8000 bytes, so a stage that would generate one, such as staging with
+# its many patterns, runs faster operator by operator.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 # Adaptive execution re-plans joins from measured sizes and splits skewed
 # partitions. Small Arrow batches keep pages of HTML from piling up in a
 # Python worker.
-SESSION_CONF = {
-    "spark.sql.session.timeZone": "UTC",
+SESSION_CONF = RUNTIME_CONF | {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,7 +35,8 @@ def build_session(app_name: str = "shelftrack", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Stored instants are UTC wall-clock times; every entry point needs this."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set what the operators need on a session that was built elsewhere."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
     return spark

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelftrack import pin_utc
+from shelftrack import prepare
 from shelftrack.plans import marts
-from shelftrack.plans.warehouse import build_models
+from shelftrack.plans.warehouse import Warehouse, build_models
 from shelftrack.sources.tables import is_written, shared_folder, write_version
 
 CENTS = [
@@ -97,12 +97,12 @@ RAW_BOOKS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table, typed and stored as the loader leaves it; written once per session."""
-    path = f"{shared_folder(pin_utc(spark))}/{spark.sparkContext.applicationId}/raw{sf_dir.replace('/', '-')}"
+    path = f"{shared_folder(prepare(spark))}/{spark.sparkContext.applicationId}/raw{sf_dir.replace('/', '-')}"
     if not is_written(spark, path):
         scans = table(spark, sf_dir, "events")
         for step in (CENTS, DIGITS, PRICES, RAW_BOOKS):
@@ -131,6 +131,27 @@ def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return build_models(raw_books(spark, sf_dir), calendar(spark, sf_dir), as_of)
 
 
+_stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def stored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The models as the warehouse stores them; written once per session."""
+    known = _stored.get((spark.sparkContext.applicationId, sf_dir))
+    if known is not None:
+        return known
+    root = f"{shared_folder(prepare(spark))}/{spark.sparkContext.applicationId}/warehouse{sf_dir.replace('/', '-')}"
+    warehouse = Warehouse(spark, root)
+    raw = raw_books(spark, sf_dir)
+    # The last tables to be written are the dimensions.
+    if not is_written(spark, warehouse.path("brg_book_author")):
+        warehouse.refresh(raw, calendar(spark, sf_dir), F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    names = ("stg_books", "dim_date", "dim_authors", "dim_publishers", "dim_books", "brg_book_author", "fct_book_prices")
+    stored = {name: warehouse.table(name) for name in names}
+    stored |= {"raw": raw, "int_books": marts.build_int_books(stored["stg_books"])}
+    _stored[spark.sparkContext.applicationId, sf_dir] = stored
+    return stored
+
+
 def shown(df: DataFrame) -> DataFrame:
     """Columns as the comparison wants them: days and times as text, prices as doubles."""
     columns = []

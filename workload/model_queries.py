@@ -8,7 +8,7 @@ from shelftrack.operators.aggregates import upper_outliers
 from shelftrack.operators.upsert import newer_than, upsert
 from shelftrack.plans import analytics, checks, marts, suite
 from shelftrack.sources.tables import shared_folder
-from workload.book_tables import calendar, models, raw_books, shown, table
+from workload.book_tables import calendar, models, raw_books, shown, stored_models, table
 from workload.oracle_parts import shown_price, when_text, with_raw, with_stg, with_star
 from workload.registry import query
 
@@ -114,7 +114,7 @@ def fct_prices_joined(spark, sf):
     ),
 )
 def avg_price_per_publisher(spark, sf):
-    m = models(spark, sf)
+    m = stored_models(spark, sf)
     return shown(analytics.avg_price_per_publisher(m["fct_book_prices"], m["dim_publishers"]))
 
 
@@ -134,7 +134,7 @@ _NEW_DAYS = 29
     ),
 )
 def newly_added_books(spark, sf):
-    m = models(spark, sf)
+    m = stored_models(spark, sf)
     day = table(spark, sf, "events").agg(F.to_date(F.max("ts"))).scalar()
     found = analytics.newly_added_books(
         m["fct_book_prices"], m["dim_date"], m["dim_books"], m["dim_publishers"], day, _NEW_DAYS - 1
@@ -164,7 +164,7 @@ _CHANGE_TAIL = (
 
 @query("price_change", _change_sql(14, _CHANGE_TAIL))
 def price_change(spark, sf):
-    m = models(spark, sf)
+    m = stored_models(spark, sf)
     day = table(spark, sf, "events").agg(F.to_date(F.max("ts"))).scalar()
     return shown(
         analytics.price_change(
@@ -267,7 +267,7 @@ _STG_BAD = "SELECT book_id, {columns} FROM stg WHERE {where}"
 
 @query("check_not_null", with_stg("SELECT book_id, title FROM stg WHERE category IS NULL"))
 def check_not_null(spark, sf):
-    return checks.check_not_null(models(spark, sf)["stg_books"], "category").select("book_id", "title")
+    return checks.check_not_null(stored_models(spark, sf)["stg_books"], "category").select("book_id", "title")
 
 
 @query("check_unique", "SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY 1 HAVING count(*) > 1")
@@ -280,7 +280,7 @@ def check_unique(spark, sf):
     with_star("SELECT isbn, count(*) AS n_rows FROM dim_books WHERE isbn IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
 )
 def check_unique_where(spark, sf):
-    return checks.check_unique(models(spark, sf)["dim_books"], "isbn", F.col("isbn").isNotNull())
+    return checks.check_unique(stored_models(spark, sf)["dim_books"], "isbn", F.col("isbn").isNotNull())
 
 
 @query(
@@ -339,7 +339,7 @@ _DEAR = ", dear AS (SELECT DISTINCT book_id, md5(author_name) AS author_id FROM
     with_star(_DEAR + "SELECT author_id FROM dim_authors WHERE author_id NOT IN (SELECT author_id FROM dear)"),
 )
 def authors_without_books(spark, sf):
-    m = models(spark, sf)
+    m = stored_models(spark, sf)
     return checks.authors_without_books(m["dim_authors"], _dear_bridge(m))
 
 
@@ -348,7 +348,7 @@ def authors_without_books(spark, sf):
     with_star(_DEAR + "SELECT book_id FROM dim_books WHERE book_id NOT IN (SELECT book_id FROM dear)"),
 )
 def books_without_authors(spark, sf):
-    m = models(spark, sf)
+    m = stored_models(spark, sf)
     return checks.books_without_authors(m["dim_books"], _dear_bridge(m))
 
 
@@ -359,7 +359,7 @@ def books_without_authors(spark, sf):
     ),
 )
 def books_without_prices(spark, sf):
-    m = models(spark, sf)
+    m = stored_models(spark, sf)
     return checks.books_without_prices(m["dim_books"], m["fct_book_prices"].filter("discount_price > 10000"))
 
 
@@ -371,7 +371,7 @@ def books_without_prices(spark, sf):
     ),
 )
 def publishers_without_books(spark, sf):
-    m = models(spark, sf)
+    m = stored_models(spark, sf)
     return checks.publishers_without_books(m["dim_publishers"], m["dim_books"])
 
 
@@ -384,7 +384,7 @@ def publishers_without_books(spark, sf):
 )
 def uncovered_dates(spark, sf):
     spine = marts.build_dim_date(spark, start="2024-01-11", end="2024-01-25")
-    return shown(checks.uncovered_dates(models(spark, sf)["stg_books"], spine))
+    return shown(checks.uncovered_dates(stored_models(spark, sf)["stg_books"], spine))
 
 
 @query(
@@ -413,7 +413,7 @@ def wrong_weekend_flag(spark, sf):
     ),
 )
 def insane_fact_price(spark, sf):
-    return models(spark, sf)["fct_book_prices"].filter(checks.insane_price()).select("book_price_daily_pk", "book_id")
+    return stored_models(spark, sf)["fct_book_prices"].filter(checks.insane_price()).select("book_price_daily_pk", "book_id")
 
 
 @query(
@@ -423,13 +423,13 @@ def insane_fact_price(spark, sf):
     ),
 )
 def unstaged_rows(spark, sf):
-    m = models(spark, sf)
+    m = stored_models(spark, sf)
     return checks.unstaged_rows(m["raw"], m["stg_books"].filter("discount_price > 30000"))
 
 
 @query("future_publication_year", with_stg("SELECT book_id, year_of_publication FROM stg WHERE year_of_publication > 2024"))
 def future_publication_year(spark, sf):
-    bad = models(spark, sf)["stg_books"].filter(checks.future_year("2024-02-01"))
+    bad = stored_models(spark, sf)["stg_books"].filter(checks.future_year("2024-02-01"))
     return bad.select("book_id", "year_of_publication")
 
 
@@ -438,7 +438,7 @@ def future_publication_year(spark, sf):
     with_stg("SELECT book_id, book_link FROM stg WHERE NOT regexp_matches(book_link, '^https?://.+', 'i')"),
 )
 def malformed_link(spark, sf):
-    return models(spark, sf)["stg_books"].filter(checks.malformed_link()).select("book_id", "book_link")
+    return stored_models(spark, sf)["stg_books"].filter(checks.malformed_link()).select("book_id", "book_link")
 
 
 @query(
@@ -459,7 +459,7 @@ def malformed_isbn(spark, sf):
 
 @query("non_positive_pages", with_stg("SELECT book_id, page_numbers FROM stg WHERE page_numbers <= 0"))
 def non_positive_pages(spark, sf):
-    return models(spark, sf)["stg_books"].filter(checks.no_pages()).select("book_id", "page_numbers")
+    return stored_models(spark, sf)["stg_books"].filter(checks.no_pages()).select("book_id", "page_numbers")
 
 
 @query(
@@ -470,7 +470,7 @@ def non_positive_pages(spark, sf):
     ),
 )
 def discount_above_old(spark, sf):
-    bad = models(spark, sf)["stg_books"].filter(checks.discount_above_old())
+    bad = stored_models(spark, sf)["stg_books"].filter(checks.discount_above_old())
     return shown(bad.select("book_id", "old_price", "discount_price"))
 
 
@@ -484,7 +484,7 @@ def discount_above_old(spark, sf):
     ),
 )
 def price_outliers(spark, sf):
-    bad = upper_outliers(models(spark, sf)["stg_books"], ["old_price", "discount_price"])
+    bad = upper_outliers(stored_models(spark, sf)["stg_books"], ["old_price", "discount_price"])
     return shown(bad.select("book_id", "old_price", "discount_price"))
 
 
@@ -571,23 +571,7 @@ def _suite_sql() -> str:
 @query("run_checks", _suite_sql())
 def run_checks(spark, sf):
     """All 76 rules over the stored models."""
-    from shelftrack.sources.tables import save_model
-
-    m = models(spark, sf)
-    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/checked{sf.replace('/', '-')}"
-    stored = {"raw": m["raw"], "dim_date": m["dim_date"]}
-    stg = save_model(m["stg_books"], "stg_books", "table", f"{folder}/stg_books")
-    int_books = marts.build_int_books(stg)
-    built = {
-        "dim_authors": marts.build_dim_authors(int_books),
-        "dim_publishers": marts.build_dim_publishers(stg),
-        "dim_books": marts.build_dim_books(stg),
-        "brg_book_author": marts.build_bridge(int_books),
-        "fct_book_prices": marts.build_fct_prices(stg, m["dim_date"]),
-    }
-    stored |= {"stg_books": stg, "int_books": int_books}
-    stored |= {name: save_model(df, name, "table", f"{folder}/{name}") for name, df in built.items()}
-    return checks.run_checks(stored, suite.warehouse_checks("2024-02-01"))
+    return checks.run_checks(stored_models(spark, sf), suite.warehouse_checks("2024-02-01"))
 
 
 @query(
