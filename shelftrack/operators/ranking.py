@@ -53,12 +53,12 @@ def per_source_cap(
     """At most ``n`` rows per source, first by ``order``.
 
     Large caps are taken in two steps: the best ``n`` of each of ``spread``
-    slices of a source, then the best ``n`` of those, so that no task sorts
-    a whole source.
+    slices of a source, dealt out by the partition rows lie in, then the best
+    ``n`` of those, so that no task sorts a whole source.
     """
     order = [as_column(c) for c in order]
     if n > _LOCAL_RANK_LIMIT:
-        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(spread)))
+        sliced = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(spread)))
         df = _ranked(sliced, [source, "_slice"], order, n).drop("_slice")
     return _ranked(df, [source], order, n)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shelftrack.operators.aggregates import high_watermark
 from shelftrack.operators.joins import left_join_dim
 from shelftrack.operators.ranking import latest_per_key
-from shelftrack.sources.tables import is_table, is_written, work_folder, write_version
+from shelftrack.sources.tables import by_partition, is_table, is_written, work_folder, write_version
 
 _BEFORE_ALL = "0001-01-01 00:00:00"
 
@@ -68,8 +68,10 @@ def newest(target: DataFrame, new: DataFrame, keys: Sequence[str], ts: str) -> D
 
 def full_refresh(spark: SparkSession, new: DataFrame, path: str, partition: str | None = None) -> DataFrame:
     """Write a table from scratch, with no watermark."""
-    writer = new.write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    if partition is None:
+        new.write.mode("overwrite").parquet(path)
+    else:
+        by_partition(new, partition).write.mode("overwrite").partitionBy(partition).parquet(path)
     return spark.read.parquet(path)
 
 
@@ -103,7 +105,7 @@ def upsert_table(
             days = [row[0] for row in new.select(partition).distinct().collect()]
             touched = spark.read.parquet(path).filter(_among(F.col(partition), days))
             merged = upsert(touched, new, keys) if newest_by is None else newest(touched, new, keys, newest_by)
-        write_version(merged, f"{work}/merged")
+        write_version(by_partition(merged, partition), f"{work}/merged")
     merged = spark.read.parquet(f"{work}/merged")
     (
         merged.write.mode("overwrite")

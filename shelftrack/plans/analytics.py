@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelftrack import fixed_values as fixed
 from shelftrack.operators.aggregates import first_per_key, group_stats
 from shelftrack.operators.generators import as_day
+from shelftrack.operators.joins import left_join_dim
 from shelftrack.operators.ranking import top_k
 
 
@@ -58,23 +59,24 @@ def comparison_dates(
     days: int | None = None,
     fct: DataFrame | None = None,
 ) -> DataFrame:
-    """One row: keys and dates of the latest day and of the day a lookback before it.
+    """One row: the latest day up to ``as_of`` and the day a lookback before it.
 
-    The latest day is the calendar's, or the last with prices where ``fct`` is
-    given.
+    Both are structs of ``day`` and ``id``. The latest day is the calendar's,
+    or the last with prices where ``fct`` is given. The calendar, which has a
+    row per day and no more, is searched as one array.
     """
-    up_to = dim_date.filter(F.col("full_date") <= as_day(as_of))
+    calendar = dim_date.select("date_id", "full_date", F.lit(True).alias("priced"))
     if fct is not None:
-        up_to = up_to.join(F.broadcast(fct.select("date_id").distinct()), "date_id", "left_semi")
-    latest = up_to.agg(F.max("date_id").alias("latest_id"), F.max("full_date").alias("latest"))
-    latest_day = latest.select("latest").scalar()
-    bound = F.date_sub(latest_day, days) if days is not None else F.add_months(latest_day, -months)
-    past = dim_date.filter(F.col("full_date") <= bound).agg(
-        F.struct(F.max("date_id").alias("id"), F.max("full_date").alias("day"))
-    )
-    return latest.withColumn("past", past.scalar()).select(
-        "latest_id", "latest", F.col("past.id").alias("past_id"), F.col("past.day").alias("past")
-    )
+        priced = fct.select("date_id").distinct().withColumn("priced", F.lit(True))
+        calendar = left_join_dim(calendar.drop("priced"), priced, "date_id", bounded=True)
+    entry = F.struct(F.col("full_date").alias("day"), F.col("date_id").alias("id"))
+    today = as_day(as_of)
+    known = F.max(F.when(F.col("priced") & (F.col("full_date") <= today), entry))
+    found = calendar.agg(known.alias("latest"), F.collect_list(entry).alias("days"))
+    latest = F.col("latest.day")
+    bound = F.date_sub(latest, days) if days is not None else F.add_months(latest, -months)
+    past = F.array_max(F.filter("days", lambda d: d.getField("day") <= bound))
+    return found.select("latest", past.alias("past"))
 
 
 def price_change(
@@ -91,21 +93,28 @@ def price_change(
 ) -> DataFrame:
     """The ``k`` largest price rises between the latest day and a month before.
 
-    Both days enter the fact scan as scalar subqueries; a fact that is stored
-    by ``price_day`` reads just the two partitions.
+    A book has one price a day, so the two snapshots are matched by one
+    aggregation per book over one scan, not by joining the fact with itself.
+    The days enter the scan as a scalar subquery; a fact that is stored by
+    ``price_day`` reads just the two partitions.
     """
     dates = comparison_dates(dim_date, as_of, months, days, fct if latest_from == "fact" else None)
-
-    def prices_on(day: str, name: str) -> DataFrame:
-        on_day = fct.filter(F.col("date_id") == dates.select(f"{day}_id").scalar())
-        if "price_day" in fct.columns:
-            on_day = on_day.filter(F.col("price_day") == dates.select(day).scalar())
-        return on_day.filter(F.col("discount_price").isNotNull()).select(
-            "book_id", F.col("discount_price").alias(name)
-        )
-
+    compared = dates.select(F.struct("latest", "past")).scalar()
+    latest, past = compared.getField("latest"), compared.getField("past")
+    snapshots = fct.filter(F.col("discount_price").isNotNull())
+    snapshots = snapshots.filter(F.col("date_id").isin(latest.getField("id"), past.getField("id")))
+    if "price_day" in fct.columns:
+        snapshots = snapshots.filter(F.col("price_day").isin(latest.getField("day"), past.getField("day")))
+
+    def price_on(day: Column) -> Column:
+        return F.max(F.when(F.col("date_id") == day.getField("id"), F.col("discount_price")))
+
+    both = (
+        snapshots.groupBy("book_id")
+        .agg(price_on(past).alias("price_month_ago"), price_on(latest).alias("price_latest"))
+        .filter(F.col("price_month_ago").isNotNull() & F.col("price_latest").isNotNull())
+    )
     change = F.col("price_latest") - F.col("price_month_ago")
-    both = prices_on("latest", "price_latest").join(prices_on("past", "price_month_ago"), "book_id")
     columns = [
         "title", "publisher_name", "book_id", "price_month_ago", "price_latest", change.alias("absolute_change"),
     ]

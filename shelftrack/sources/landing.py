@@ -108,14 +108,15 @@ def read_files(
 
     A CSV scan binds columns by position, so files are grouped by header and
     every group is read with its own names. Headers repeat from file to file:
-    there are as many groups as header versions, not as files.
+    there are as many groups as header versions, not as files. The names of
+    the files, which the scan lists on the driver anyway, stream to it one
+    task at a time.
     """
     complete = require_columns(file_headers(spark, paths), required).filter(F.size("missing") == 0)
-    groups = complete.groupBy("columns").agg(F.collect_list("file").alias("files"))
-    batches = [
-        _read_group(spark, row["columns"], row["files"], required, multi_line)
-        for row in groups.toLocalIterator()
-    ]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in complete.select("columns", "file").toLocalIterator():
+        groups.setdefault(tuple(row["columns"]), []).append(row["file"])
+    batches = [_read_group(spark, columns, files, required, multi_line) for columns, files in groups.items()]
     return append_batches(batches) if batches else _no_rows(spark, required)
 
 

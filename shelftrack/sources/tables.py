@@ -64,5 +64,14 @@ def is_written(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def by_partition(df: DataFrame, partition: str) -> DataFrame:
+    """Rows of a partition brought together, so that a write makes few files.
+
+    Adaptive execution cuts a partition that holds too much and joins small
+    ones, to files of the advisory size.
+    """
+    return df.hint("rebalance", partition)
+
+
 def write_version(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)

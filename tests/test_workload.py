@@ -27,6 +27,8 @@ def plain(value):
 @pytest.mark.parametrize("name", list(contract.queries()))
 def test_query(spark, database, name):
     df = contract.queries()[name](spark, str(TABLES))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     columns = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=repr)
     result = database.execute(contract.oracle_sql()[name])
