@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from shelftrack import prepare
 from shelftrack.plans import marts
-from shelftrack.plans.warehouse import Warehouse, build_models
+from shelftrack.plans.staging import build_stg_books, one_per_scan
+from shelftrack.plans.warehouse import Warehouse
 from shelftrack.sources.tables import is_written, shared_folder, write_version
 
 CENTS = [
@@ -126,9 +127,29 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.build_dim_date(spark, as_of=last_day(events))
 
 
+_AS_OF = "2024-02-01 00:00:00"
+
+
+def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging from raw text."""
+    return one_per_scan(build_stg_books(raw_books(spark, sf_dir), F.lit(_AS_OF).cast("timestamp")))
+
+
 def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    as_of = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    return build_models(raw_books(spark, sf_dir), calendar(spark, sf_dir), as_of)
+    """The marts, to be computed from the stored staging table."""
+    stored = stored_models(spark, sf_dir)
+    stg, dim_date = stored["stg_books"], calendar(spark, sf_dir)
+    int_books = marts.build_int_books(stg)
+    return {
+        "stg_books": stg,
+        "int_books": int_books,
+        "dim_date": dim_date,
+        "dim_authors": marts.build_dim_authors(int_books),
+        "dim_publishers": marts.build_dim_publishers(stg),
+        "dim_books": marts.build_dim_books(stg),
+        "brg_book_author": marts.build_bridge(int_books),
+        "fct_book_prices": marts.build_fct_prices(stg, dim_date),
+    }
 
 
 _stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
@@ -144,7 +165,7 @@ def stored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     raw = raw_books(spark, sf_dir)
     # The last tables to be written are the dimensions.
     if not is_written(spark, warehouse.path("brg_book_author")):
-        warehouse.refresh(raw, calendar(spark, sf_dir), F.lit("2024-02-01 00:00:00").cast("timestamp"))
+        warehouse.refresh(raw, calendar(spark, sf_dir), F.lit(_AS_OF).cast("timestamp"))
     names = ("stg_books", "dim_date", "dim_authors", "dim_publishers", "dim_books", "brg_book_author", "fct_book_prices")
     stored = {name: warehouse.table(name) for name in names}
     stored |= {"raw": raw, "int_books": marts.build_int_books(stored["stg_books"])}

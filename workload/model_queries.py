@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from shelftrack.operators.aggregates import upper_outliers
 from shelftrack.operators.upsert import newer_than, upsert
 from shelftrack.plans import analytics, checks, marts, suite
+from shelftrack.plans.warehouse import build_models
+from shelftrack.sources.landing import append_batches
 from shelftrack.sources.tables import shared_folder
-from workload.book_tables import calendar, models, raw_books, shown, stored_models, table
+from workload.book_tables import calendar, models, raw_books, shown, staged, stored_models, table
 from workload.oracle_parts import shown_price, when_text, with_raw, with_stg, with_star
 from workload.registry import query
 
@@ -27,7 +29,25 @@ _FCT_SHOWN = (
 
 @query("build_stg_books", with_stg(f"SELECT {_STG_SHOWN} FROM stg"))
 def stg_books(spark, sf):
-    return shown(models(spark, sf)["stg_books"])
+    return shown(staged(spark, sf))
+
+
+@query(
+    "build_models",
+    with_star(
+        "SELECT 'stg_books' AS model, count(*) AS n_rows FROM stg UNION ALL SELECT 'int_books', count(*) FROM exploded "
+        "UNION ALL SELECT 'dim_date', count(*) FROM dim_date UNION ALL SELECT 'dim_authors', count(*) FROM dim_authors "
+        "UNION ALL SELECT 'dim_publishers', count(*) FROM dim_publishers UNION ALL SELECT 'dim_books', count(*) FROM dim_books "
+        "UNION ALL SELECT 'brg_book_author', count(*) FROM brg UNION ALL SELECT 'fct_book_prices', count(*) FROM fct"
+    ),
+)
+def all_models(spark, sf):
+    """Row counts of all models, computed from raw text in one plan."""
+    frames = build_models(raw_books(spark, sf), calendar(spark, sf))
+    counts = [
+        df.agg(F.lit(name).alias("model"), F.count("*").alias("n_rows")) for name, df in frames.items() if name != "raw"
+    ]
+    return append_batches(counts)
 
 
 @query(
