@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftrack.operators.aggregates import high_watermark
-from shelftrack.operators.joins import left_join_dim
+from shelftrack.operators.joins import skew_join
 from shelftrack.operators.ranking import latest_per_key
 from shelftrack.sources.tables import by_partition, is_table, is_written, work_folder, write_version
 
@@ -42,7 +42,8 @@ def newer_than(
         return new
     marks = high_watermark(target, target_ts or ts, by, partition)
     if by is not None:
-        marked = left_join_dim(new, marks, by)
+        # One source may hold a large share of the rows.
+        marked = skew_join(new, marks, [by], "left")
         return marked.filter(F.col("watermark").isNull() | (F.col(ts) > F.col("watermark"))).drop("watermark")
     least = F.lit(_BEFORE_ALL).cast(new.schema[ts].dataType)
     floor = marks.select(F.coalesce("watermark", least)).scalar()

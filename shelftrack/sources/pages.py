@@ -90,17 +90,26 @@ def extract_links(pages: DataFrame) -> DataFrame:
 
 
 def follow_links(pages: DataFrame, rules: PageRules) -> DataFrame:
-    """Detail and next-page links of a source's list pages, absolute and distinct."""
-    kinds = []
-    for kind, scope, field in rules.links:
-        hits = select_fields(pages, scope, {"href": field}).select(
-            F.lit(kind).alias("kind"), resolve_link(F.get("href", F.lit(0)), "url").alias("link")
-        )
-        kinds.append(hits.filter(F.col("link").isNotNull()))
-    links = kinds[0]
-    for more in kinds[1:]:
-        links = links.unionByName(more)
-    return links.dropDuplicates()
+    """Detail and next-page links of a source's list pages, absolute and distinct.
+
+    Every page is parsed once for all kinds of links.
+    """
+    schema = pages.select("url").schema.add("kind", T.StringType()).add("href", T.StringType())
+
+    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [
+                (url, kind, href)
+                for url, html in zip(batch["url"], batch["html"])
+                for page in [parse_page(html or "")]
+                for kind, scope, field in rules.links
+                for element in page.iterfind(scope)
+                for href in select_texts(page, element, field)
+            ]
+            yield pd.DataFrame(rows, columns=["url", "kind", "href"])
+
+    found = pages.select("url", "html").mapInPandas(extract, schema)
+    return found.select("kind", resolve_link("href", "url").alias("link")).dropDuplicates()
 
 
 def enrich_from_detail(listed: DataFrame, detail: DataFrame, on: str = "book_link") -> DataFrame:

@@ -154,5 +154,16 @@ def test_list_and_detail_pages(spark):
     assert [(r["kind"], r["link"]) for r in links] == [("next", "https://www.mikroknjiga.rs/store/index.php?p=2")]
 
 
+def test_every_product_of_a_list_is_followed(spark):
+    html = """<div class="large-6 medium-4 columns product-listing"><div class="book-meta"><a href="/k/1">a</a><a href="/k/2">b</a></div></div>
+        <div class="large-6 medium-4 columns product-listing"><div class="book-meta"><a href="/k/2">c</a></div></div>
+        <a class="next page-numbers" href="/prodavnica/page/2">dalje</a><a href="/o-nama">x</a>"""
+    links = pages.follow_links(_page(spark, "https://prometej.rs/prodavnica/", html), SOURCE_RULES["prometej"])
+    assert sorted((r["kind"], r["link"]) for r in links.collect()) == [
+        ("detail", "https://prometej.rs/k/1"), ("detail", "https://prometej.rs/k/2"),
+        ("next", "https://prometej.rs/prodavnica/page/2"),
+    ]
+
+
 def test_empty_page(spark):
     assert pages.extract_books(_page(spark, "http://a.rs", None), SOURCE_RULES["laguna"]).count() == 0

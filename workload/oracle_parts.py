@@ -17,14 +17,15 @@ def local(column: str) -> str:
 
 
 def price(column: str) -> str:
-    kept = f"regexp_replace(nullif({column}, 'None'), '[^0-9.,]', '', 'g')"
+    kept = f"regexp_replace({column}, '[^0-9.,]+', '', 'g')"
+
+    def two_parts(mark: str, grouping: str) -> str:
+        return f"array_to_string(string_split(replace({kept}, '{grouping}', ''), '{mark}')[1:2], '.')"
+
     return (
-        f"try_cast(nullif(CASE WHEN {kept} IS NULL THEN NULL "
-        f"WHEN regexp_matches({kept}, ',[0-9][0-9]$') "
-        f"THEN replace(split_part({kept}, ',', 1), '.', '') || '.' || split_part({kept}, ',', 2) "
-        f"WHEN regexp_matches({kept}, '[.][0-9][0-9]$') "
-        f"THEN replace(split_part({kept}, '.', 1), ',', '') || '.' || split_part({kept}, '.', 2) "
-        f"ELSE replace(replace({kept}, ',', ''), '.', '') END, '') AS DECIMAL(18,4))"
+        f"try_cast(CASE regexp_extract({kept}, '([.,])[0-9][0-9]$', 1) "
+        f"WHEN ',' THEN {two_parts(',', '.')} WHEN '.' THEN {two_parts('.', ',')} "
+        f"ELSE translate({kept}, ',.', '') END AS DECIMAL(18,4))"
     )
 
 
@@ -44,10 +45,7 @@ def found(column: str, pattern: str, options: str = "") -> str:
     return f"nullif(regexp_extract({column}, '{pattern}', 1{flags}), '')"
 
 
-AUTHOR = (
-    "CASE WHEN author IS NULL OR trim(author) = '' OR lower(trim(author)) = 'none' "
-    "THEN 'Nepoznat Autor' ELSE trim(author) END"
-)
+AUTHOR = "coalesce(nullif(regexp_replace(trim(author), '^none$', '', 'i'), ''), 'Nepoznat Autor')"
 ISBN_FOUND = f"trim({found('description', '(?:ISBN|ИСБН)[ \\t\\n\\r\\f\\v]*[: ]?[ \\t\\n\\r\\f\\v]*([0-9-]+[0-9X])', 'i')})"
 
 
@@ -69,10 +67,10 @@ def publisher_cut(column: str) -> str:
 
 
 def script(column: str) -> str:
-    latin = ["latinica", "latinična", "latinicno", "latinic", "латиница", "latinicirilica", "cirilatinića"]
-    cyrillic = ["ćirilica", "ćirilična", "ćirilicno", "ćirilic", "ћирилица"]
-    has = lambda words: " OR ".join(f"lower({column}) LIKE '%{w}%'" for w in words)
-    return f"CASE WHEN {has(latin)} THEN 'Latinica' WHEN {has(cyrillic)} THEN 'Ćirilica' END"
+    latin = "latinica|latinična|latinicno|latinic|латиница|latinicirilica|cirilatinića"
+    cyrillic = "ćirilica|ćirilična|ćirilicno|ćirilic|ћирилица"
+    scripts = f"list_value(regexp_matches(lower({column}), '{latin}'), regexp_matches(lower({column}), '{cyrillic}'))"
+    return f"list_value('Latinica', 'Ćirilica')[list_position({scripts}, true)]"
 
 
 def pages(column: str) -> str:
@@ -95,9 +93,9 @@ def key(*columns: str) -> str:
     return "md5(" + " || '-' || ".join(parts) + ")"
 
 
+_IN_STORE = "nullif(contains(lower(book_link), 'mikroknjiga.rs'), false)"
 PUBLISHER = capitals(
-    f"CASE WHEN lower(trim(book_link)) LIKE '%mikroknjiga.rs%' AND {publisher_cut(PUBLISHER_LINE)} IS NOT NULL "
-    f"AND {publisher_cut(PUBLISHER_LINE)} <> '' THEN {publisher_cut(PUBLISHER_LINE)} ELSE trim(publisher) END"
+    f"coalesce(nullif(if({_IN_STORE}, {publisher_cut(PUBLISHER_LINE)}, NULL), ''), trim(publisher))"
 )
 
 RAW = (
