@@ -60,10 +60,13 @@ class Warehouse:
         staged = one_per_scan(build_stg_books(fresh, as_of, keep_instant=True))
         return upsert_table(self.spark, self.path("stg_books"), staged, STG_KEYS, "scrape_day", batch)
 
-    def update_facts(self, dim_date: DataFrame, batch: str) -> DataFrame:
-        """Add the staged rows above the fact's own watermark."""
+    def update_facts(self, dim_date: DataFrame, batch: str) -> DataFrame | None:
+        """Add the staged rows above the fact's own watermark; without staging there is none."""
+        staged = self.table("stg_books")
+        if staged is None:
+            return None
         fresh = newer_than(
-            self.table("stg_books"), self.table("fct_book_prices"), "scraped_at", "max_scraped_at",
+            staged, self.table("fct_book_prices"), "scraped_at", "max_scraped_at",
             partition="price_day", day="scrape_day",
         )
         daily = marts.build_fct_prices(fresh, dim_date, keep_day=True)

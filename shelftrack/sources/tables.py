@@ -32,9 +32,14 @@ def save_model(df: DataFrame, name: str, mode: str = "view", path: str | None =
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set."""
+    """The folder all machines share, as ``spark.checkpoint.dir`` names it.
+
+    Only a local session without the setting gets a temporary folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="shelftrack-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -21,6 +21,22 @@ def test_skew_join_equals_plain_join(spark, rows, how):
     assert rows(got) == rows(left.join(right, "k", how))
 
 
+def test_skew_join_spreads_a_hot_key(spark):
+    """No task of the join gets much more than its share of a key that holds every row."""
+    left = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"), "id")
+    right = spark.createDataFrame([(1, "x")], "k int, n string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = op.skew_join(left, right, ["k"], rows_per_slice=1000)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in sizes) == 8000
+    assert len(sizes) >= 4 and max(r["count"] for r in sizes) <= 4000
+
+
 def test_attach_group_max(spark, rows):
     data = [(i % 3 and i % 17, i * 7 % 101) for i in range(500)]
     df = spark.createDataFrame(data, "g int, v int").repartition(5)
