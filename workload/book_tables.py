@@ -173,6 +173,15 @@ def stored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return stored
 
 
+# Means of cents can end exactly between two rounded values; a nudge on both
+# sides makes them round the same way.
+NUDGE = 1e-7
+
+
+def rounded_mean(name: str) -> Column:
+    return F.round(F.col(name).cast("double") + NUDGE, 4).alias(name)
+
+
 def shown(df: DataFrame) -> DataFrame:
     """Columns as the comparison wants them: days and times as text, prices as doubles."""
     columns = []

@@ -13,7 +13,7 @@ from shelftrack.operators import (
 from shelftrack.plans.staging import keep_priced
 from shelftrack.sources.landing import append_batches
 from workload import oracle_parts as sql
-from workload.book_tables import raw_books, shown, table
+from workload.book_tables import NUDGE, raw_books, rounded_mean, shown, table
 from workload.registry import query
 
 # Filters.
@@ -224,12 +224,12 @@ def count_distinct(spark, sf):
 
 @query(
     "group_stats",
-    "SELECT l_suppkey, count(DISTINCT l_partkey) AS distinct_count, round(avg(l_extendedprice), 4) AS average_value, "
+    f"SELECT l_suppkey, count(DISTINCT l_partkey) AS distinct_count, round(avg(l_extendedprice) + {NUDGE}, 4) AS average_value, "
     "min(l_extendedprice) AS min_value, max(l_extendedprice) AS max_value FROM lineitem GROUP BY 1",
 )
 def stats(spark, sf):
     found = group_stats(table(spark, sf, "lineitem"), ["l_suppkey"], "l_partkey", "l_extendedprice")
-    return found.withColumn("average_value", F.round("average_value", 4))
+    return found.withColumn("average_value", rounded_mean("average_value"))
 
 
 @query(
@@ -337,9 +337,10 @@ def large_cap(spark, sf):
 # Sorts and top-k.
 
 
-@query("sort_by_aggregate", "SELECT l_suppkey, round(avg(l_extendedprice), 4) AS average FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1")
+@query("sort_by_aggregate", f"SELECT l_suppkey, round(avg(l_extendedprice) + {NUDGE}, 4) AS average FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1")
 def sort_by_aggregate(spark, sf):
-    means = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.round(F.avg("l_extendedprice"), 4).alias("average"))
+    means = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.avg("l_extendedprice").alias("average"))
+    means = means.withColumn("average", rounded_mean("average"))
     return means.orderBy(F.col("average").desc_nulls_first(), "l_suppkey")
 
 
