@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from workload import QUERIES
 
 TABLES = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="no tables")
@@ -24,7 +25,7 @@ def plain(value):
     return round(value, 6) if isinstance(value, float) else value
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, database, name):
     df = contract.queries()[name](spark, str(TABLES))
     plan = df._jdf.queryExecution().executedPlan().toString()
