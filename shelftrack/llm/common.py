@@ -19,13 +19,14 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give Python workers the package, wherever the driver was started."""
+    """Give Python workers the package and small Arrow batches, wherever the driver was started."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         _shipped.add(app)
         top = Path(__file__).resolve().parents[2]
         folder = tempfile.mkdtemp(prefix="shelftrack-llm-")
-        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/shelftrack", "zip", str(top), "shelftrack"))
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/shelftrack-llm", "zip", str(top), "shelftrack"))
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelftrack.llm import common as c
+from shelftrack.llm.simhash import near_duplicates
 from shelftrack.llm.substring_dedup import remove_repeated_passages
 
 QUERIES = {}
@@ -19,6 +20,11 @@ def query(name, sql=None):
     return register
 
 
+@query("op3_simhash_dedup")
+def op3(spark, sf):
+    return near_duplicates(c.read(spark, sf, "documents"), shingle=3, max_bits=2)
+
+
 @query("op7_substring_dedup")
 def op7(spark, sf):
     return remove_repeated_passages(c.read(spark, sf, "documents"), width=20, digest=True)
