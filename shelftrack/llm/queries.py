@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from shelftrack.llm import common as c
+from shelftrack.llm import vectors as v
+from shelftrack.llm.collision_search import nearest_products
+from shelftrack.llm.knn_join import top_products
+from shelftrack.llm.language import identify
+from shelftrack.llm.quality import score_quality
 from shelftrack.llm.simhash import near_duplicates
 from shelftrack.llm.substring_dedup import remove_repeated_passages
 
@@ -20,11 +27,51 @@ def query(name, sql=None):
     return register
 
 
+@query(
+    "op1_exact_topk",
+    """
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS vector
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, d.vec_id, list_dot_product(q.vector, d.vector)::BIGINT AS score
+        FROM whole q JOIN whole d ON q.vec_id <> d.vec_id
+        WHERE q.vec_id % 20 = 0
+    )
+    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+    FROM scored
+    QUALIFY rank <= 20
+    """,
+)
+def op1(spark, sf):
+    rows = c.read(spark, sf, "embeddings").filter(v.finite("embedding"))
+    whole = rows.select("vec_id", F.transform("embedding", lambda x: F.floor(64 * x.cast("double"))).alias("vector"))
+    return top_products(whole.filter(F.col("vec_id") % 20 == 0), whole, 20)
+
+
 @query("op3_simhash_dedup")
 def op3(spark, sf):
     return near_duplicates(c.read(spark, sf, "documents"), shingle=3, max_bits=2)
 
 
+@query("op5_language_id")
+def op5(spark, sf):
+    return identify(c.read(spark, sf, "documents"))
+
+
+@query("op6_collision_search")
+def op6(spark, sf):
+    rows = c.read(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    return nearest_products(rows.filter(F.col("vec_id") % 20 == 0), rows, 20)
+
+
 @query("op7_substring_dedup")
 def op7(spark, sf):
     return remove_repeated_passages(c.read(spark, sf, "documents"), width=20, digest=True)
+
+
+@query("op10_quality")
+def op10(spark, sf):
+    return score_quality(c.read(spark, sf, "documents"), c.read(spark, sf, "labels"))
