@@ -9,6 +9,7 @@ from shelftrack.llm import vectors as v
 from shelftrack.llm.collision_search import nearest_products
 from shelftrack.llm.knn_join import top_products
 from shelftrack.llm.language import identify
+from shelftrack.llm.line_dedup import remove_repeated_lines
 from shelftrack.llm.quality import score_quality
 from shelftrack.llm.simhash import near_duplicates
 from shelftrack.llm.substring_dedup import remove_repeated_passages
@@ -72,6 +73,11 @@ def op7(spark, sf):
     return remove_repeated_passages(c.read(spark, sf, "documents"), width=20, digest=True)
 
 
+@query("op8_line_dedup")
+def op8(spark, sf):
+    return remove_repeated_lines(c.read(spark, sf, "documents"), max_edits=2, near_bytes=24, digest=True)
+
+
 @query("op10_quality")
 def op10(spark, sf):
     return score_quality(c.read(spark, sf, "documents"), c.read(spark, sf, "labels"))

@@ -23,14 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from shelftrack.llm import common as c
+from shelftrack.llm import exchange as x
 
 PERIOD = 13
 COVER = np.isin(np.arange(PERIOD), [0, 1, 3, 9])  # differences give every remainder
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 
-_SENT = "bucket int, block int, body binary"
-_BACK = "block int, bucket int, body binary"
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 _SPANS = "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start:long,stop:long>>"
 
@@ -62,20 +61,6 @@ class _Block:
         return at, (bucket.astype(np.uint64) << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
 
 
-def _rows(parts: list[tuple[int, int, bytes]], names: tuple[str, str]) -> pa.Table:
-    return pa.table(
-        {
-            names[0]: pa.array([p[0] for p in parts], pa.int32()),
-            names[1]: pa.array([p[1] for p in parts], pa.int32()),
-            "body": pa.array([p[2] for p in parts], pa.binary()),
-        }
-    )
-
-
-def _block_of(table: pa.Table) -> int:
-    return table.column("block")[0].as_py()
-
-
 def _send_anchors(width: int, n_buckets: int):
     def send(table: pa.Table) -> pa.Table:
         _, keys = _Block(table).anchors(width, n_buckets)
@@ -83,8 +68,8 @@ def _send_anchors(width: int, n_buckets: int):
         parts = []
         for bucket, lo, hi in c.by_bucket((keys >> np.uint64(32)).astype(np.int64))[1]:
             body = (keys[lo:hi] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            parts.append((bucket, _block_of(table), np.packbits(times[lo:hi] > 1).tobytes() + body.tobytes()))
-        return _rows(parts, ("bucket", "block"))
+            parts.append((bucket, x.block_of(table), np.packbits(times[lo:hi] > 1).tobytes() + body.tobytes()))
+        return x.rows(parts, x.TO_BUCKET)
 
     return send
 
@@ -113,22 +98,17 @@ def _find_repeated(table: pa.Table) -> pa.Table:
     for i, lo, hi in c.by_bucket(owner)[1]:
         if (found := values[lo:hi][live[lo:hi]]).size:
             parts.append((blocks[i], bucket, found.tobytes()))
-    return _rows(parts, ("block", "bucket"))
-
-
-def _returned(table: pa.Table, dtype) -> dict[int, np.ndarray]:
-    pairs = zip(table.column("bucket").to_pylist(), table.column("body").to_pylist(), strict=True)
-    return {bucket: np.frombuffer(body, dtype) for bucket, body in pairs}
+    return x.rows(parts, x.TO_BLOCK)
 
 
 def _send_windows(width: int, n_buckets: int):
     def send(table: pa.Table, live: pa.Table) -> pa.Table:
         if not table.num_rows or not live.num_rows:
-            return _rows([], ("bucket", "block"))
+            return x.rows([], x.TO_BUCKET)
         block = _Block(table)
         at, keys = block.anchors(width, n_buckets)
         found = np.concatenate(
-            [v.astype(np.uint64) | (np.uint64(b) << np.uint64(32)) for b, v in sorted(_returned(live, np.uint32).items())]
+            [v.astype(np.uint64) | (np.uint64(b) << np.uint64(32)) for b, v in sorted(x.returned(live, np.uint32).items())]
         )
         places = np.zeros(len(block.words) + 1, np.int64)
         places[at[~c.contains(np.sort(found), keys)] + 1] = 1  # anchors met once
@@ -143,55 +123,13 @@ def _send_windows(width: int, n_buckets: int):
         doc_ids, place = block.doc_ids[block.doc[starts]], block.place[starts].astype(np.uint32)
         parts = []
         for bucket, lo, hi in cuts:
-            body = b"".join(c.transposed(x[lo:hi]) for x in (hashes, doc_ids, check, place))
-            parts.append((bucket, _block_of(table), body))
-        return _rows(parts, ("bucket", "block"))
+            body = x.pack_places(hashes[lo:hi], doc_ids[lo:hi], check[lo:hi], place[lo:hi])
+            parts.append((bucket, x.block_of(table), body))
+        return x.rows(parts, x.TO_BUCKET)
 
     return send
 
 
-def _find_later(table: pa.Table) -> pa.Table:
-    bucket = table.column("bucket")[0].as_py()
-    blocks, columns = [], []
-    for block, body in zip(table.column("block").to_pylist(), table.column("body").to_pylist(), strict=True):
-        n, at, fields = len(body) // 24, 0, []
-        for dtype in (np.uint64, np.int64, np.uint32, np.uint32):
-            size = n * np.dtype(dtype).itemsize
-            fields.append(c.restored(body[at : at + size], dtype))
-            at += size
-        columns.append(fields)
-        blocks.append(block)
-    owner = np.repeat(np.arange(len(blocks)), [len(f[0]) for f in columns])
-    hashes, doc_ids, check, place = (np.concatenate(x) for x in zip(*columns, strict=True))
-    order = np.lexsort((place, doc_ids, check, hashes))
-    kind = np.ones(len(order), bool)
-    kind[1:] = (hashes[order][1:] != hashes[order][:-1]) | (check[order][1:] != check[order][:-1])
-    first = order[np.maximum.accumulate(np.where(kind, np.arange(len(order)), 0))]
-    # Rows that share an id and a start are the same place: neither is earlier.
-    later = np.empty(len(order), bool)
-    later[order] = (doc_ids[order] != doc_ids[first]) | (place[order] != place[first])
-    parts = []
-    for i, lo, hi in c.by_bucket(owner)[1]:
-        if (found := hashes[lo:hi][later[lo:hi]]).size:
-            parts.append((blocks[i], bucket, found.tobytes()))
-    return _rows(parts, ("block", "bucket"))
-
-
-def _later_in_block(block: _Block, starts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which windows have an equal one at an earlier place of the block."""
-    order = np.argsort(hashes, kind="stable")
-    new = np.ones(len(order), bool)
-    new[1:] = hashes[order][1:] != hashes[order][:-1]
-    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    doc_ids, place = block.doc_ids[block.doc[starts]], block.place[starts]
-    least = np.empty(len(order), np.int64)
-    # Among rows with one id the start decides, so the first by row may not be it.
-    sorted_place = np.lexsort((place[order], doc_ids[order], np.cumsum(new)))
-    first = order[sorted_place][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    least[order[sorted_place]] = first
-    return (doc_ids != doc_ids[least]) | (place != place[least])
-
-
 def _finish(width: int, spans: bool):
     def finish(table: pa.Table, later: pa.Table) -> pa.Table:
         if not table.num_rows:
@@ -201,9 +139,9 @@ def _finish(width: int, spans: bool):
         gone = np.zeros(len(block.words), bool)
         if len(starts):
             hashes = c.run_hashes(block.words, width)[starts]
-            known = _returned(later, np.uint64)
+            known = x.returned(later, np.uint64)
             found = np.sort(np.concatenate([*known.values(), np.zeros(0, np.uint64)]))
-            removed = c.contains(found, hashes) | _later_in_block(block, starts, hashes)
+            removed = c.contains(found, hashes) | x.later(block.doc_ids[block.doc[starts]], block.place[starts], hashes)
             gone = c.covered(starts[removed], width, len(block.words))
         out = {name: [] for name in _SCHEMAS[spans].names}
         texts = c.column(block.table, "text")
@@ -257,9 +195,9 @@ def remove_repeated_passages(docs: DataFrame, width: int = 20, digest: bool = Fa
     size = c.text_bytes(docs)
     n_buckets = max(8, size // BUCKET_BYTES)
     blocks = c.blocked(docs, max(1, -(-size // BLOCK_BYTES)))
-    sent = blocks.groupBy("block").applyInArrow(_send_anchors(width, n_buckets), _SENT)
-    live = sent.groupBy("bucket").applyInArrow(_find_repeated, _BACK)
-    windows = blocks.groupBy("block").cogroup(live.groupBy("block")).applyInArrow(_send_windows(width, n_buckets), _SENT)
-    later = windows.groupBy("bucket").applyInArrow(_find_later, _BACK)
+    sent = blocks.groupBy("block").applyInArrow(_send_anchors(width, n_buckets), x.SENT)
+    live = sent.groupBy("bucket").applyInArrow(_find_repeated, x.BACK)
+    windows = blocks.groupBy("block").cogroup(live.groupBy("block")).applyInArrow(_send_windows(width, n_buckets), x.SENT)
+    later = windows.groupBy("bucket").applyInArrow(x.find_later, x.BACK)
     finished = blocks.groupBy("block").cogroup(later.groupBy("block"))
     return finished.applyInArrow(_finish(width, not digest), _RESULT if digest else _SPANS)
