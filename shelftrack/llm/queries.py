@@ -10,6 +10,7 @@ from shelftrack.llm.collision_search import nearest_products
 from shelftrack.llm.knn_join import top_products
 from shelftrack.llm.language import identify
 from shelftrack.llm.line_dedup import remove_repeated_lines
+from shelftrack.llm.mixing import label_domains, mix
 from shelftrack.llm.quality import score_quality
 from shelftrack.llm.simhash import near_duplicates
 from shelftrack.llm.substring_dedup import remove_repeated_passages
@@ -78,6 +79,19 @@ def op8(spark, sf):
     return remove_repeated_lines(c.read(spark, sf, "documents"), max_edits=2, near_bytes=24, digest=True)
 
 
+MIX = {"good": 0.96, "poor": 0.03, "toxic": 0.01}
+
+
+@query("op9_source_mixing")
+def op9(spark, sf):
+    labels = label_domains(c.read(spark, sf, "labels"))
+    mixed = mix(c.read(spark, sf, "documents").select("doc_id", "text"), labels, MIX, keeping="good")
+    shares = [F.col("mix_posteriors")[i].alias(f"p_{name}") for i, name in enumerate(sorted(MIX))]
+    return mixed.select(
+        "doc_id", F.col("mix_tokens").alias("n_tokens"), *shares, F.col("mix_rate").alias("rate"), F.col("mix_copies").alias("copies")
+    )
+
+
 @query("op10_quality")
 def op10(spark, sf):
     return score_quality(c.read(spark, sf, "documents"), c.read(spark, sf, "labels"))
