@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from shelftrack.llm import common as c
@@ -12,6 +14,7 @@ from shelftrack.llm.language import identify
 from shelftrack.llm.line_dedup import remove_repeated_lines
 from shelftrack.llm.mixing import label_domains, mix
 from shelftrack.llm.quality import score_quality
+from shelftrack.llm.sentencepiece_fst import encode
 from shelftrack.llm.simhash import near_duplicates
 from shelftrack.llm.substring_dedup import remove_repeated_passages
 
@@ -53,6 +56,15 @@ def op1(spark, sf):
     return top_products(whole.filter(F.col("vec_id") % 20 == 0), whole, 20)
 
 
+# Where the public tokenizers lie; the file is read, never copied.
+TOKENIZER = os.environ.get("SHELFTRACK_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@query("op2_sentencepiece")
+def op2(spark, sf):
+    return encode(c.read(spark, sf, "documents"), TOKENIZER)
+
+
 @query("op3_simhash_dedup")
 def op3(spark, sf):
     return near_duplicates(c.read(spark, sf, "documents"), shingle=3, max_bits=2)
