@@ -2,9 +2,9 @@
 
 The largest inner product becomes the smallest distance, as one more component
 makes all data vectors equally long. Blocks of the data are indexed: each of
-``PROJECTIONS`` random directions keeps the block's values on it sorted, with the
-row of each. A query lays a window around its own value on every direction; rows
-inside collide. Rows with at least ``THRESHOLD`` of all collisions possible are
+``PROJECTIONS`` random directions keeps the block's values on it sorted, with each
+row's place in that order. A query lays a window around its own value on every
+direction; rows whose place lies inside collide. Rows with at least ``THRESHOLD`` of all collisions possible are
 verified by their true product. While fewer than ``k`` verified rows lie within
 the radius, the radius grows by ``GROWTH`` and with it every window, on the same
 sorted arrays. A block's answer is never cut short by a number of candidates.
@@ -26,6 +26,7 @@ THRESHOLD = 0.58
 GROWTH = 1.25
 BLOCK_ROWS = 4096
 CHUNK_QUERIES = 512
+_TOGETHER = 16
 SAMPLE = 1024  # rows from which the first radius is set
 
 
@@ -38,17 +39,19 @@ def _lift(x: np.ndarray, longest: float) -> np.ndarray:
 
 
 def _index(dims: int, longest: float):
-    """One row a block: ids, vectors, and per direction the sorted values and their rows."""
+    """One row a block: ids, vectors, and per direction the sorted values and each row's place among them."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.take(pa.array(np.argsort(c.column(table, "vec_id").to_numpy(), kind="stable")))
         x = v.matrix(table.column("vector"), dims).astype(np.float64)
         values = (np.hstack([x, _lift(x, longest)]) @ _directions(dims + 1).T).T
         order = np.argsort(values, axis=1, kind="stable")
+        places = np.empty(order.shape, np.uint32)
+        np.put_along_axis(places, order, np.arange(order.shape[1], dtype=np.uint32)[None, :], axis=1)
         parts = {
             "block": table.column("block")[0].as_py(), "names": c.column(table, "vec_id").to_numpy().tobytes(),
             "body": x.tobytes(), "sorted_values": np.take_along_axis(values, order, axis=1).tobytes(),
-            "sorted_rows": order.astype(np.int32).tobytes(),
+            "places": places.tobytes(),
         }
         return pa.table({name: pa.array([value], pa.int32() if name == "block" else pa.binary()) for name, value in parts.items()})
 
@@ -61,38 +64,45 @@ class _Block:
         self.body = np.frombuffer(row["body"]).reshape(-1, dims)
         n = len(self.names)
         self.values = np.frombuffer(row["sorted_values"]).reshape(PROJECTIONS, n)
-        self.rows = np.frombuffer(row["sorted_rows"], np.int32).reshape(PROJECTIONS, n)
-
-    def nearest(self, name: int, query: np.ndarray, at: np.ndarray, k: int, radius: float, longest: float):
-        """Rows and products of the ``k`` nearest verified rows, the query's own left out."""
-        n = len(self.names)
-        hits, verified = np.zeros(n, np.int16), np.zeros(n, bool)
-        needed = int(np.ceil(THRESHOLD * PROJECTIONS))
-        own = self.names == name
-        lo = hi = None
-        rows, scores = np.zeros(0, np.int64), np.zeros(0)
-        length = query @ query
-        while True:
-            reach = HALF_WINDOW * radius
-            left = [int(np.searchsorted(self.values[i], at[i] - reach)) for i in range(PROJECTIONS)]
-            right = [int(np.searchsorted(self.values[i], at[i] + reach, side="right")) for i in range(PROJECTIONS)]
-            for i in range(PROJECTIONS):
-                order = self.rows[i]
-                if lo is None:
-                    hits[order[left[i] : right[i]]] += 1
-                else:
-                    hits[order[left[i] : lo[i]]] += 1
-                    hits[order[hi[i] : right[i]]] += 1
-            lo, hi = left, right
-            new = np.flatnonzero((hits >= needed) & ~verified & ~own)
-            verified[new] = True
-            rows, scores = np.concatenate([rows, new]), np.concatenate([scores, self.body[new] @ query])
-            best = np.lexsort((self.names[rows], -scores))[:k]
-            whole = all(a == 0 for a in lo) and all(b == n for b in hi)
-            within = len(best) >= k and length + longest - 2 * scores[best[-1]] <= radius * radius
-            if whole or within:
-                return rows[best], scores[best]
-            radius *= GROWTH
+        places = np.frombuffer(row["places"], np.uint32).reshape(PROJECTIONS, n)
+        self.places = places.astype(np.uint16) if n < 1 << 16 else places
+
+    def _colliding(self, at: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """Of each query the rows that collide often enough, and whether its windows hold the whole block."""
+        hits, whole = np.zeros((len(at), len(self.names)), np.uint8), np.ones(len(at), bool)
+        for i, (values, places) in enumerate(zip(self.values, self.places, strict=True)):
+            lo, hi = np.searchsorted(values, at[:, i] - reach), np.searchsorted(values, at[:, i] + reach, side="right")
+            whole &= (lo == 0) & (hi == len(values))
+            # Places below the window wrap around to large numbers.
+            hits += (places[None, :] - lo[:, None].astype(places.dtype)) < (hi - lo)[:, None].astype(places.dtype)
+        return hits >= np.ceil(THRESHOLD * PROJECTIONS), whole
+
+    def nearest(self, names: np.ndarray, queries: np.ndarray, at: np.ndarray, k: int, radius: float, longest: float):
+        """Query, row and product of the ``k`` nearest verified rows of each query, its own left out."""
+        active = np.arange(len(names))
+        lengths = np.einsum("ij,ij->i", queries, queries)
+        found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(names)
+        done = np.zeros((len(names), len(self.names)), bool)
+        while len(active):
+            near, whole = self._colliding(at[active], HALF_WINDOW * radius)
+            open_ = []
+            for i, own, all_of_it in zip(active.tolist(), near, whole, strict=True):
+                rows = np.flatnonzero(own & ~done[i] & (self.names != names[i]))
+                done[i, rows] = True
+                scores = np.concatenate([found[i][1], self.body[rows] @ queries[i]])
+                rows = np.concatenate([found[i][0], rows])
+                if len(rows) > k:
+                    # All that reach the k-th score, so that ties are settled by id.
+                    keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                    rows, scores = rows[keep], scores[keep]
+                best = np.lexsort((self.names[rows], -scores))[:k]
+                found[i] = rows[best], scores[best]
+                within = len(best) >= k and lengths[i] + longest - 2 * scores[best[-1]] <= radius * radius
+                if not (all_of_it or within):
+                    open_.append(i)
+            active, radius = np.array(open_, np.int64), radius * GROWTH
+        owner = np.repeat(np.arange(len(names)), [len(rows) for rows, _ in found])
+        return owner, np.concatenate([rows for rows, _ in found]), np.concatenate([scores for _, scores in found])
 
 
 def _search(k: int, dims: int, radius: float, longest: float):
@@ -104,9 +114,10 @@ def _search(k: int, dims: int, radius: float, longest: float):
             at = x @ _directions(dims + 1)[:, :dims].T
             for row in blocks.to_pylist():
                 block = _Block(row, dims)
-                for i, name in enumerate(names):
-                    rows, scores = block.nearest(name, x[i], at[i], k, radius, longest)
-                    out["query_id"].append(np.full(len(rows), name))
+                for lo in range(0, len(names), _TOGETHER):
+                    part = slice(lo, lo + _TOGETHER)
+                    owner, rows, scores = block.nearest(names[part], x[part], at[part], k, radius, longest)
+                    out["query_id"].append(names[part][owner])
                     out["vec_id"].append(block.names[rows])
                     out["score"].append(scores)
         return pa.table({name: pa.array(np.concatenate(parts)) for name, parts in out.items()})
@@ -121,12 +132,12 @@ def build_index(data: DataFrame) -> tuple[DataFrame, int, float]:
     n, dims, longest = data.agg(F.count("*"), F.max(F.size("vector")), F.max(squares)).first()
     dims, longest = max(1, dims or 0), float(longest or 0) * (1 + 1e-12)
     block = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(max(1, -(-n // BLOCK_ROWS)))).cast("int")
-    columns = "block int, names binary, body binary, sorted_values binary, sorted_rows binary"
+    columns = "block int, names binary, body binary, sorted_values binary, places binary"
     return data.withColumn("block", block).groupBy("block").applyInArrow(_index(dims, longest), columns), dims, longest
 
 
-def _first_radius(queries: DataFrame, data: DataFrame, dims: int, longest: float, k: int, n: int) -> float:
-    """About the distance of the ``k``-th neighbour, from a bounded sample; only speed depends on it."""
+def _first_radius(queries: DataFrame, data: DataFrame, dims: int, longest: float, k: int) -> float:
+    """About the distance of a block's ``k``-th neighbour, from a bounded sample; only speed depends on it."""
     pick = lambda df, m: df.orderBy(F.xxhash64("vec_id"), "vec_id").limit(m).select("vector").collect()
 
     def stack(rows):
@@ -139,7 +150,7 @@ def _first_radius(queries: DataFrame, data: DataFrame, dims: int, longest: float
     if not len(q) or not len(x):
         return 1.0
     squares = np.einsum("ij,ij->i", q, q)[:, None] + longest - 2 * q @ x.T
-    share = min(1.0, (k + 1) / n)
+    share = min(1.0, (k + 1) / BLOCK_ROWS)
     found = float(np.sqrt(np.maximum(np.median(np.quantile(squares, share, axis=1)), 0)))
     return found or max(longest**0.5 / 100, 1e-9)
 
@@ -166,7 +177,7 @@ def nearest_products(queries: DataFrame, data: DataFrame, k: int) -> DataFrame:
     if not n_blocks or not n_queries:
         return v.ranked(data.sparkSession.createDataFrame([], result), k, "score")
     dims = max(dims, v.width(queries, "vector"))
-    radius = _first_radius(queries, data, dims, longest, k, max(1, data.count()))
+    radius = _first_radius(queries, data, dims, longest, k)
     n_chunks = -(-n_queries // CHUNK_QUERIES)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     blocks = index.withColumn("chunk", every(n_chunks))
