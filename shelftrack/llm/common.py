@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 NO_ID = np.iinfo(np.int64).max  # a missing id comes after all others
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
+BASE = 0x9E3779B97F4A7C15
+BYTE_HASHES = np.random.default_rng(3).integers(0, 2**64, 256, dtype=np.uint64)
 _LONG_WORD = 256
 _shipped: set[str] = set()
 
@@ -137,6 +139,22 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return hashes
 
 
+class Substrings:
+    """Hashes of any substring of some bytes, from sums over powers of a base."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data) + 1
+        powers, inverse = np.full(n, np.uint64(BASE)), np.full(n, np.uint64(pow(BASE, -1, 1 << 64)))
+        powers[0] = inverse[0] = 1
+        powers = np.multiply.accumulate(powers)
+        self.total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_HASHES[data] * powers[:-1])])
+        self.inverse = np.multiply.accumulate(inverse)
+
+    def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        sums = (self.total[stop] - self.total[start]) * self.inverse[start]
+        return joined(mix(sums), (stop - start).astype(np.uint64), 9)
+
+
 def run_hashes(words: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     """A hash of every ``n`` consecutive hashes, by doubling; at the index of the first."""
     done, length, power, width = None, 0, words, 1

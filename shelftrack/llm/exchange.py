@@ -47,6 +47,49 @@ def unpack(body: bytes, *dtypes) -> list[np.ndarray]:
     return out
 
 
+def bucket_keys(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Short keys: the bucket above, four bytes of the hash below."""
+    return (c.spread(hashes, n_buckets).astype(np.uint64) << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
+
+
+def sent_keys(keys: np.ndarray, block: int) -> list[tuple[int, int, bytes]]:
+    """The distinct short keys of a block for each bucket, with a bit for those it has twice."""
+    keys, times = np.unique(keys, return_counts=True)
+    parts = []
+    for bucket, lo, hi in c.by_bucket((keys >> np.uint64(32)).astype(np.int64))[1]:
+        low = (keys[lo:hi] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        parts.append((bucket, block, pack(low, np.packbits(times[lo:hi] > 1))))
+    return parts
+
+
+def returned_keys(table: pa.Table) -> np.ndarray:
+    """Short keys that came back, sorted."""
+    parts = [low.astype(np.uint64) | (np.uint64(b) << np.uint64(32)) for b, low in returned(table, np.uint32).items()]
+    return np.sort(np.concatenate([*parts, np.zeros(0, np.uint64)]))
+
+
+def find_repeated(table: pa.Table) -> pa.Table:
+    """Keys that occur twice, in one block or in several, back to their blocks."""
+    bucket = table.column("bucket")[0].as_py()
+    blocks, values, twice = table.column("block").to_pylist(), [], []
+    for body in table.column("body").to_pylist():
+        low, bits = unpack(body, np.uint32, np.uint8)
+        values.append(low)
+        twice.append(np.unpackbits(bits, count=len(low)).astype(bool))
+    owner, values, twice = np.repeat(np.arange(len(blocks)), [len(v) for v in values]), np.concatenate(values), np.concatenate(twice)
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    same = ranked[1:] == ranked[:-1]
+    live = twice
+    live[order[1:][same]] = True
+    live[order[:-1][same]] = True
+    parts = []
+    for i, lo, hi in c.by_bucket(owner)[1]:
+        if (found := values[lo:hi][live[lo:hi]]).size:
+            parts.append((blocks[i], bucket, found.tobytes()))
+    return rows(parts, TO_BLOCK)
+
+
 def pack_places(hashes: np.ndarray, doc_ids: np.ndarray, check: np.ndarray, place: np.ndarray) -> bytes:
     """Hashes (64 bits), ids, second hashes and places (32 bits each)."""
     columns = (hashes, doc_ids, check.astype(np.uint32), place.astype(np.uint32))

@@ -26,9 +26,7 @@ from shelftrack.llm import exchange as x
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 _NEWLINE = 10
-_BASE = 0x9E3779B97F4A7C15 | 1
 _TOGETHER = 1 << 15  # pairs verified at once
-_BYTES = np.random.default_rng(3).integers(0, 2**64, 256, dtype=np.uint64)
 
 
 class _Lines:
@@ -95,23 +93,6 @@ def _send_lines(n_buckets: int):
 # Segments.
 
 
-class _Substrings:
-    """Hashes of any substring, from sums over powers of a base."""
-
-    def __init__(self, data: np.ndarray):
-        n = len(data) + 1
-        powers = np.full(n, np.uint64(_BASE))
-        powers[0] = 1
-        powers = np.multiply.accumulate(powers)
-        self.total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * powers[:-1])])
-        inverse = np.full(n, np.uint64(pow(_BASE, -1, 1 << 64)))
-        inverse[0] = 1
-        self.inverse = np.multiply.accumulate(inverse)
-
-    def __call__(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        return (self.total[start + size] - self.total[start]) * self.inverse[start]
-
-
 def _segment(length: np.ndarray, i: int, max_edits: int) -> tuple[np.ndarray, np.ndarray]:
     """Offset and size of segment ``i`` of lines of a length; the last ones are a byte longer if need be."""
     n = max_edits + 1
@@ -121,14 +102,14 @@ def _segment(length: np.ndarray, i: int, max_edits: int) -> tuple[np.ndarray, np
 
 def _keys(lines: _Lines, at: np.ndarray, max_edits: int, near: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Line (as index into ``at``), key and whether the key is of its own segments, of all keys."""
-    substring, length, start = _Substrings(lines.data), (lines.ends - lines.starts)[at], lines.starts[at]
+    substring, length, start = c.Substrings(lines.data), (lines.ends - lines.starts)[at], lines.starts[at]
     who, keys, own = [], [], []
     everyone = np.arange(len(at))
 
     def add(rows, begin, size, shorter, i, is_own):
         kind = (shorter * (max_edits + 1) + i).astype(np.uint64)
         who.append(rows)
-        keys.append(c.joined(c.mix(substring(begin, size)), kind, 5))
+        keys.append(c.joined(substring(begin, begin + size), kind, 5))
         own.append(np.full(len(rows), is_own))
 
     for i in range(max_edits + 1):
@@ -146,18 +127,13 @@ def _keys(lines: _Lines, at: np.ndarray, max_edits: int, near: int) -> tuple[np.
     return np.concatenate(who), np.concatenate(keys), np.concatenate(own)
 
 
-def _cut_keys(keys: np.ndarray, n_buckets: int) -> np.ndarray:
-    """Keys by bucket: its number above, four bytes of the hash below."""
-    return (c.spread(keys, n_buckets).astype(np.uint64) << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
-
-
 def _send_keys(max_edits: int, near: int, n_buckets: int):
     def send(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return x.rows([], x.TO_BUCKET)
         lines = _Lines(table)
         who, keys, own = _keys(lines, lines.owned(answers, near), max_edits, near)
-        keys = _cut_keys(keys, n_buckets)
+        keys = x.bucket_keys(keys, n_buckets)
         order = np.lexsort((who, keys))
         keys, who, own = keys[order], who[order], own[order]
         new = np.ones(len(keys), bool)
@@ -212,10 +188,8 @@ def _send_candidates(max_edits: int, near: int, n_buckets: int):
         lines = _Lines(table)
         at = lines.owned(answers.filter(pa.array(~is_live)), near)
         who, keys, own = _keys(lines, at, max_edits, near)
-        keys = _cut_keys(keys, n_buckets)
-        known = x.returned(answered, np.uint32)
-        live = np.sort(np.concatenate([k.astype(np.uint64) | (np.uint64(b) << np.uint64(32)) for b, k in known.items()]))
-        met = np.flatnonzero(c.contains(live, keys))
+        keys = x.bucket_keys(keys, n_buckets)
+        met = np.flatnonzero(c.contains(x.returned_keys(answered), keys))
         order, cuts = c.by_bucket((keys[met] >> np.uint64(32)).astype(np.int64))
         met = met[order]
         parts = []

@@ -17,6 +17,7 @@ from shelftrack.llm.quality import score_quality
 from shelftrack.llm.sentencepiece_fst import encode
 from shelftrack.llm.simhash import near_duplicates
 from shelftrack.llm.substring_dedup import remove_repeated_passages
+from shelftrack.llm.suffix_dedup import remove_repeated_strings
 
 QUERIES = {}
 ORACLES = {}
@@ -70,6 +71,11 @@ def op3(spark, sf):
     return near_duplicates(c.read(spark, sf, "documents"), shingle=3, max_bits=2)
 
 
+@query("op4_suffix_array_dedup")
+def op4(spark, sf):
+    return remove_repeated_strings(c.read(spark, sf, "documents"), width=100, digest=True)
+
+
 @query("op5_language_id")
 def op5(spark, sf):
     return identify(c.read(spark, sf, "documents"))

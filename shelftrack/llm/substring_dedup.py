@@ -57,61 +57,25 @@ class _Block:
         at = self.runs(n)
         at = at[COVER[self.place[at] % PERIOD]]
         hashes = c.run_hashes(self.words, n)[at] if len(at) else np.zeros(0, np.uint64)
-        bucket = c.spread(hashes, n_buckets)
-        return at, (bucket.astype(np.uint64) << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
+        return at, x.bucket_keys(hashes, n_buckets)
 
 
 def _send_anchors(width: int, n_buckets: int):
     def send(table: pa.Table) -> pa.Table:
         _, keys = _Block(table).anchors(width, n_buckets)
-        keys, times = np.unique(keys, return_counts=True)
-        parts = []
-        for bucket, lo, hi in c.by_bucket((keys >> np.uint64(32)).astype(np.int64))[1]:
-            body = (keys[lo:hi] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            parts.append((bucket, x.block_of(table), np.packbits(times[lo:hi] > 1).tobytes() + body.tobytes()))
-        return x.rows(parts, x.TO_BUCKET)
+        return x.rows(x.sent_keys(keys, x.block_of(table)), x.TO_BUCKET)
 
     return send
 
 
-def _find_repeated(table: pa.Table) -> pa.Table:
-    bucket = table.column("bucket")[0].as_py()
-    blocks, values, twice = [], [], []
-    for block, body in zip(table.column("block").to_pylist(), table.column("body").to_pylist(), strict=True):
-        n = len(body) * 8 // 33
-        while (n + 7) // 8 + 4 * n < len(body):
-            n += 1
-        bits = (n + 7) // 8
-        values.append(np.frombuffer(body, np.uint32, n, bits))
-        twice.append(np.unpackbits(np.frombuffer(body, np.uint8, bits), count=n).astype(bool))
-        blocks.append(block)
-    sizes = [len(v) for v in values]
-    owner, values, twice = np.repeat(np.arange(len(blocks)), sizes), np.concatenate(values), np.concatenate(twice)
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
-    same = ranked[1:] == ranked[:-1]
-    live = np.zeros(len(values), bool)
-    live[order[1:][same]] = True
-    live[order[:-1][same]] = True
-    live |= twice
-    parts = []
-    for i, lo, hi in c.by_bucket(owner)[1]:
-        if (found := values[lo:hi][live[lo:hi]]).size:
-            parts.append((blocks[i], bucket, found.tobytes()))
-    return x.rows(parts, x.TO_BLOCK)
-
-
 def _send_windows(width: int, n_buckets: int):
     def send(table: pa.Table, live: pa.Table) -> pa.Table:
         if not table.num_rows or not live.num_rows:
             return x.rows([], x.TO_BUCKET)
         block = _Block(table)
         at, keys = block.anchors(width, n_buckets)
-        found = np.concatenate(
-            [v.astype(np.uint64) | (np.uint64(b) << np.uint64(32)) for b, v in sorted(x.returned(live, np.uint32).items())]
-        )
         places = np.zeros(len(block.words) + 1, np.int64)
-        places[at[~c.contains(np.sort(found), keys)] + 1] = 1  # anchors met once
+        places[at[~c.contains(x.returned_keys(live), keys)] + 1] = 1  # anchors met once
         single = np.cumsum(places)
         starts = block.runs(width)
         starts = starts[single[starts + PERIOD] == single[starts]]
@@ -196,7 +160,7 @@ def remove_repeated_passages(docs: DataFrame, width: int = 20, digest: bool = Fa
     n_buckets = max(8, size // BUCKET_BYTES)
     blocks = c.blocked(docs, max(1, -(-size // BLOCK_BYTES)))
     sent = blocks.groupBy("block").applyInArrow(_send_anchors(width, n_buckets), x.SENT)
-    live = sent.groupBy("bucket").applyInArrow(_find_repeated, x.BACK)
+    live = sent.groupBy("bucket").applyInArrow(x.find_repeated, x.BACK)
     windows = blocks.groupBy("block").cogroup(live.groupBy("block")).applyInArrow(_send_windows(width, n_buckets), x.SENT)
     later = windows.groupBy("bucket").applyInArrow(x.find_later, x.BACK)
     finished = blocks.groupBy("block").cogroup(later.groupBy("block"))
