@@ -31,14 +31,22 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/shelftrack-llm", "zip", str(top), "shelftrack"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; one of its own in a local session without."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="shelftrack-checkpoints-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from there."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="shelftrack-checkpoints-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -51,14 +59,15 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
-def blocked(docs: DataFrame, n_blocks: int) -> DataFrame:
-    """``block``, ``doc_id`` and ``text`` of all rows; the block follows from id and text.
+def blocked(docs: DataFrame, n_blocks: int, keep: bool = False) -> DataFrame:
+    """``block``, ``doc_id`` and ``text`` of all rows, with ``keep`` also their ``row``; the block follows from id and text.
 
     Copies of one text spread over the blocks, as their ids differ.
     """
     doc_id, text = docs["doc_id"].cast("long"), docs["text"].cast("string")
     block = F.pmod(F.xxhash64(doc_id, text), F.lit(n_blocks)).cast("int")
-    return docs.select(block.alias("block"), doc_id.alias("doc_id"), text.alias("text"))
+    others = [F.struct(*(F.lit(None).cast("string").alias(k) if k == "text" else F.col(k) for k in docs.columns)).alias("row")]
+    return docs.select(block.alias("block"), doc_id.alias("doc_id"), text.alias("text"), *(others if keep else []))
 
 
 # In tasks: arrays over the texts of one Arrow table.

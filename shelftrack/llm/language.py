@@ -225,7 +225,7 @@ def _pieces(batch: pa.RecordBatch):
             yield batch.slice(lo, hi - lo)
 
 
-def _label(names: list[str], weights: np.ndarray, transitions: np.ndarray, spans: bool):
+def _label(names: list[str], weights: np.ndarray, transitions: np.ndarray, spans: bool, keep: bool):
     def run(batches):
         for batch in batches:
             for part in _pieces(batch):
@@ -257,12 +257,15 @@ def _label(names: list[str], weights: np.ndarray, transitions: np.ndarray, spans
             kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())]))
             columns.append(pa.array(runs, kind))
             labels.append("spans")
+        if keep:
+            columns.append(part.column("row"))
+            labels.append("row")
         return pa.RecordBatch.from_arrays(columns, labels)
 
     return run
 
 
-def identify(docs: DataFrame, learn_from: DataFrame | None = None, rows: int = TRAIN_ROWS, spans: bool = False) -> DataFrame:
+def identify(docs: DataFrame, learn_from: DataFrame | None = None, rows: int = TRAIN_ROWS, spans: bool = False, keep: bool = False) -> DataFrame:
     """The language of each document of ``doc_id``, ``text`` with the labels in ``lang``.
 
     Weights are learnt from at most ``rows`` documents per language of
@@ -271,7 +274,7 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None, rows: int = T
     are ``held_out``. ``lang`` and the id are no inputs of a prediction. The
     result has ``doc_id``, ``held_out``, ``lang_pred`` and ``score``, the mean
     posterior of that language over the words; with ``spans`` also the runs of
-    words of one language, by word number.
+    words of one language, by word number; with ``keep`` also the input's ``row``.
 
     A text that is null or has no letter is ``und`` with score 0, and so is every
     text if no label was given. Ties take the smaller name. A null id is not
@@ -284,8 +287,11 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None, rows: int = T
     learn = (learn_from or docs).select("doc_id", "text", "lang")
     learn = learn.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & lettered & ~held_out)
     names, weights, transitions = train(*_sampled(learn, rows))
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"), lettered.alias("lettered"))
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out")]
+    given = docs.select(*columns, lettered.alias("lettered"), *([F.struct(*docs.columns).alias("row")] if keep else []))
     result = "doc_id long, held_out boolean, lang_pred string, score double"
     if spans:
         result += ", spans array<struct<start:long,stop:long,lang:string>>"
-    return given.mapInArrow(_label(names, weights, transitions, spans), result)
+    if keep:
+        result += f", row {given.schema['row'].dataType.simpleString()}"
+    return given.mapInArrow(_label(names, weights, transitions, spans, keep), result)

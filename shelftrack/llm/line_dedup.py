@@ -317,12 +317,13 @@ def _with_earlier(keys, line, own, rank, data, starts, sizes, max_edits) -> np.n
 # The texts that stay.
 
 
-def _finish(digest: bool):
+def _finish(digest: bool, keep: bool):
     schema = _DIGEST if digest else _TEXTS
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return schema.empty_table()
+            empty = schema.empty_table()
+            return empty.append_column("row", table.column("row")) if keep else empty
         lines = _Lines(table)
         kind = answers.column("kind").to_numpy(zero_copy_only=False)
         later = _found(answers.filter(pa.array(kind == 0)), np.uint64)
@@ -339,7 +340,8 @@ def _finish(digest: bool):
             row += [hashlib.sha256((text or "").encode()).hexdigest()] if digest else [text, np.flatnonzero(mask).tolist()]
             for name, value in zip(out, row, strict=True):
                 out[name].append(value)
-        return pa.table(out, schema=schema)
+        found = pa.table(out, schema=schema)
+        return found.append_column("row", lines.table.column("row")) if keep else found
 
     return finish
 
@@ -349,7 +351,7 @@ _DIGEST = pa.schema([*_COUNTS, ("kept_sha256", pa.string())])
 _TEXTS = pa.schema([*_COUNTS, ("kept", pa.string()), ("removed", pa.list_(pa.int64()))])
 
 
-def remove_repeated_lines(docs: DataFrame, max_edits: int = 2, near_bytes: int = 24, digest: bool = False) -> DataFrame:
+def remove_repeated_lines(docs: DataFrame, max_edits: int = 2, near_bytes: int = 24, digest: bool = False, keep: bool = False) -> DataFrame:
     """Each document of ``doc_id`` and ``text`` without lines that an earlier line equals or nearly equals.
 
     Lines end at line feeds. One is removed if an equal line stands earlier
@@ -358,7 +360,8 @@ def remove_repeated_lines(docs: DataFrame, max_edits: int = 2, near_bytes: int =
     replaced between them. All lines are judged on the input: a line may go for
     the sake of one that goes itself. Blank lines stay. The result has
     ``doc_id``, ``n_lines``, ``n_removed``, the ``kept`` text and the numbers of
-    the ``removed`` lines; with ``digest`` the SHA-256 of the kept text instead.
+    the ``removed`` lines; with ``digest`` the SHA-256 of the kept text instead;
+    with ``keep`` also the input's ``row``, without its text.
 
     A null or empty text has no lines and stays as it is. A null id counts as
     larger than every other. Rows that share an id count as one document: of
@@ -370,7 +373,7 @@ def remove_repeated_lines(docs: DataFrame, max_edits: int = 2, near_bytes: int =
     c.ship(docs.sparkSession)
     size = c.text_bytes(docs)
     n_buckets = max(8, size // BUCKET_BYTES)
-    blocks = c.blocked(docs, max(1, -(-size // BLOCK_BYTES)))
+    blocks = c.blocked(docs, max(1, -(-size // BLOCK_BYTES)), keep)
     of_block = blocks.groupBy("block")
     sent = of_block.applyInArrow(_send_lines(n_buckets), x.SENT)
     later = sent.groupBy("bucket").applyInArrow(x.find_later, x.BACK)
@@ -381,7 +384,9 @@ def remove_repeated_lines(docs: DataFrame, max_edits: int = 2, near_bytes: int =
     near = candidates.groupBy("bucket").applyInArrow(_verify(max_edits), x.BACK)
     counts = "doc_id long, n_lines long, n_removed long, "
     result = counts + ("kept_sha256 string" if digest else "kept string, removed array<long>")
-    return of_block.cogroup(_both(later, near).groupBy("block")).applyInArrow(_finish(digest), result)
+    if keep:
+        result += f", row {blocks.schema['row'].dataType.simpleString()}"
+    return of_block.cogroup(_both(later, near).groupBy("block")).applyInArrow(_finish(digest, keep), result)
 
 
 def _both(first: DataFrame, second: DataFrame) -> DataFrame:

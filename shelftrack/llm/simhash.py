@@ -57,7 +57,7 @@ def _fingerprints(shingle: int):
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary()).fill_null(b"")
             marks = np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], ["doc_id", "mark"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64)), batch.column(2)], ["doc_id", "mark", "text_hash"])
 
     return run
 
@@ -220,10 +220,11 @@ def close_fingerprints(marks: DataFrame, max_bits: int, leaf: int = LEAF) -> Dat
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id`` and ``mark``, the 64 bits of each text as a long; no word at all gives 0."""
+    """``doc_id``, ``mark``, the 64 bits of each text as a long, 0 if it has no word, and the ``text_hash``."""
     c.ship(docs.sparkSession)
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints(shingle), "doc_id long, mark long")
+    text = docs["text"].cast("string")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    return rows.mapInArrow(_fingerprints(shingle), "doc_id long, mark long, text_hash long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
@@ -233,7 +234,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     shingles of ``shingle`` words, repeats included; a text of fewer words is one
     shingle. A bit is one if it is set in over half of the shingles' hashes.
     Documents at most ``max_bits`` apart are linked; ``component_id`` is the
-    smallest id reachable over links, the document's own included.
+    smallest id reachable over links, the document's own included. ``text_hash``
+    is ``xxhash64`` of the text and tells rows of one id apart.
 
     Null and empty texts have fingerprint zero and link like any other. A row
     without an id keeps its row and takes the smallest id of its component
@@ -249,4 +251,4 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     named = owned.join(smallest, "root").select(F.col("node").alias("mark"), "component")
     every = kinds.join(named, "mark", "left").select("mark", F.coalesce("component", "least").alias("component_id"))
     hexed = F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint")
-    return marked.join(every, "mark").select("doc_id", hexed, "component_id")
+    return marked.join(every, "mark").select("doc_id", hexed, "component_id", "text_hash")
