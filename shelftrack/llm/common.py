@@ -196,6 +196,8 @@ def restored(body: bytes, dtype) -> np.ndarray:
 def by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """An order that brings the rows of a bucket together, and (bucket, from, to) of each."""
     order = np.argsort(bucket, kind="stable")
+    if not len(order):
+        return order, []
     found, first = np.unique(bucket[order], return_index=True)
     return order, list(zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True))
 

@@ -3,8 +3,8 @@
 Every word place whose index modulo ``PERIOD`` lies in ``COVER`` starts an
 anchor of ``width - PERIOD + 1`` words. For any two places there is a shift
 below ``PERIOD`` that takes both onto the cover, so two equal windows share an
-aligned anchor. Anchors that occur once rule their windows out; the windows
-left are extended to their full width and the first of each kind stays.
+aligned anchor. A window none of whose anchors occurs again is ruled out; the
+windows left are extended to their full width and the first of each kind stays.
 
 Texts are cut into blocks of a few MB by a hash of the row. A block sends each
 of its anchors once, as four bytes, so a passage that a third of all documents
@@ -75,10 +75,10 @@ def _send_windows(width: int, n_buckets: int):
         block = _Block(table)
         at, keys = block.anchors(width, n_buckets)
         places = np.zeros(len(block.words) + 1, np.int64)
-        places[at[~c.contains(x.returned_keys(live), keys)] + 1] = 1  # anchors met once
-        single = np.cumsum(places)
+        places[at[c.contains(x.returned_keys(live), keys)] + 1] = 1  # anchors met again
+        met = np.cumsum(places)
         starts = block.runs(width)
-        starts = starts[single[starts + PERIOD] == single[starts]]
+        starts = starts[met[starts + PERIOD] > met[starts]]
         hashes, check = (c.run_hashes(block.words, width, salt)[starts] for salt in (0, 1))
         hashes, first = np.unique(hashes, return_index=True)
         starts, check = starts[first], (check[first] >> np.uint64(32)).astype(np.uint32)
