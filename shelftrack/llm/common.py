@@ -216,10 +216,9 @@ def contains(found: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Which of ``n`` places lie in a window of ``width`` that begins at one of ``starts``."""
-    change = np.zeros(n + 1, np.int64)
-    change[starts] += 1
-    np.subtract.at(change, np.minimum(starts + width, n), 1)
-    return np.cumsum(change[:n]) > 0
+    opened = np.bincount(starts, minlength=n + 1)
+    closed = np.bincount(np.minimum(starts + width, n), minlength=n + 1)
+    return np.cumsum((opened - closed)[:n]) > 0
 
 
 # Connected components.

@@ -15,6 +15,10 @@ and stay where they are; equal contexts are one text of the collection; the
 others go to the bucket of their anchor. The columns of a collection are read
 and written in order, and what the method keeps in files between machines is
 the exchange of blocks and buckets.
+
+An anchor inside a very common passage has as many contexts as texts go on
+differently behind it. From ``HOT`` contexts on its strings are sent one by one,
+equal ones once a block, to the bucket of the string, so that no task gets them all.
 """
 
 from __future__ import annotations
@@ -31,7 +35,8 @@ from shelftrack.llm import exchange as x
 ANCHOR = 32
 BLOCK_BYTES = 3 << 20
 BUCKET_BYTES = 8 << 20
-COLLECTION = 2048  # contexts whose columns are built together; anchors are never split
+COLLECTION = 2048  # contexts whose columns are built together, about
+HOT = 8192  # contexts from which an anchor's strings go to buckets of their own
 _TILE = 1 << 16
 _PLACE_BITS = np.uint64(20)
 
@@ -91,48 +96,121 @@ class _Contexts:
         self.substring = c.Substrings(self.data)
         self.hashes = c.joined(self.substring(self.lo, self.hi + width), (self.anchor - self.lo).astype(np.uint64), 3)
 
+    def windows(self, chosen: np.ndarray) -> np.ndarray:
+        """Places of all windows of the chosen contexts."""
+        return _ranges(self.lo[chosen], (self.hi - self.lo + 1)[chosen])
+
+    def window_names(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, document id and place of windows."""
+        doc = np.searchsorted(self.bounds, windows, side="right") - 1
+        return self.substring(windows, windows + self.width), self.doc_ids[doc], windows - self.bounds[doc]
+
     def keys(self, n_buckets: int) -> np.ndarray:
         return x.bucket_keys(self.substring(self.anchor, self.anchor + ANCHOR), n_buckets)
 
 
 def _send_anchors(width: int, n_buckets: int):
+    """The distinct anchors of a block and how many distinct contexts each has."""
+
     def send(table: pa.Table) -> pa.Table:
         contexts = _Contexts(table, width)
-        return x.rows(x.sent_keys(contexts.keys(n_buckets), x.block_of(table)), x.TO_BUCKET)
+        pairs = np.unique(np.stack([contexts.keys(n_buckets), contexts.hashes], axis=1), axis=0)
+        keys, counts = np.unique(pairs[:, 0], return_counts=True)
+        parts = []
+        for bucket, lo, hi in c.by_bucket((keys >> np.uint64(32)).astype(np.int64))[1]:
+            low = (keys[lo:hi] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            parts.append((bucket, x.block_of(table), x.pack(low, np.minimum(counts[lo:hi], 65535).astype(np.uint16))))
+        return x.rows(parts, x.TO_BUCKET)
 
     return send
 
 
-_FIELDS = (np.uint32, np.uint64, np.int64, np.uint32, np.uint8, np.uint8)
+def _find_repeated(hot: int):
+    """Anchors with several contexts, back to their blocks; those with ``hot`` or more apart."""
+
+    def find(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        blocks = table.column("block").to_pylist()
+        keys, counts = zip(*(x.unpack(b, np.uint32, np.uint16) for b in table.column("body").to_pylist()), strict=True)
+        owner = np.repeat(np.arange(len(blocks)), [len(k) for k in keys])
+        _, back = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(back, np.concatenate(counts))[back]
+        parts = []
+        for i, lo, hi in c.by_bucket(owner)[1]:
+            some, many = (total[lo:hi] > 1) & (total[lo:hi] < hot), total[lo:hi] >= hot
+            if some.any() or many.any():
+                parts.append((blocks[i], bucket, x.pack(keys[i][some], keys[i][many])))
+        return x.rows(parts, x.TO_BLOCK)
+
+    return find
+
+
+def _live(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of anchors with several contexts and of hot ones, sorted."""
+    found = [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]]
+    for bucket, body in zip(table.column("bucket").to_pylist(), table.column("body").to_pylist(), strict=True):
+        for out, low in zip(found, x.unpack(body, np.uint32, np.uint32), strict=True):
+            out.append(low.astype(np.uint64) | (np.uint64(bucket) << np.uint64(32)))
+    return tuple(np.sort(np.concatenate(v)) for v in found)
+
+
+_FIELDS = (np.uint32, np.uint64, np.int64, np.uint32, np.uint8, np.uint8, np.uint8)
 
 
 def _send_contexts(width: int, n_buckets: int):
     def send(table: pa.Table, live: pa.Table) -> pa.Table:
         if not table.num_rows or not live.num_rows:
             return x.rows([], x.TO_BUCKET)
-        contexts = _Contexts(table, width)
+        contexts, block = _Contexts(table, width), x.block_of(table)
         keys = contexts.keys(n_buckets)
-        at = np.flatnonzero(c.contains(x.returned_keys(live), keys))
+        some, many = _live(live)
+        parts = _sent_windows(contexts, contexts.windows(c.contains(many, keys)), n_buckets, block)
+        if len(many):
+            # To the block itself, which has to know its hot anchors at the end.
+            parts.append((2 * n_buckets + block, block, many.tobytes()))
+        at = np.flatnonzero(c.contains(some, keys))
         order = np.lexsort((contexts.place[at], contexts.doc_ids[contexts.doc[at]], contexts.hashes[at]))
         ranked = contexts.hashes[at][order]
         at = at[order[np.concatenate([[True], ranked[1:] != ranked[:-1]])]] if len(at) else at
         order, cuts = c.by_bucket((keys[at] >> np.uint64(32)).astype(np.int64))
         at = at[order]
-        parts = []
         for bucket, lo, hi in cuts:
             own = at[lo:hi]
             size = contexts.hi[own] - contexts.lo[own] + width
-            place = np.repeat(contexts.lo[own], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             body = x.pack(
                 (keys[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32), contexts.hashes[own], contexts.doc_ids[contexts.doc[own]],
-                contexts.place[own].astype(np.uint32), (size - width).astype(np.uint8), contexts.data[place],
+                contexts.place[own].astype(np.uint32), (size - width).astype(np.uint8),
+                (contexts.anchor - contexts.lo)[own].astype(np.uint8), contexts.data[_ranges(contexts.lo[own], size)],
             )
-            parts.append((bucket, x.block_of(table), body))
+            parts.append((bucket, block, body))
         return x.rows(parts, x.TO_BUCKET)
 
     return send
 
 
+def _sent_windows(contexts: _Contexts, windows: np.ndarray, n_buckets: int, block: int) -> list[tuple[int, int, bytes]]:
+    """Single strings of hot anchors; equal ones count once in a block and go to one bucket."""
+    if not len(windows):
+        return []
+    hashes, doc_ids, place = contexts.window_names(windows)
+    order = np.lexsort((place, doc_ids, hashes))
+    order = order[np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])]
+    bucket = c.spread(hashes[order], n_buckets)
+    by, cuts = c.by_bucket(bucket)
+    order = order[by]
+    start = windows[order]
+    check = contexts.substring(start, start + contexts.width // 2) >> np.uint64(32)
+    return [
+        (n_buckets + number, block, x.pack_places(hashes[order[lo:hi]], doc_ids[order[lo:hi]], check[lo:hi], place[order[lo:hi]]))
+        for number, lo, hi in cuts
+    ]
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range behind the other."""
+    return np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+
+
 # The transform.
 
 
@@ -207,40 +285,72 @@ def _least(shared: np.ndarray, above: np.ndarray, below: np.ndarray, width: int)
     return out
 
 
-def _find_later(width: int):
+def _trimmed(data, first, lead, own, size, group, width) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each context that another one of its anchor may share.
+
+    Every window reaches half of what an anchor leaves to the left of it, or half
+    to the right. A context whose half on one side nobody else has keeps the windows
+    that do not reach that far.
+    """
+    substring, half = c.Substrings(data), (width - ANCHOR) // 2
+    anchor, lo, hi = first[own] + lead, np.zeros(len(own), np.int64), size - width
+
+    def alone(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        inside = (start >= first[own]) & (stop <= first[own] + size)
+        names = c.joined(substring(np.where(inside, start, anchor), np.where(inside, stop, anchor)), group.astype(np.uint64), 4)
+        _, back, times = np.unique(names, return_inverse=True, return_counts=True)
+        return ~inside | (times[back] == 1)
+
+    left, right = alone(anchor - half, anchor + ANCHOR), alone(anchor, anchor + ANCHOR + half)
+    lo = np.where(left, np.maximum(lo, lead - (half - 1)), lo)
+    hi = np.where(right, np.minimum(hi, lead - (width - ANCHOR - half + 1)), hi)
+    return lo, hi
+
+
+def _find_later(width: int, n_buckets: int):
+    """Contexts, or strings of hot anchors, that have an equal one earlier, back to their blocks."""
+
     def find(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
+        if bucket >= 2 * n_buckets:
+            return table.select(["block", "bucket", "body"])
+        return x.find_later(table) if bucket >= n_buckets else find_contexts(table, bucket)
+
+    def find_contexts(table: pa.Table, bucket: int) -> pa.Table:
         blocks = table.column("block").to_pylist()
         fields = list(zip(*(x.unpack(b, *_FIELDS) for b in table.column("body").to_pylist()), strict=True))
         owner = np.repeat(np.arange(len(blocks)), [len(k) for k in fields[0]])
-        keys, hashes, doc_ids, place, extra, data = (np.concatenate(f) for f in fields)
-        first = np.concatenate([[0], np.cumsum(extra.astype(np.int64) + width)])
+        keys, hashes, doc_ids, place, extra, lead, data = (np.concatenate(f) for f in fields)
+        size = extra.astype(np.int64) + width
+        first = np.concatenate([[0], np.cumsum(size)])
         whole = x.later(doc_ids, place, hashes)
         # The first place of each context stands for it in the collection of its anchor.
         order = np.lexsort((place, doc_ids, hashes, keys))
         new = np.ones(len(order), bool)
         new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (keys[order][1:] != keys[order][:-1])
         kinds = order[new]
-        opening = np.flatnonzero(np.concatenate([[True], keys[kinds][1:] != keys[kinds][:-1]]))
-        size = np.diff(np.append(opening, len(kinds)))
-        several = np.flatnonzero(size > 1)
+        group = np.cumsum(np.concatenate([[True], keys[kinds][1:] != keys[kinds][:-1]])) - 1
+        lo, hi = _trimmed(data, first, lead[kinds].astype(np.int64), kinds, size[kinds], group, width)
+        # An anchor of one context is alone on both sides and has nothing left.
+        some = lo <= hi
+        kinds, group, lo, hi = kinds[some], group[some], lo[some], hi[some]
+        begins = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else group
+        part = np.repeat(begins, np.diff(np.append(begins, len(group)))) // COLLECTION
         bits = np.zeros((len(keys), width), bool)
-        part = (np.cumsum(size[several]) - 1) // COLLECTION
-        for number in np.unique(part):
-            groups = several[part == number]
-            own = kinds[np.concatenate([np.arange(opening[g], opening[g] + size[g]) for g in groups])]
-            lengths = first[own + 1] - first[own]
-            at = np.repeat(first[own], lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            text, offset, kind = repeated_prefixes(data[at], np.concatenate([[0], np.cumsum(lengths)]), width)
+        for _, a, b in c.by_bucket(part)[1]:
+            own, lengths = kinds[a:b], (hi - lo)[a:b] + width
+            body = data[_ranges(first[own] + lo[a:b], lengths)]
+            text, offset, kind = repeated_prefixes(body, np.concatenate([[0], np.cumsum(lengths)]), width)
+            offset = offset + lo[a:b][text]
             again = x.later(doc_ids[own[text]], place[own[text]] + offset, kind)
             bits[own[text[again]], offset[again]] = True
         partly = bits.any(axis=1) & ~whole
         parts = []
-        for i, lo, hi in c.by_bucket(owner)[1]:
-            all_of, some = whole[lo:hi], partly[lo:hi]
-            if all_of.any() or some.any():
-                packed = np.packbits(bits[lo:hi][some], axis=1).reshape(-1)
-                parts.append((blocks[i], bucket, x.pack(hashes[lo:hi][all_of], hashes[lo:hi][some], packed)))
+        for i, a, b in c.by_bucket(owner)[1]:
+            all_of, those = whole[a:b], partly[a:b]
+            if all_of.any() or those.any():
+                packed = np.packbits(bits[a:b][those], axis=1).reshape(-1)
+                parts.append((blocks[i], bucket, x.pack(hashes[a:b][all_of], hashes[a:b][those], packed)))
         return x.rows(parts, x.TO_BLOCK)
 
     return find
@@ -249,35 +359,42 @@ def _find_later(width: int):
 # The bytes that stay.
 
 
-def _removed(contexts: _Contexts, answers: pa.Table) -> np.ndarray:
+def _removed(contexts: _Contexts, answers: pa.Table, n_buckets: int) -> np.ndarray:
     """Windows that have an equal one earlier."""
     width = contexts.width
     whole = x.later(contexts.doc_ids[contexts.doc], contexts.place, contexts.hashes)
-    bodies = [x.unpack(b, np.uint64, np.uint64, np.uint8) for b in answers.column("body").to_pylist()]
+    hot, single, bodies = np.zeros(0, np.uint64), [np.zeros(0, np.uint64)], []
+    for bucket, body in zip(answers.column("bucket").to_pylist(), answers.column("body").to_pylist(), strict=True):
+        if bucket >= 2 * n_buckets:
+            hot = np.frombuffer(body, np.uint64)
+        elif bucket >= n_buckets:
+            single.append(np.frombuffer(body, np.uint64))
+        else:
+            bodies.append(x.unpack(body, np.uint64, np.uint64, np.uint8))
+    out = []
+    if len(hot):
+        windows = contexts.windows(c.contains(hot, contexts.keys(n_buckets)))
+        hashes, doc_ids, place = contexts.window_names(windows)
+        out.append(windows[c.contains(np.sort(np.concatenate(single)), hashes) | x.later(doc_ids, place, hashes)])
     if bodies:
         whole |= c.contains(np.sort(np.concatenate([b[0] for b in bodies])), contexts.hashes)
-    lo, hi = contexts.lo[whole], contexts.hi[whole]
-    size = hi - lo + 1
-    windows = [np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
-    if bodies:
-        names = np.concatenate([b[1] for b in bodies])
-        bits = np.concatenate([b[2] for b in bodies]).reshape(len(names), -1)
+        names, bits = np.concatenate([b[1] for b in bodies]), np.concatenate([b[2] for b in bodies])
         order = np.argsort(names)
-        names, bits = names[order], bits[order]
+        names, bits = names[order], bits.reshape(len(names), (width + 7) // 8)[order]
         some = np.flatnonzero(~whole & c.contains(names, contexts.hashes))
         rows, offsets = np.nonzero(np.unpackbits(bits[np.searchsorted(names, contexts.hashes[some])], axis=1, count=width))
-        windows.append(contexts.lo[some][rows] + offsets)
-    return np.concatenate(windows)
+        out.append(contexts.lo[some][rows] + offsets)
+    return np.concatenate([contexts.windows(whole), *out])
 
 
-def _finish(width: int, digest: bool):
+def _finish(width: int, n_buckets: int, digest: bool):
     schema = _DIGEST if digest else _SPANS
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return schema.empty_table()
         contexts = _Contexts(table, width)
-        gone = c.covered(_removed(contexts, answers), width, len(contexts.data))
+        gone = c.covered(_removed(contexts, answers, n_buckets), width, len(contexts.data))
         out = {name: [] for name in schema.names}
         for i, doc_id in enumerate(c.column(contexts.table, "doc_id").to_pylist()):
             part = slice(contexts.bounds[i], contexts.bounds[i + 1])
@@ -321,9 +438,9 @@ def remove_repeated_strings(docs: DataFrame, width: int = 100, digest: bool = Fa
     n_buckets = max(8, size // BUCKET_BYTES)
     of_block = c.blocked(docs, max(1, -(-size // BLOCK_BYTES))).groupBy("block")
     sent = of_block.applyInArrow(_send_anchors(width, n_buckets), x.SENT)
-    live = sent.groupBy("bucket").applyInArrow(x.find_repeated, x.BACK)
+    live = sent.groupBy("bucket").applyInArrow(_find_repeated(HOT), x.BACK)
     contexts = of_block.cogroup(live.groupBy("block")).applyInArrow(_send_contexts(width, n_buckets), x.SENT)
-    later = contexts.groupBy("bucket").applyInArrow(_find_later(width), x.BACK)
+    later = contexts.groupBy("bucket").applyInArrow(_find_later(width, n_buckets), x.BACK)
     counts = "doc_id long, n_bytes long, n_removed long, n_spans long, "
     result = counts + ("kept_sha256 string" if digest else "kept binary, spans array<struct<start:long,stop:long>>")
-    return of_block.cogroup(later.groupBy("block")).applyInArrow(_finish(width, digest), result)
+    return of_block.cogroup(later.groupBy("block")).applyInArrow(_finish(width, n_buckets, digest), result)

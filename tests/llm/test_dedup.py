@@ -116,9 +116,10 @@ def test_passage_spans(spark):
     assert rows[1].kept == text and rows[1].spans == []
 
 
-@pytest.mark.parametrize("block", [5000, 3 << 20])
-def test_strings(spark, monkeypatch, noisy, block):
+@pytest.mark.parametrize("block,hot", [(5000, 8192), (5000, 4), (5000, 1), (3 << 20, 8192)])
+def test_strings(spark, monkeypatch, noisy, block, hot):
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block)
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
     monkeypatch.setattr(suffix_dedup, "COLLECTION", 40)
     df = spark.createDataFrame(noisy, SCHEMA)
     assert collected(suffix_dedup.remove_repeated_strings(df, 100, digest=True)) == bytes_left(noisy, 100)
