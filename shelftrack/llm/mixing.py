@@ -6,7 +6,7 @@ fitted so that the expected tokens of each domain meet their targets: least
 squares over nonnegative rates, by projected gradients. Residuals are weighed by
 one over the domain's tokens and gradients by one over the document's, which
 makes steps of length one safe. A step needs the domains' sums over all documents
-only, a few numbers; a document's rate follows from its posteriors and the
+only, a few numbers; a document's rate is an expression of its posteriors and the
 residuals of all steps, so no state is kept per document. Everything is built-in
 functions and aggregates.
 """
@@ -100,47 +100,39 @@ def fit_rates(members: DataFrame, targets: list[float]) -> tuple[Column, list[li
     is left out.
     """
     n = len(targets)
-    present = _sums(members, F.lit(1.0), n)
-    steps: list[list[float]] = []
-    reached = present
+    present = reached = _sums(members, F.lit(1.0), n)
+    rate, steps = F.lit(1.0), []
     for _ in range(MAX_STEPS):
         steps.append([(got - want) / have if have > 0 else 0.0 for got, want, have in zip(reached, targets, present, strict=True)])
-        before, reached = reached, _sums(members, rate_of(steps), n)
-        scale = max(sum(targets), 1.0)
-        if max(abs(a - b) for a, b in zip(before, reached, strict=True)) <= TOLERANCE * scale:
+        slope = sum((F.col("mix_posteriors")[i] * F.lit(x) for i, x in enumerate(steps[-1])), F.lit(0.0))
+        rate = F.greatest(F.lit(0.0), rate - slope)
+        before, reached = reached, _sums(members, rate, n)
+        if max(abs(a - b) for a, b in zip(before, reached, strict=True)) <= TOLERANCE * max(sum(targets), 1.0):
             break
-    return rate_of(steps), steps
-
-
-def rate_of(steps: list[list[float]]) -> Column:
-    """Projected steps from one, replayed over a row's posteriors."""
-    plan = F.array(*(F.array(*(F.lit(float(x)) for x in step)) for step in steps))
-
-    def step(rate, slopes):
-        moves = F.zip_with(slopes, "mix_posteriors", lambda g, p: g * p)
-        return F.greatest(F.lit(0.0), rate - F.aggregate(moves, F.lit(0.0), lambda done, x: done + x))
-
-    return F.aggregate(plan, F.lit(1.0), step)
+    return rate, steps
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], budget: float | None = None, keeping: str | None = None) -> DataFrame:
-    """``docs`` with ``mix_tokens``, ``mix_posteriors``, ``mix_rate`` and ``mix_copies``.
+    """Tokens, memberships, rate and copies of each document of ``doc_id`` and ``text``.
 
     ``weights`` are the shares of the domains (any positive numbers); domains come
     in the order of their names. ``budget`` is the number of tokens to reach, by
     default all there are; ``keeping`` names a domain instead whose expected tokens are
-    to stay as they are. ``mix_copies`` is the rate rounded down or up, with the
-    fraction as the probability of up, by a hash of the id.
+    to stay as they are. The result has ``doc_id``, ``text_hash`` (``xxhash64`` of
+    the text, which tells rows of one id apart), ``mix_tokens``,
+    ``mix_posteriors``, ``mix_rate`` and ``mix_copies``: the rate rounded down or
+    up, with the fraction as the probability of up, by a hash of the id.
 
     A null or empty text has no tokens and the posteriors of the labels' shares.
     Labels of unknown domains and null ids teach nothing; of several labels for
     an id the first by name counts; with no labels all domains are equally
-    likely. Ids may repeat or be null: each row is rated by its own text. Columns
-    of ``docs`` stay as they are; names that begin with ``mix_`` are taken.
+    likely. Ids may repeat or be null: each row is rated by its own text and gives
+    one row. Other columns are ignored.
     """
     domains = sorted(weights)
-    classifier = train(docs, labels, domains)
-    members = c.cut(classifier.posteriors(docs.select("text")).select("mix_tokens", "mix_posteriors"))
+    docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    members = train(docs, labels, domains).posteriors(docs)
+    members = c.cut(members.select("doc_id", F.xxhash64("text").alias("text_hash"), "mix_tokens", "mix_posteriors"))
     present = _sums(members, F.lit(1.0), len(domains))
     share = [weights[name] / sum(weights.values()) for name in domains]
     if keeping is not None:
@@ -149,10 +141,9 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], budget: f
     elif budget is None:
         budget = sum(present)
     rate, _ = fit_rates(members, [s * budget for s in share])
-    rows = classifier.posteriors(docs).withColumn("mix_rate", rate)
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    copies = F.floor("mix_rate") + F.when(chance < F.col("mix_rate") - F.floor("mix_rate"), 1).otherwise(0)
-    return rows.withColumn("mix_copies", copies.cast("long"))
+    # A rate rounds up if its fraction is over the chance.
+    return members.withColumn("mix_rate", rate).withColumn("mix_copies", F.ceil(F.col("mix_rate") - chance).cast("long"))
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
