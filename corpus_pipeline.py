@@ -25,6 +25,13 @@ from shelftrack.llm.simhash import near_duplicates
 LEAST_SCORE = 0.4  # mean posterior of a document's language below which it is rejected
 
 
+def _same_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Documents whose id and text are among the chosen."""
+    kept = chosen.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("kept_hash"))
+    return docs.join(kept, same, "left_semi")
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without letters or with a low mean posterior go."""
     found = identify(docs, keep=True)
@@ -46,15 +53,13 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Documents without an id stay if none of their group has one.
     """
     marked = near_duplicates(docs, shingle=3, max_bits=2)
-    first = marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"), "text_hash")
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("text_hash"))
-    return docs.join(first, same, "left_semi")
+    return _same_rows(docs, marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at their fitted rates, each once at most; the good domain keeps its tokens."""
     mixed = mix(docs, label_domains(c.read(spark, sf_dir, "labels")), MIX, keeping="good")
-    return mixed.filter(F.col("mix_copies") > 0).select(docs.columns)
+    return _same_rows(docs, mixed.filter(F.col("mix_copies") > 0))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
