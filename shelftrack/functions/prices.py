@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from shelftrack import fixed_values as fixed
 from shelftrack.functions.text import as_column
 
-PRICE_TYPE = T.DecimalType(18, 4)
+# Wide enough for what people write; differences and means of it still keep ten decimals.
+PRICE_TYPE = T.DecimalType(36, 10)
 
 
 def parse_price(c: Column | str) -> Column:
@@ -33,3 +34,9 @@ def parse_price(c: Column | str) -> Column:
     number = F.translate(ungrouped, ";", ".")
     # A failing cast is costly, and most failures are texts without any digit.
     return F.nullif(number, F.lit("")).try_cast(PRICE_TYPE)
+
+
+def price_is_lost(c: Column | str) -> Column:
+    """Whether a text has digits but its price does not fit the type; such rows are reported, not dropped unseen."""
+    text = as_column(c)
+    return F.coalesce(text.rlike("[0-9]"), F.lit(False)) & parse_price(text).isNull()

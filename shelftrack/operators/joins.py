@@ -37,7 +37,7 @@ def hot_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int, max_hot: int
     """
     counts = df.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_slice)
     slices = F.ceil(F.col("_n") / F.lit(rows_per_slice)).cast("int")
-    return counts.orderBy(F.col("_n").desc()).limit(max_hot).select(*on, slices.alias("_slices"))
+    return counts.orderBy(F.col("_n").desc(), *on).limit(max_hot).select(*on, slices.alias("_slices"))
 
 
 def skew_join(
@@ -50,9 +50,9 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join (inner, left, left_semi, left_anti) that survives hot left keys.
 
-    Rows of a hot key are dealt out over slices by the partition they lie in,
-    which a repeated task finds unchanged, and the right rows of that key, few
-    by contract, are repeated once per slice. All other keys keep a single
+    Rows of a hot key are dealt out over slices by a hash of the whole row,
+    which a repeated task finds unchanged however the rows lie, and the right
+    rows of that key, few by contract, are repeated once per slice. All other keys keep a single
     slice. Every left row still meets every right row of its key exactly once.
     NULL keys match nothing and are dealt out freely.
     """
@@ -64,7 +64,7 @@ def skew_join(
     left_slices = F.when(_known(on), slices).otherwise(max_hot)
     dealt = (
         left.join(hot, on, "left")
-        .withColumn(_SALT, F.pmod(F.spark_partition_id(), left_slices))
+        .withColumn(_SALT, F.pmod(F.xxhash64(*left.columns), left_slices))
         .drop("_slices")
     )
     repeated = (
@@ -75,17 +75,15 @@ def skew_join(
     return dealt.join(repeated, [*on, _SALT], how).drop(_SALT)
 
 
-def attach_group_max(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, rows_per_slice: int = 5_000_000
-) -> DataFrame:
+def attach_group_max(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Every row with the greatest ``value`` of its group.
 
     The group maximum is aggregated, with partial results before the shuffle,
-    and joined back; a window over whole groups would put a hot group into
-    one task.
+    and joined back: one row per group, so adaptive execution may split a group
+    that piles up. A window over whole groups would put it into one task.
     """
     best = df.groupBy(*keys).agg(F.max(value).alias(name))
-    return skew_join(df, best, keys, "left", rows_per_slice)
+    return df.join(best, list(keys), "left")
 
 
 def _known(columns: Sequence[str]) -> Column:

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftrack.operators.aggregates import high_watermark
-from shelftrack.operators.joins import skew_join
 from shelftrack.operators.ranking import latest_per_key
-from shelftrack.sources.tables import by_partition, is_table, is_written, work_folder, write_version
+from shelftrack.sources.tables import (
+    day_folder, listing, publish, read_table, remove, replace_table, work_folder, write_days, write_version,
+)
 
 _BEFORE_ALL = "0001-01-01 00:00:00"
 
@@ -42,8 +43,8 @@ def newer_than(
         return new
     marks = high_watermark(target, target_ts or ts, by, partition)
     if by is not None:
-        # One source may hold a large share of the rows.
-        marked = skew_join(new, marks, [by], "left")
+        # One row per source: broadcast while small, else split by adaptive execution where rows pile up.
+        marked = new.join(marks, by, "left")
         return marked.filter(F.col("watermark").isNull() | (F.col(ts) > F.col("watermark"))).drop("watermark")
     least = F.lit(_BEFORE_ALL).cast(new.schema[ts].dataType)
     floor = marks.select(F.coalesce("watermark", least)).scalar()
@@ -69,11 +70,8 @@ def newest(target: DataFrame, new: DataFrame, keys: Sequence[str], ts: str) -> D
 
 def full_refresh(spark: SparkSession, new: DataFrame, path: str, partition: str | None = None) -> DataFrame:
     """Write a table from scratch, with no watermark."""
-    if partition is None:
-        new.write.mode("overwrite").parquet(path)
-    else:
-        by_partition(new, partition).write.mode("overwrite").partitionBy(partition).parquet(path)
-    return spark.read.parquet(path)
+    replace_table(new, path, partition)
+    return read_table(spark, path)
 
 
 def upsert_table(
@@ -87,36 +85,37 @@ def upsert_table(
 ) -> DataFrame:
     """Upsert ``new`` into the stored table at ``path``.
 
-    The batch, and then the merged partitions in full, are written beside the
-    checkpoints under the name of the batch; only then are the partitions
-    swapped into the table. A run that dies in between is repeated with the
-    same ``batch`` name: it finds the finished merge and publishes it again,
-    which changes nothing if it was already published. Batch names must not be
-    used twice for different rows. ``partition`` is a date column that the key
-    determines. A new row replaces the old one of its key; with ``newest_by``
-    the later of the two stays, so that batches may come in any order.
+    The days that ``new`` touches are merged into a new version folder and
+    published at once, together with the name of the batch. A batch whose name
+    the table knows changes nothing, whatever came after it; a run that died
+    before it was published left the table as it was and is simply repeated.
+    Batch names must not be used twice for different rows. ``partition`` is a date
+    column that the key determines. A new row replaces the old one of its key;
+    with ``newest_by`` the later of the two stays, so that batches may come in any
+    order.
     """
-    work = work_folder(spark, path, batch)
-    if not is_written(spark, f"{work}/merged"):
-        write_version(new, f"{work}/batch")
-        new = spark.read.parquet(f"{work}/batch")
-        merged = new
-        if is_table(spark, path):
-            # One value per calendar day of the batch, however many rows it has.
-            days = [row[0] for row in new.select(partition).distinct().collect()]
-            touched = spark.read.parquet(path).filter(_among(F.col(partition), days))
+    path = path.rstrip("/")
+    current = listing(spark, path)
+    if current is not None and batch in current.batches:
+        return read_table(spark, path)
+    if current is None:
+        folders = write_days(new, path, partition)
+        publish(spark, path, None, folders, (batch,))
+        return read_table(spark, path)
+    # The batch is used twice, for its days and for the merge.
+    work = work_folder(spark)
+    try:
+        write_version(new, work)
+        new = spark.read.parquet(work)
+        # One value per calendar day of the batch, however many rows it has.
+        days = {day_folder(partition, row[0]) for row in new.select(partition).distinct().collect()}
+        folders = dict(current.folders)
+        if days:
+            touched = read_table(spark, path, days)
             merged = upsert(touched, new, keys) if newest_by is None else newest(touched, new, keys, newest_by)
-        write_version(by_partition(merged, partition), f"{work}/merged")
-    merged = spark.read.parquet(f"{work}/merged")
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    return spark.read.parquet(path) if is_table(spark, path) else merged
-
-
-def _among(column: Column, values: list) -> Column:
-    known = column.isin([v for v in values if v is not None])
-    return known | column.isNull() if None in values else known
+            folders |= write_days(merged, path, partition)
+            folders.pop("", None)
+        publish(spark, path, current, folders, (*current.batches, batch))
+    finally:
+        remove(spark, work)
+    return read_table(spark, path)

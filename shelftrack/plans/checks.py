@@ -19,7 +19,7 @@ from shelftrack import fixed_values as fixed
 from shelftrack.functions import book_key, valid_link
 from shelftrack.operators.aggregates import duplicate_keys
 from shelftrack.operators.generators import as_day
-from shelftrack.operators.joins import missing_in, skew_join
+from shelftrack.operators.joins import missing_in
 
 Tables = Mapping[str, DataFrame]
 
@@ -144,17 +144,15 @@ def unstaged_rows(
     """Ids of raw rows whose book is not staged.
 
     Rows dropped on purpose for lack of a price count too, unless
-    ``priced_only``. Keys are compared once each; only then are the rows of
-    missing books fetched, a book with very many rows in slices.
+    ``priced_only``. Raw rows meet each staged key once, in one pass; a row
+    without a key counts as missing.
     """
     if priced_only:
         from shelftrack.functions import parse_price
 
         raw = raw.filter(parse_price("old_price").isNotNull() | parse_price("discount_price").isNotNull())
     rows = raw.select(id_column, book_key("book_link").alias("book_id"))
-    missing = missing_in(rows.select("book_id").distinct(), "book_id", stg, "book_id")
-    unknown = rows.filter(F.col("book_id").isNull()).select(id_column)
-    return skew_join(rows, missing, ["book_id"], "left_semi").select(id_column).unionByName(unknown)
+    return missing_in(rows, "book_id", stg, "book_id").select(id_column)
 
 
 # Running rules.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelftrack.functions import calendar_columns, month_start, not_blank, split_list, surrogate_key
 from shelftrack.operators.generators import as_day, date_spine
-from shelftrack.operators.joins import left_join_dim, skew_join
+from shelftrack.operators.joins import left_join_dim
 from shelftrack.operators.ranking import latest_per_key, latest_per_key_per_day
 
 FCT_KEYS = ("book_price_daily_pk",)
@@ -99,9 +99,9 @@ def build_bridge(int_books: DataFrame, dim_authors: DataFrame | None = None) ->
     pairs = int_books.filter(not_blank("author_name")).select("book_id", "author_name").distinct()
     if dim_authors is None:
         return pairs.select("book_id", surrogate_key("author_name").alias("author_id"))
-    # The placeholder author may hold a large share of the pairs.
+    # The placeholder author may hold a large share of the pairs; a name has one row to meet.
     known = dim_authors.select("author_name", "author_id")
-    return skew_join(pairs, known, ["author_name"]).select("book_id", "author_id")
+    return pairs.join(known, "author_name").select("book_id", "author_id")
 
 
 def build_fct_prices(
@@ -109,13 +109,17 @@ def build_fct_prices(
 ) -> DataFrame:
     """Daily price of every book: its last scan of the day.
 
-    ``keep_day`` adds the day as a partition column for stored tables.
+    ``keep_day`` adds the day as a partition column for stored tables, and the
+    instant and source of the scan if staging has them.
     """
+    # Where the instant is known it decides: local time repeats an hour in autumn.
+    instant = [name for name in ("scraped_at_utc", "source") if name in stg.columns]
     wanted = stg.select(
         "book_id", "scraped_at", "publisher", "currency", "old_price", "discount_price", "title",
-        F.to_date("scraped_at").alias("price_day"),
+        F.to_date("scraped_at").alias("price_day"), *instant,
     )
-    daily = latest_per_key_per_day(wanted, ["book_id"], "scraped_at", F.col("price_day"), _TIES)
+    latest = "scraped_at_utc" if instant else "scraped_at"
+    daily = latest_per_key_per_day(wanted, ["book_id"], latest, F.col("price_day"), _TIES)
     dated = left_join_dim(
         daily, dim_date.select(F.col("full_date").alias("price_day"), "date_id"), "price_day", bounded=True
     )
@@ -130,5 +134,6 @@ def build_fct_prices(
         # The greatest scan time of the day is the kept row's own.
         F.col("scraped_at").alias("max_scraped_at"),
         "price_day",
+        *([F.col("scraped_at_utc").alias("max_scraped_at_utc"), "source"] if instant else []),
     )
-    return fact if keep_day else fact.drop("price_day")
+    return fact if keep_day else fact.drop("price_day", "max_scraped_at_utc", "source")

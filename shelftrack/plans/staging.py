@@ -12,7 +12,7 @@ from shelftrack.functions import (
 )
 from shelftrack.operators.ranking import latest_per_key
 
-STG_KEYS = ("book_id", "scraped_at")
+STG_KEYS = ("book_id", "scraped_at_utc")
 
 
 def keep_priced(df: DataFrame, old: str = "old_price", discount: str = "discount_price") -> DataFrame:
@@ -26,12 +26,14 @@ def build_stg_books(
     placeholder: str = fixed.UNKNOWN_AUTHOR,
     strict: bool = False,
     keep_instant: bool = False,
+    source: str = "publisher",
 ) -> DataFrame:
     """The staging table: one row per scan with a readable price.
 
     ``scraped_at`` is local wall-clock time. ``keep_instant`` adds the UTC
-    instant and the scan day, which stored tables need: local time repeats an
-    hour every autumn and cannot serve as a watermark. Prices are read and
+    instant, the scan day and the raw value of the ``source`` column, which stored
+    tables need: local time repeats an hour every autumn and cannot serve as a
+    watermark, and cleaned names cannot be compared with raw ones. Prices are read and
     unpriced rows dropped before any description is searched.
     """
     now = F.current_timestamp() if as_of is None else as_of
@@ -46,6 +48,7 @@ def build_stg_books(
         parse_price("old_price").alias("old_price"),
         parse_price("discount_price").alias("discount_price"),
         F.col("scraped_at").alias("scraped_at_utc"),
+        F.col(source).alias("source"),
     )
     # What later expressions use more than once is a column of its own here.
     described = keep_priced(scans).select(
@@ -71,13 +74,19 @@ def build_stg_books(
         page_numbers("description").alias("page_numbers"),
         publication_year("description").alias("year_of_publication"),
         "scraped_at_utc",
+        "source",
     )
     if keep_instant:
         return staged.withColumn("scrape_day", F.to_date("scraped_at"))
-    return staged.drop("scraped_at_utc")
+    return staged.drop("scraped_at_utc", "source")
 
 
 def one_per_scan(stg: DataFrame) -> DataFrame:
-    """One row per book and scan time, as the stored staging table holds them."""
-    ties = ["discount_price", "old_price", "title", "author", "publisher", "book_link"]
-    return latest_per_key(stg, ["book_id", "scraped_at"], "updated_at", ties)
+    """One row per book and scan, as the stored staging table holds them; by the instant where it is known.
+
+    Of rows that agree in these the greatest stays, compared by all other columns.
+    """
+    key = ["book_id", "scraped_at_utc" if "scraped_at_utc" in stg.columns else "scraped_at"]
+    first = ["discount_price", "old_price", "title", "author", "publisher", "book_link"]
+    ties = [*first, *(name for name in stg.columns if name not in (*first, *key, "updated_at"))]
+    return latest_per_key(stg, key, "updated_at", ties)

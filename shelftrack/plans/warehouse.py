@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelftrack.operators.upsert import full_refresh, newer_than, upsert_table
 from shelftrack.plans import marts
 from shelftrack.plans.staging import STG_KEYS, build_stg_books, one_per_scan
-from shelftrack.sources.tables import is_table, save_model, work_folder
+from shelftrack.sources.tables import is_table, read_table, save_model
 
 
 def build_models(raw: DataFrame, dim_date: DataFrame, as_of: Column | None = None) -> dict[str, DataFrame]:
@@ -41,7 +42,7 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame | None:
         path = self.path(name)
-        return self.spark.read.parquet(path) if is_table(self.spark, path) else None
+        return read_table(self.spark, path) if is_table(self.spark, path) else None
 
     def update_staging(
         self, raw: DataFrame, batch: str, as_of: Column | None = None, by: str | None = None
@@ -49,29 +50,35 @@ class Warehouse:
         """Stage the raw rows above the watermark.
 
         The watermark is a UTC instant on both sides. ``by`` is a raw column,
-        such as the publisher, that gets a watermark of its own; the column
-        must keep its name and value in staging.
+        such as the publisher, that gets a watermark per value; staging keeps
+        the unchanged value as its source.
         """
-        target = self.table("stg_books")
+        target, source = self.table("stg_books"), by or "publisher"
         day = "scrape_day" if "scrape_day" in raw.columns else None
+        given = raw.withColumn("source", F.col(source)) if by else raw
         fresh = newer_than(
-            raw, target, "scraped_at", "scraped_at_utc", by, None if by else "scrape_day", day
+            given, target, "scraped_at", "scraped_at_utc", "source" if by else None, None if by else "scrape_day", day
         )
-        staged = one_per_scan(build_stg_books(fresh, as_of, keep_instant=True))
+        staged = one_per_scan(build_stg_books(fresh, as_of, keep_instant=True, source=source))
         return upsert_table(self.spark, self.path("stg_books"), staged, STG_KEYS, "scrape_day", batch)
 
-    def update_facts(self, dim_date: DataFrame, batch: str) -> DataFrame | None:
-        """Add the staged rows above the fact's own watermark; without staging there is none."""
+    def update_facts(self, dim_date: DataFrame, batch: str, per_source: bool = False) -> DataFrame | None:
+        """Add the staged rows above the fact's own watermark; without staging there is none.
+
+        The watermark is the instant, over all or ``per_source``. The later scan
+        of a book and day stays, so rows that are offered again do no harm.
+        """
         staged = self.table("stg_books")
         if staged is None:
             return None
         fresh = newer_than(
-            staged, self.table("fct_book_prices"), "scraped_at", "max_scraped_at",
-            partition="price_day", day="scrape_day",
+            staged, self.table("fct_book_prices"), "scraped_at_utc", "max_scraped_at_utc", "source" if per_source else None,
+            None if per_source else "price_day",
         )
         daily = marts.build_fct_prices(fresh, dim_date, keep_day=True)
         return upsert_table(
-            self.spark, self.path("fct_book_prices"), daily, marts.FCT_KEYS, "price_day", batch
+            self.spark, self.path("fct_book_prices"), daily, marts.FCT_KEYS, "price_day", batch,
+            newest_by="max_scraped_at_utc",
         )
 
     def apply_batch(
@@ -84,13 +91,11 @@ class Warehouse:
         batches may come in any order and nothing is dropped as late.
         """
         staged = one_per_scan(build_stg_books(raw, as_of, keep_instant=True))
-        path = self.path("stg_books")
-        upsert_table(self.spark, path, staged, STG_KEYS, "scrape_day", batch)
-        written = self.spark.read.parquet(f"{work_folder(self.spark, path, batch)}/batch")
-        daily = marts.build_fct_prices(written, dim_date, keep_day=True)
+        upsert_table(self.spark, self.path("stg_books"), staged, STG_KEYS, "scrape_day", batch)
+        daily = marts.build_fct_prices(staged, dim_date, keep_day=True)
         return upsert_table(
             self.spark, self.path("fct_book_prices"), daily, marts.FCT_KEYS, "price_day", batch,
-            newest_by="max_scraped_at",
+            newest_by="max_scraped_at_utc",
         )
 
     def rebuild_dimensions(self, dim_date: DataFrame) -> dict[str, DataFrame]:

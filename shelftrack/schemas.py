@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from shelftrack import fixed_values as fixed
 from shelftrack.functions.prices import PRICE_TYPE
 
-_TEXT, _INT, _TIME = T.StringType(), T.IntegerType(), T.TimestampType()
+_TEXT, _INT, _LONG, _TIME = T.StringType(), T.IntegerType(), T.LongType(), T.TimestampType()
 
 
 def _struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
@@ -46,9 +46,9 @@ def stats_schema() -> T.StructType:
     return _struct(
         ("id", _TEXT, False),
         ("spider_name", _TEXT, True),
-        ("item_scraped_count", _INT, True),
-        ("response_received_count", _INT, True),
-        ("request_count", _INT, True),
+        ("item_scraped_count", _LONG, True),
+        ("response_received_count", _LONG, True),
+        ("request_count", _LONG, True),
         ("start_time", _TIME, True),
         ("finish_time", _TIME, True),
         ("duration", T.DoubleType(), True),
@@ -59,9 +59,9 @@ def stats_schema() -> T.StructType:
 def stats_document_schema() -> T.StructType:
     """The nested run statistics document."""
     stats = _struct(
-        ("items_scraped", _INT, True),
-        ("responses_received", _INT, True),
-        ("requests_made", _INT, True),
+        ("items_scraped", _LONG, True),
+        ("responses_received", _LONG, True),
+        ("requests_made", _LONG, True),
         ("start_time", _TEXT, True),
         ("finish_time", _TEXT, True),
         ("duration_seconds", T.DoubleType(), True),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelftrack import fixed_values as fixed
 from shelftrack.schemas import raw_schema
-from shelftrack.sources.tables import is_table, work_folder, write_version
+from shelftrack.sources.tables import is_table, write_version
 
 
 def parse_scraped_at(c: Column) -> Column:
@@ -74,12 +74,12 @@ def as_raw(landed: DataFrame, batch: str = "0") -> DataFrame:
 def append_raw(spark: SparkSession, landed: DataFrame, path: str, batch: str, quarantine: str | None = None) -> DataFrame:
     """Append the accepted files to the raw table and return the load metrics.
 
-    The metrics are written first, next to the checkpoints, so that the join
+    The metrics are written first, by batch beside the table, so that the join
     that drops refused files knows their exact number. Rows are stored by
     batch and scan day: a repeated batch replaces itself and duplicates
     nothing, and a reader with a watermark skips old days.
     """
-    metrics_path = f"{work_folder(spark, path, batch)}/metrics"
+    metrics_path = f"{path.rstrip('/')}-metrics/{batch}"
     write_version(load_metrics(landed), metrics_path)
     metrics = spark.read.parquet(metrics_path)
     accepted, refused = split_by_constraint(landed, metrics, batch)

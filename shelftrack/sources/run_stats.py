@@ -16,11 +16,11 @@ def run_stats(items: DataFrame, source: str, ts: str, requests: str | None = Non
     a counter that is not kept is 0.
     """
     def counted(flag: str | None) -> Column:
-        total = F.sum(F.col(flag).cast("int")) if flag else F.lit(None).cast("int")
-        return F.coalesce(total, F.lit(0)).cast("int")
+        total = F.sum(F.col(flag).cast("int")) if flag else F.lit(None).cast("long")
+        return F.coalesce(total, F.lit(0)).cast("long")
 
     stats = items.groupBy(F.col(source).alias("spider_name")).agg(
-        F.count("*").cast("int").alias("item_scraped_count"),
+        F.count("*").alias("item_scraped_count"),
         counted(responses).alias("response_received_count"),
         counted(requests).alias("request_count"),
         F.min(ts).alias("start_time"),
@@ -32,7 +32,7 @@ def run_stats(items: DataFrame, source: str, ts: str, requests: str | None = Non
 def counters_to_stats(counters: DataFrame) -> DataFrame:
     """Stats from reported counters: missing counts are 0, unreadable times NULL."""
     counts = [
-        F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c)
+        F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")).alias(c)
         for c in ("item_scraped_count", "response_received_count", "request_count")
     ]
     times = [F.col(c).try_cast("timestamp").alias(c) for c in ("start_time", "finish_time")]

@@ -1,17 +1,28 @@
-"""Stored tables: scans, materializations and the shared folder."""
+"""Stored tables: scans, materializations, versions and the shared folder.
+
+A table that is rewritten as a whole or by days lies in version folders; a
+numbered list beside them names the folder of every day and the batches the
+table holds. A write goes to a new folder first and counts from the moment its
+list is created, which either happens or does not: a reader, or a run that dies,
+never meets half a table. Lists and folders no longer in use go with ``vacuum``.
+"""
 
 from __future__ import annotations
 
-import hashlib
+import json
 import tempfile
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+_LISTS, _VERSION = "_lists", "version"
 
 
 def scan(spark: SparkSession, table: str) -> DataFrame:
-    """A table by its catalog name or, when it holds a slash, by its Parquet path."""
-    return spark.read.parquet(table) if "/" in table else spark.table(table)
+    """A table by its catalog name or, when it holds a slash, by its path."""
+    return read_table(spark, table) if "/" in table else spark.table(table)
 
 
 def save_model(df: DataFrame, name: str, mode: str = "view", path: str | None = None) -> DataFrame:
@@ -25,8 +36,8 @@ def save_model(df: DataFrame, name: str, mode: str = "view", path: str | None =
         return df
     if mode != "table" or path is None:
         raise ValueError("mode is 'view', or 'table' with a path")
-    df.write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path)
+    replace_table(df, path)
+    stored = read_table(spark, path)
     stored.createOrReplaceTempView(name)
     return stored
 
@@ -45,28 +56,37 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def work_folder(spark: SparkSession, path: str, batch: str) -> str:
-    """Where one batch of work on the table at ``path`` keeps its written steps."""
-    table = hashlib.md5(path.rstrip("/").encode()).hexdigest()
-    return f"{shared_folder(spark)}/shelftrack/{table}/{batch}"
+def work_folder(spark: SparkSession) -> str:
+    """A new folder for the steps of one run; ``remove`` it afterwards."""
+    return f"{shared_folder(spark)}/shelftrack/{uuid.uuid4().hex}"
 
 
-def is_table(spark: SparkSession, path: str) -> bool:
-    """Whether Parquet data lies at ``path``."""
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException:
-        return False
+# Files.
+
+
+def _path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found, files = _path(spark, path)
+    return files.exists(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    found, files = _path(spark, path)
+    files.delete(found, True)
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    found, files = _path(spark, path)
+    return sorted(status.getPath().getName() for status in files.listStatus(found)) if files.exists(found) else []
 
 
 def is_written(spark: SparkSession, path: str) -> bool:
     """Whether a whole-table write to ``path`` has finished."""
-    try:
-        spark.read.text(f"{path}/_SUCCESS")
-        return True
-    except AnalysisException:
-        return False
+    return exists(spark, f"{path}/_SUCCESS") or bool(_names(spark, f"{path}/{_LISTS}"))
 
 
 def by_partition(df: DataFrame, partition: str) -> DataFrame:
@@ -79,4 +99,110 @@ def by_partition(df: DataFrame, partition: str) -> DataFrame:
 
 
 def write_version(df: DataFrame, path: str) -> None:
+    """Write to a folder that only one run uses."""
     df.write.mode("overwrite").parquet(path)
+
+
+# Tables by version.
+
+
+@dataclass(frozen=True)
+class Listing:
+    """What a table holds: the version of every day folder (or of ``""``, the whole) and the batches in it."""
+
+    number: int = 0
+    folders: dict[str, str] = field(default_factory=dict)
+    batches: tuple[str, ...] = ()
+
+
+def listing(spark: SparkSession, path: str) -> Listing | None:
+    """The current list of the table at ``path``, None if there is none."""
+    known = [name for name in _names(spark, f"{path}/{_LISTS}") if name.endswith(".json")]
+    if not known:
+        return None
+    found, files = _path(spark, f"{path}/{_LISTS}/{known[-1]}")
+    stream = files.open(found)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    content = json.loads(text)
+    return Listing(int(known[-1].removesuffix(".json")), content["folders"], tuple(content["batches"]))
+
+
+def publish(spark: SparkSession, path: str, current: Listing | None, folders: dict[str, str], batches: tuple[str, ...]) -> None:
+    """Make ``folders`` the table's content; fails if another run has published meanwhile."""
+    number = (current.number if current else 0) + 1
+    found, files = _path(spark, f"{path}/{_LISTS}/{number:012d}.json")
+    stream = files.create(found, False)
+    try:
+        stream.write(json.dumps({"folders": folders, "batches": batches}).encode())
+    finally:
+        stream.close()
+
+
+def is_table(spark: SparkSession, path: str) -> bool:
+    """Whether a table lies at ``path``; one that cannot be read is no reason to say no."""
+    return bool(_names(spark, f"{path}/{_LISTS}")) or any(not name.startswith(("_", ".")) for name in _names(spark, path))
+
+
+def read_table(spark: SparkSession, path: str, only: set[str] | None = None) -> DataFrame:
+    """The table at ``path``, by its list or as plain Parquet; ``only`` names day folders."""
+    current = listing(spark, path)
+    if current is None:
+        return spark.read.parquet(path)
+    places = [f"{path}/{_VERSION}={v}/{day}".rstrip("/") for day, v in current.folders.items() if only is None or day in only]
+    if not places:
+        # Any folder gives the columns.
+        day, v = next(iter(current.folders.items()))
+        return _read(spark, path, [f"{path}/{_VERSION}={v}/{day}".rstrip("/")]).filter(F.lit(False))
+    return _read(spark, path, places)
+
+
+def _read(spark: SparkSession, path: str, places: list[str]) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(*places).drop(_VERSION)
+
+
+def day_folder(partition: str, value: object) -> str:
+    return f"{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def write_days(df: DataFrame, path: str, partition: str | None) -> dict[str, str]:
+    """Write a new version folder; the day folders in it with its name."""
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    folder = f"{path}/{_VERSION}={version}"
+    if partition is None:
+        df.write.parquet(folder)
+        return {"": version}
+    by_partition(df, partition).write.partitionBy(partition).parquet(folder)
+    days = [name for name in _names(spark, folder) if name.startswith(f"{partition}=")]
+    return dict.fromkeys(days, version) or {"": version}
+
+
+def replace_table(df: DataFrame, path: str, partition: str | None = None) -> None:
+    """Write a table from scratch; batches it has seen stay known."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    current = listing(spark, path)
+    folders = write_days(df, path, partition)
+    publish(spark, path, current, folders, current.batches if current else ())
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove lists but the last ``keep``, and version folders that none of these names.
+
+    Runs that write the table must not be under way.
+    """
+    path = path.rstrip("/")
+    known = [name for name in _names(spark, f"{path}/{_LISTS}") if name.endswith(".json")]
+    used: set[str] = set()
+    for name in known[-keep:]:
+        found, files = _path(spark, f"{path}/{_LISTS}/{name}")
+        stream = files.open(found)
+        content = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        stream.close()
+        used |= set(content["folders"].values())
+    for name in known[:-keep]:
+        remove(spark, f"{path}/{_LISTS}/{name}")
+    for name in _names(spark, path):
+        if name.startswith(f"{_VERSION}=") and name.split("=", 1)[1] not in used:
+            remove(spark, f"{path}/{name}")

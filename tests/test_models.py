@@ -189,25 +189,39 @@ def test_daily_batches_equal_full_refresh(spark, raw, rows, tmp_path):
         assert rows(steps.table(name), key) == rows(whole.table(name), key)
 
 
-def test_autumn_hour_is_not_lost(spark, tmp_path):
-    """Local time repeats an hour; the watermark is the instant and keeps both scans."""
-    warehouse = Warehouse(spark, str(tmp_path))
+def test_autumn_hour_is_not_lost(spark, rows, tmp_path):
+    """Local time repeats an hour; key, order and watermark are the instant, in staging and in the fact."""
     calendar = marts.build_dim_date(spark, "2024-10-28")
-    first = spark.createDataFrame([raw_row(1, "x", datetime(2024, 10, 27, 0, 50))], raw_schema())
-    second = spark.createDataFrame([raw_row(2, "x", datetime(2024, 10, 27, 1, 10), "77,00")], raw_schema())
-    warehouse.update_staging(first, "a")
-    warehouse.update_staging(first.union(second), "b")
-    assert warehouse.table("stg_books").count() == 2
-
-
-def test_late_source_is_kept_with_its_own_watermark(spark, tmp_path):
-    warehouse = Warehouse(spark, str(tmp_path))
-    early = raw_row(1, "x", datetime(2024, 1, 2), publisher="A")
-    late = raw_row(2, "y", datetime(2024, 1, 1), publisher="B")
-    frame = lambda *r: spark.createDataFrame(list(r), raw_schema())
-    warehouse.update_staging(frame(early), "a", by="publisher")
-    warehouse.update_staging(frame(early, late), "b", by="publisher")
-    assert warehouse.table("stg_books").count() == 2
+    scans = [raw_row(1, "x", datetime(2024, 10, 27, 0, 10), "10,00"), raw_row(2, "x", datetime(2024, 10, 27, 1, 10), "77,00")]
+    scans += [raw_row(3, "y", datetime(2024, 10, 27, 0, 50), "20,00"), raw_row(4, "z", datetime(2024, 10, 27, 1, 5), "30,00")]
+    first, second = (spark.createDataFrame(part, raw_schema()) for part in (scans[::2], scans))
+    steps, whole = Warehouse(spark, str(tmp_path / "steps")), Warehouse(spark, str(tmp_path / "whole"))
+    for n, seen in enumerate((first, second)):
+        steps.update_staging(seen, f"b{n}")
+        steps.update_facts(calendar, f"b{n}")
+    whole.refresh(second, calendar)
+    assert steps.table("stg_books").count() == 4
+    assert _facts(rows, steps.table("fct_book_prices")) == _facts(rows, whole.table("fct_book_prices"))
+    assert rows(steps.table("fct_book_prices"), "discount_price") == [(Decimal(20),), (Decimal(30),), (Decimal(77),)]
+
+
+def test_late_source_is_kept_with_its_own_watermark(spark, rows, tmp_path):
+    """Names are compared as they came, not as staging cleans them."""
+    calendar = marts.build_dim_date(spark, AS_OF)
+    early = [raw_row(1, "x", datetime(2024, 1, 2), publisher="laguna"), raw_row(3, "x", datetime(2024, 1, 3), publisher="laguna")]
+    late = [raw_row(2, "y", datetime(2024, 1, 1), publisher="kuća knjige")]
+    frame = lambda r: spark.createDataFrame(r, raw_schema())
+    steps, whole = Warehouse(spark, str(tmp_path / "steps")), Warehouse(spark, str(tmp_path / "whole"))
+    for n, seen in enumerate((frame(early), frame(early + late))):
+        steps.update_staging(seen, f"b{n}", by="publisher")
+        steps.update_facts(calendar, f"b{n}", per_source=True)
+    whole.refresh(frame(early + late), calendar)
+    assert steps.table("stg_books").count() == 3
+    assert _facts(rows, steps.table("fct_book_prices")) == _facts(rows, whole.table("fct_book_prices"))
+    from shelftrack.operators import newer_than
+
+    again = newer_than(frame(early).withColumn("source", F.col("publisher")), steps.table("stg_books"), "scraped_at", "scraped_at_utc", "source")
+    assert again.count() == 0
 
 
 def _land(spark, root, scans):

@@ -1,5 +1,6 @@
 """Joins, ranking, upserts and watermarks against plain Python."""
 
+import importlib
 import random
 from collections import Counter
 from datetime import date, datetime, timedelta
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelftrack import operators as op
+from shelftrack.sources.tables import read_table, vacuum
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -23,7 +25,8 @@ def test_skew_join_equals_plain_join(spark, rows, how):
 
 def test_skew_join_spreads_a_hot_key(spark):
     """No task of the join gets much more than its share of a key that holds every row."""
-    left = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"), "id")
+    # Clustered: all rows of the key lie in one partition, as landed rows do.
+    left = spark.range(0, 8000, 1, 1).select(F.lit(1).alias("k"), "id")
     right = spark.createDataFrame([(1, "x")], "k int, n string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -43,7 +46,7 @@ def test_attach_group_max(spark, rows):
     best = {}
     for g, v in data:
         best[g] = max(best.get(g, -1), v)
-    got = op.attach_group_max(df, ["g"], "v", "m", rows_per_slice=30)
+    got = op.attach_group_max(df, ["g"], "v", "m")
     assert rows(got, "g", "v", "m") == sorted([(g, v, best[g]) for g, v in data], key=repr)
 
 
@@ -127,7 +130,7 @@ def test_stored_upsert_in_batches_equals_full_refresh(spark, rows, tmp_path):
     items = [(f"k{rng.randrange(5)}", start + timedelta(hours=i), i) for i in range(120)]
     path = str(tmp_path / "daily")
     for n, cut in enumerate((30, 31, 77, 120)):
-        stored = spark.read.parquet(path) if n else None
+        stored = read_table(spark, path) if n else None
         source = spark.createDataFrame(items[:cut], "k string, ts timestamp, v int")
         fresh = op.newer_than(source, stored, "ts", partition="day" if n else None)
         new = op.latest_per_key(fresh.withColumn("day", F.to_date("ts")), ["k", "day"], "ts", ["v"])
@@ -135,18 +138,76 @@ def test_stored_upsert_in_batches_equals_full_refresh(spark, rows, tmp_path):
     assert rows(result, "k", "ts", "v") == rows(_days(spark, items), "k", "ts", "v")
 
 
-def test_stored_upsert_survives_a_lost_publish(spark, rows, tmp_path):
-    """A run that dies after the merge is repeated under its name."""
+def test_repeated_batches_change_nothing(spark, rows, tmp_path):
+    """Any earlier batch may come again, after any later one."""
     path = str(tmp_path / "table")
-    first = [("a", datetime(2024, 1, 1, 1), 1), ("b", datetime(2024, 1, 1, 2), 2), ("c", datetime(2024, 1, 2), 3)]
-    op.upsert_table(spark, path, _days(spark, first), ["k", "day"], "day", "one")
-    new = _days(spark, [("a", datetime(2024, 1, 1, 5), 9)])
-    op.upsert_table(spark, path, new, ["k", "day"], "day", "two")
-    # The publish is undone by hand: the day now lacks the rows the merge kept.
-    broken = spark.createDataFrame([("x", datetime(2024, 1, 1), 0, date(2024, 1, 1))], "k string, ts timestamp, v int, day date")
-    broken.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
-    again = op.upsert_table(spark, path, new, ["k", "day"], "day", "two")
-    assert rows(again, "k", "v") == [("a", 9), ("b", 2), ("c", 3)]
+    first = _days(spark, [("a", datetime(2024, 1, 1, 1), 1), ("b", datetime(2024, 1, 1, 2), 2), ("c", datetime(2024, 1, 2), 3)])
+    second = _days(spark, [("a", datetime(2024, 1, 1, 5), 9), ("d", datetime(2024, 1, 1, 6), 4)])
+    for new, batch in ((first, "one"), (second, "two"), (first, "one"), (second, "two"), (first, "one")):
+        stored = op.upsert_table(spark, path, new, ["k", "day"], "day", batch)
+    assert rows(stored, "k", "v") == [("a", 9), ("b", 2), ("c", 3), ("d", 4)]
+    assert stored.columns == first.columns
+
+
+@pytest.mark.parametrize("step", ["write_days", "publish"])
+def test_a_run_that_dies_leaves_the_table_as_it_was(spark, rows, tmp_path, monkeypatch, step):
+    upsert = importlib.import_module("shelftrack.operators.upsert")
+    path = str(tmp_path / "table")
+    first = _days(spark, [("a", datetime(2024, 1, 1, 1), 1), ("b", datetime(2024, 1, 1, 2), 2)])
+    second, third = (_days(spark, [("a", datetime(2024, 1, 1, h), h)]) for h in (5, 7))
+    op.upsert_table(spark, path, first, ["k", "day"], "day", "one")
+    before = read_table(spark, path)
+    done = getattr(upsert, step)
+
+    def dies(*arguments):
+        if step == "write_days":
+            done(*arguments)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(upsert, step, dies)
+    with pytest.raises(RuntimeError):
+        op.upsert_table(spark, path, second, ["k", "day"], "day", "two")
+    monkeypatch.setattr(upsert, step, done)
+    assert rows(read_table(spark, path), "k", "v") == rows(before, "k", "v") == [("a", 1), ("b", 2)]
+    # Another batch comes in between; the lost one is then repeated and does not undo it.
+    op.upsert_table(spark, path, third, ["k", "day"], "day", "three", newest_by="ts")
+    again = op.upsert_table(spark, path, second, ["k", "day"], "day", "two", newest_by="ts")
+    assert rows(again, "k", "v") == [("a", 7), ("b", 2)]
+    vacuum(spark, path, keep=1)
+    assert rows(read_table(spark, path), "k", "v") == [("a", 7), ("b", 2)]
+
+
+def test_two_runs_at_once_do_not_overwrite_each_other(spark, tmp_path):
+    from shelftrack.sources.tables import listing, publish
+
+    path = str(tmp_path / "table")
+    op.upsert_table(spark, path, _days(spark, [("a", datetime(2024, 1, 1), 1)]), ["k", "day"], "day", "one")
+    seen = listing(spark, path)
+    publish(spark, path, seen, seen.folders, ("one", "two"))
+    with pytest.raises(Exception, match="FileAlreadyExists|already exists"):
+        publish(spark, path, seen, seen.folders, ("one", "three"))
+
+
+def test_interrupted_save_keeps_the_old_table(spark, rows, tmp_path):
+    from shelftrack.sources.tables import is_table, save_model
+
+    path = str(tmp_path / "model")
+    assert not is_table(spark, path)
+    save_model(spark.range(3).toDF("n"), "kept_model", "table", path)
+    failing = spark.range(3).select(F.when(F.col("id") > 1, F.raise_error(F.lit("lost"))).cast("long").alias("n"))
+    with pytest.raises(Exception, match="lost"):
+        save_model(failing, "kept_model", "table", path)
+    assert rows(read_table(spark, path)) == [(0,), (1,), (2,)]
+
+
+def test_unreadable_table_raises(spark, tmp_path):
+    from shelftrack.sources.tables import is_table
+
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.parquet").write_text("no parquet")
+    assert is_table(spark, str(tmp_path / "t"))
+    with pytest.raises(Exception):
+        read_table(spark, str(tmp_path / "t")).count()
 
 
 def test_empty_batch_changes_nothing(spark, rows, tmp_path):

@@ -109,10 +109,6 @@ def raw_books(spark: SparkSession, sf_dir: str) -> DataFrame:
         for step in (CENTS, DIGITS, PRICES, RAW_BOOKS):
             scans = scans.selectExpr(*step)
         scans = scans.withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
-        tasks = spark.sparkContext.defaultParallelism
-        # A small input is one file; a large one already has a task per block.
-        if scans.rdd.getNumPartitions() < tasks:
-            scans = scans.repartition(tasks)
         write_version(scans, path)
     return spark.read.parquet(path)
 
@@ -173,13 +169,9 @@ def stored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return stored
 
 
-# Means of cents can end exactly between two rounded values; a nudge on both
-# sides makes them round the same way.
-NUDGE = 1e-7
-
-
 def rounded_mean(name: str) -> Column:
-    return F.round(F.col(name).cast("double") + NUDGE, 4).alias(name)
+    """An exact decimal mean, rounded half up to four places."""
+    return F.round(F.col(name), 4).cast("double").alias(name)
 
 
 def shown(df: DataFrame) -> DataFrame:

@@ -15,12 +15,11 @@ from workload.registry import query
 def _raw_column(name: str, alias: str, column, expression: str) -> None:
     """A column function over the raw table."""
 
-    @query(name, sql.with_raw(f"SELECT id, {expression} AS {alias} FROM raw"))
+    @query(name, sql.with_raw(f"SELECT id, {expression} AS {alias} FROM told"))
     def run(spark, sf):
         return shown(raw_books(spark, sf).select("id", column().alias(alias)))
 
 
-_LINE = sql.PUBLISHER_LINE
 _raw_column("book_key", "book_id", lambda: fn.book_key("book_link"), "md5(trim(book_link))")
 _raw_column(
     "surrogate_key", "key", lambda: fn.surrogate_key("author", "category", "currency"),
@@ -32,15 +31,15 @@ _raw_column(
     "CASE WHEN author IS NULL OR trim(author) = '' THEN '(none)' ELSE trim(author) END",
 )
 _raw_column("trim_lower", "title", lambda: F.lower(F.trim("title")), "lower(trim(title))")
-_raw_column("initcap_words", "publisher", lambda: fn.initcap_words(F.trim("publisher")), sql.capitals("trim(publisher)"))
+_raw_column("initcap_words", "publisher", lambda: fn.initcap_words(F.trim("publisher")), sql.HOUSE)
 _raw_column("parse_price", "price", lambda: fn.parse_price("old_price"), sql.shown_price(sql.price("old_price")))
 _raw_column("extract_isbn", "isbn", lambda: fn.extract_isbn("description"), sql.ISBN_FOUND)
 _raw_column(
-    "validate_isbn", "isbn", lambda: fn.validate_isbn(fn.extract_isbn("description")), sql.isbn_valid(sql.ISBN_FOUND)
+    "validate_isbn", "isbn", lambda: fn.validate_isbn(fn.extract_isbn("description")), sql.ISBN_VALID
 )
-_raw_column("extract_publisher", "line", lambda: fn.extract_publisher("description"), _LINE)
+_raw_column("extract_publisher", "line", lambda: fn.extract_publisher("description"), sql.PUBLISHER_LINE)
 _raw_column(
-    "cut_publisher", "name", lambda: fn.cut_publisher(fn.extract_publisher("description")), sql.publisher_cut(_LINE)
+    "cut_publisher", "name", lambda: fn.cut_publisher(fn.extract_publisher("description")), sql.PUBLISHER_CUT
 )
 _raw_column(
     "resolve_publisher",
@@ -50,9 +49,9 @@ _raw_column(
     ),
     sql.PUBLISHER,
 )
-_raw_column("script_type", "script", lambda: fn.script_type("description"), sql.script("description"))
-_raw_column("page_numbers", "pages", lambda: fn.page_numbers("description"), sql.pages("description"))
-_raw_column("publication_year", "year", lambda: fn.publication_year("description"), sql.year("description"))
+_raw_column("script_type", "script", lambda: fn.script_type("description"), sql.SCRIPT)
+_raw_column("page_numbers", "pages", lambda: fn.page_numbers("description"), sql.PAGES)
+_raw_column("publication_year", "year", lambda: fn.publication_year("description"), sql.YEAR)
 _raw_column(
     "valid_link", "valid", lambda: fn.valid_link("book_link"), "regexp_matches(book_link, '^https?://.+', 'i')"
 )

@@ -11,9 +11,9 @@ from shelftrack.plans.warehouse import build_models
 from shelftrack.sources.landing import append_batches
 from shelftrack.sources.tables import shared_folder
 from workload.book_tables import (
-    NUDGE, calendar, models, raw_books, rounded_mean, shown, staged, stored_models, table,
+    calendar, models, raw_books, rounded_mean, shown, staged, stored_models, table,
 )
-from workload.oracle_parts import shown_price, when_text, with_raw, with_stg, with_star
+from workload.oracle_parts import mean_of_cents, shown_price, when_text, with_raw, with_stg, with_star
 from workload.registry import query
 
 _STG_SHOWN = (
@@ -129,7 +129,7 @@ def fct_prices_joined(spark, sf):
     "avg_price_per_publisher",
     with_star(
         "SELECT p.publisher_name, count(DISTINCT f.book_id) AS distinct_books_count, "
-        f"round(avg(cast(f.discount_price AS DOUBLE)) + {NUDGE}, 4) AS average_discount_price, "
+        f"{mean_of_cents('cast(f.discount_price * 100 AS BIGINT)')} AS average_discount_price, "
         f"{shown_price('min(f.discount_price)')} AS min_discount_price, "
         f"{shown_price('max(f.discount_price)')} AS max_discount_price FROM fct f "
         "JOIN dim_publishers p USING (publisher_id) WHERE f.discount_price IS NOT NULL GROUP BY p.publisher_name"

@@ -1,7 +1,14 @@
-"""SQL building blocks for the reference results."""
+"""SQL building blocks for the reference results.
+
+The texts of the raw table are made from numbers (``book_tables``), so what must
+be read back from them - price, author, publisher, script, pages, year - follows
+from those numbers and the case of the text. Nothing is parsed here but the year
+inside runs of digits, with the contract's own pattern.
+"""
 
 from __future__ import annotations
 
+from shelftrack import fixed_values as fixed
 from workload.book_tables import CENTS, DIGITS, PRICES, RAW_BOOKS
 
 ZONE = "Europe/Belgrade"
@@ -16,76 +23,72 @@ def local(column: str) -> str:
     return f"({column} AT TIME ZONE 'UTC' AT TIME ZONE '{ZONE}')"
 
 
-def price(column: str) -> str:
-    kept = f"regexp_replace({column}, '[^0-9.,]+', '', 'g')"
-
-    def two_parts(mark: str, grouping: str) -> str:
-        return f"array_to_string(string_split(replace({kept}, '{grouping}', ''), '{mark}')[1:2], '.')"
-
-    return (
-        f"try_cast(CASE regexp_extract({kept}, '([.,])[0-9][0-9]$', 1) "
-        f"WHEN ',' THEN {two_parts(',', '.')} WHEN '.' THEN {two_parts('.', ',')} "
-        f"ELSE translate({kept}, ',.', '') END AS DECIMAL(18,4))"
-    )
-
-
 def shown_price(column: str) -> str:
     return f"round(cast({column} AS DOUBLE), 4)"
 
 
-def capitals(column: str) -> str:
-    return (
-        f"array_to_string(list_transform(regexp_extract_all({column}, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+'), "
-        f"lambda run: upper(run[1]) || lower(run[2:])), '')"
-    )
-
-
-def found(column: str, pattern: str, options: str = "") -> str:
-    flags = f", '{options}'" if options else ""
-    return f"nullif(regexp_extract({column}, '{pattern}', 1{flags}), '')"
+def mean_of_cents(cents: str) -> str:
+    """The mean of whole cents in currency units, rounded half up to four places, in whole numbers."""
+    return f"((200 * sum({cents}) + count({cents})) // (2 * count({cents}))) / 10000.0"
 
 
-AUTHOR = "coalesce(nullif(regexp_replace(trim(author), '^none$', '', 'i'), ''), 'Nepoznat Autor')"
-ISBN_FOUND = f"trim({found('description', '(?:ISBN|ИСБН)[ \\t\\n\\r\\f\\v]*[: ]?[ \\t\\n\\r\\f\\v]*([0-9-]+[0-9X])', 'i')})"
-
-
-def isbn_valid(column: str) -> str:
+def price(column: str) -> str:
+    """The price that ``old_price`` or ``discount_price`` of ``told`` stands for."""
+    cents, shift = {"old_price": ("old_cents", 0), "discount_price": ("new_cents", 2)}[column]
+    # Without decimals: two forms of whole prices, and one digit behind a comma, which is no decimal.
     return (
-        f"CASE WHEN regexp_matches(regexp_replace({column}, '[-\\s]', '', 'g'), '^([0-9]{{9}}[0-9Xx]|[0-9]{{13}})$') "
-        f"THEN replace({column}, '-', '') END"
+        f"CASE (event_id + {shift}) % 9 WHEN 3 THEN NULL WHEN 5 THEN NULL "
+        f"WHEN 2 THEN cast({cents} // 100 AS DECIMAL(18, 2)) WHEN 4 THEN cast({cents} // 100 AS DECIMAL(18, 2)) "
+        f"WHEN 6 THEN cast({cents} // 100 * 10 + {cents} % 10 AS DECIMAL(18, 2)) "
+        f"ELSE cast(cast({cents} AS DECIMAL(16, 0)) * 0.01 AS DECIMAL(18, 2)) END"
     )
 
 
-PUBLISHER_LINE = found("description", "Izdavač:\\s*([^\\n]+)", "i")
-
-
-def publisher_cut(column: str) -> str:
-    labels = (
-        "Strana u boji:|Strana:|Povez:|Pismo:|Format:|Godina|Naslov originala:|Izdavač originala:"
-    )
-    return f"trim(regexp_replace({column}, '\\s*({labels}).*$', '', 'is'))"
-
-
-def script(column: str) -> str:
-    latin = "latinica|latinična|latinicno|latinic|латиница|latinicirilica|cirilatinića"
-    cyrillic = "ćirilica|ćirilična|ćirilicno|ćirilic|ћирилица"
-    scripts = f"list_value(regexp_matches(lower({column}), '{latin}'), regexp_matches(lower({column}), '{cyrillic}'))"
-    return f"list_value('Latinica', 'Ćirilica')[list_position({scripts}, true)]"
+AUTHOR = (
+    f"CASE user_id % 8 WHEN 0 THEN '{fixed.UNKNOWN_AUTHOR}' WHEN 1 THEN '{fixed.UNKNOWN_AUTHOR}' WHEN 2 THEN '{fixed.UNKNOWN_AUTHOR}' "
+    "WHEN 3 THEN 'Ana Anić, Bora Borić ' || cast(user_id % 5 AS VARCHAR) WHEN 4 THEN 'Ana Anić ,Vuk Vukić,' "
+    "ELSE 'Pisac ' || cast(user_id % 40 AS VARCHAR) END"
+)
+_FIVE_DIGITS = "lpad(cast(user_id % 100000 AS VARCHAR), 5, '0')"
+_THREE_DIGITS = "lpad(cast(user_id % 1000 AS VARCHAR), 3, '0')"
+ISBN_FOUND = (
+    f"CASE event_id % 7 WHEN 0 THEN '978-86-0' || {_THREE_DIGITS} || '-123-4' WHEN 1 THEN '86-70' || {_FIVE_DIGITS} || '-2X' "
+    f"WHEN 4 THEN '8670' || {_FIVE_DIGITS} || 'x' WHEN 5 THEN '978' END"
+)
+ISBN_VALID = f"CASE event_id % 7 WHEN 0 THEN '978860' || {_THREE_DIGITS} || '1234' WHEN 4 THEN '8670' || {_FIVE_DIGITS} || 'x' END"
+PUBLISHER_LINE = (
+    "CASE event_id % 7 WHEN 0 THEN 'Primer KNJIGA-' || cast(user_id % 9 AS VARCHAR) || ' Strana: ' "
+    "|| cast(event_id % 900 AS VARCHAR) || ' Povez: broš' WHEN 4 THEN 'Test DOO' "
+    "WHEN 6 THEN 'Naslov ' || cast(user_id % 3 AS VARCHAR) || ' strana: 5' END"
+)
+PUBLISHER_CUT = (
+    "CASE event_id % 7 WHEN 0 THEN 'Primer KNJIGA-' || cast(user_id % 9 AS VARCHAR) WHEN 4 THEN 'Test DOO' "
+    "WHEN 6 THEN 'Naslov ' || cast(user_id % 3 AS VARCHAR) END"
+)
+HOUSE = "'O''Kuća-' || upper(event_type[1]) || event_type[2:] || ' D.O.O. Šabac'"
+PUBLISHER = (
+    "CASE WHEN user_id % 4 <> 0 THEN " + HOUSE + " WHEN event_id % 7 = 0 THEN 'Primer Knjiga-' || cast(user_id % 9 AS VARCHAR) "
+    "WHEN event_id % 7 = 4 THEN 'Test Doo' WHEN event_id % 7 = 6 THEN 'Naslov ' || cast(user_id % 3 AS VARCHAR) ELSE " + HOUSE + " END"
+)
+SCRIPT = (
+    f"CASE event_id % 7 WHEN 0 THEN '{fixed.LATIN_SCRIPT}' WHEN 5 THEN '{fixed.LATIN_SCRIPT}' "
+    f"WHEN 1 THEN '{fixed.CYRILLIC_SCRIPT}' WHEN 6 THEN '{fixed.CYRILLIC_SCRIPT}' END"
+)
+PAGES = (
+    "cast(CASE event_id % 7 WHEN 0 THEN event_id % 900 WHEN 1 THEN event_id % 500 WHEN 2 THEN event_id % 77 "
+    "WHEN 6 THEN event_id % 5 END AS INTEGER)"
+)
 
 
-def pages(column: str) -> str:
-    parts = [
-        found(column, "Broj strana:\\s*(\\d+)"),
-        found(column, "Strana:\\s*(\\d+)"),
-        found(column, "Страна:\\s*(\\d+)"),
-        found(column, "Број страна /.*?(\\d+)\\s*/", "s"),
-        found(column, "Strana u boji:\\s*(\\d+)"),
-    ]
-    return "coalesce(" + ", ".join(f"try_cast({p} AS INTEGER)" for p in parts) + ")"
+def _year_in(digits: str) -> str:
+    return f"try_cast(nullif(regexp_extract({digits}, '{fixed.YEAR_PATTERN}', 1), '') AS INTEGER)"
 
 
-def year(column: str) -> str:
-    return f"try_cast({found(column, '(1[89][0-9]{2}|20[0-2][0-9]|202[0-5])')} AS INTEGER)"
+YEAR = (
+    "CASE event_id % 7 WHEN 0 THEN CASE WHEN event_id % 240 BETWEEN 5 AND 234 THEN cast(1795 + event_id % 240 AS INTEGER) END "
+    f"WHEN 1 THEN {_year_in(f"'70' || {_FIVE_DIGITS}")} WHEN 2 THEN 1800 WHEN 4 THEN {_year_in(f"'8670' || {_FIVE_DIGITS}")} "
+    f"WHEN 5 THEN {_year_in("'4' || cast(20190000 + event_id AS VARCHAR)")} END"
+)
 
 
 def key(*columns: str) -> str:
@@ -93,26 +96,22 @@ def key(*columns: str) -> str:
     return "md5(" + " || '-' || ".join(parts) + ")"
 
 
-_IN_STORE = "nullif(contains(lower(book_link), 'mikroknjiga.rs'), false)"
-PUBLISHER = capitals(
-    f"coalesce(nullif(if({_IN_STORE}, {publisher_cut(PUBLISHER_LINE)}, NULL), ''), trim(publisher))"
-)
-
 RAW = (
     f"cents AS (SELECT {', '.join(CENTS)} FROM events), "
     f"digits AS (SELECT {', '.join(DIGITS)} FROM cents), "
     f"prices AS (SELECT {', '.join(PRICES)} FROM digits), "
-    f"raw AS (SELECT {', '.join(RAW_BOOKS)} FROM prices)"
+    f"raw AS (SELECT {', '.join(RAW_BOOKS)} FROM prices), "
+    "told AS (SELECT raw.*, event_id, user_id, event_type, old_cents, new_cents FROM raw JOIN cents ON id = cast(event_id AS VARCHAR))"
 )
 STG = f"""{RAW},
 stg_all AS (SELECT
   md5(trim(book_link)) AS book_id, trim(title) AS title, {AUTHOR} AS author,
   trim(book_link) AS book_link, trim(category) AS category, {PUBLISHER} AS publisher,
   {price('old_price')} AS old_price, {price('discount_price')} AS discount_price,
-  'RSD' AS currency, {isbn_valid(ISBN_FOUND)} AS isbn, {local('scraped_at')} AS scraped_at,
+  'RSD' AS currency, {ISBN_VALID} AS isbn, {local('scraped_at')} AS scraped_at,
   {local("TIMESTAMP '2024-02-01 00:00:00'")} AS updated_at,
-  {script('description')} AS script_type, {pages('description')} AS page_numbers,
-  {year('description')} AS year_of_publication FROM raw),
+  {SCRIPT} AS script_type, {PAGES} AS page_numbers,
+  {YEAR} AS year_of_publication FROM told),
 stg AS (SELECT * FROM stg_all WHERE old_price IS NOT NULL OR discount_price IS NOT NULL)"""
 CALENDAR = """today AS (SELECT cast(max(ts) AS DATE) AS d FROM events),
 days AS (SELECT cast(unnest(generate_series(cast(date_trunc('month', d - INTERVAL 1 MONTH) AS TIMESTAMP),

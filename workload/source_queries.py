@@ -180,8 +180,8 @@ def stamp_scraped_at(spark, sf):
 # Run statistics.
 
 _RUNS = (
-    "SELECT event_type AS spider_name, cast(count(*) AS INTEGER) AS item_scraped_count, "
-    "cast(count(*) FILTER (WHERE value > 10) AS INTEGER) AS response_received_count, 0 AS request_count, "
+    "SELECT event_type AS spider_name, cast(count(*) AS BIGINT) AS item_scraped_count, "
+    "cast(count(*) FILTER (WHERE value > 10) AS BIGINT) AS response_received_count, cast(0 AS BIGINT) AS request_count, "
     "min(ts) AS start_time, max(ts) AS finish_time, round(date_diff('microsecond', min(ts), max(ts)) / 1e6, 6) AS duration "
     "FROM events GROUP BY 1"
 )
@@ -202,8 +202,8 @@ def stats(spark, sf):
 
 @query(
     "counters_to_stats",
-    "SELECT cast(user_id AS VARCHAR) AS spider_name, CASE WHEN value > 5 THEN cast(floor(value) AS INTEGER) ELSE 0 END AS item_scraped_count, "
-    "0 AS response_received_count, cast(event_id AS INTEGER) AS request_count, "
+    "SELECT cast(user_id AS VARCHAR) AS spider_name, CASE WHEN value > 5 THEN cast(floor(value) AS BIGINT) ELSE 0 END AS item_scraped_count, "
+    "cast(0 AS BIGINT) AS response_received_count, cast(event_id AS BIGINT) AS request_count, "
     f"CASE WHEN event_type <> 'error' THEN {sql.when_text('ts')} END AS start_time, {sql.when_text('ts + INTERVAL 90 SECOND')} AS finish_time, "
     "CASE WHEN event_type <> 'error' THEN cast(90 AS DOUBLE) END AS duration FROM events",
 )

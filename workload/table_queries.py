@@ -13,16 +13,24 @@ from shelftrack.operators import (
 from shelftrack.plans.staging import keep_priced
 from shelftrack.sources.landing import append_batches
 from workload import oracle_parts as sql
-from workload.book_tables import NUDGE, raw_books, rounded_mean, shown, table
+from workload.book_tables import raw_books, rounded_mean, shown, table
 from workload.registry import query
 
+# Money as whole cents in the reference, as exact decimals in Spark: means round alike.
+_PRICE_CENTS = "cast(round(l_extendedprice * 100) AS BIGINT)"
+
+
+def _money(name: str):
+    return F.col(name).cast("decimal(18,2)")
+
+
 # Filters.
 
 
 @query(
     "keep_priced",
     sql.with_raw(
-        f"SELECT id FROM raw WHERE {sql.price('old_price')} IS NOT NULL OR {sql.price('discount_price')} IS NOT NULL"
+        f"SELECT id FROM told WHERE {sql.price('old_price')} IS NOT NULL OR {sql.price('discount_price')} IS NOT NULL"
     ),
 )
 def priced(spark, sf):
@@ -224,12 +232,13 @@ def count_distinct(spark, sf):
 
 @query(
     "group_stats",
-    f"SELECT l_suppkey, count(DISTINCT l_partkey) AS distinct_count, round(avg(l_extendedprice) + {NUDGE}, 4) AS average_value, "
+    f"SELECT l_suppkey, count(DISTINCT l_partkey) AS distinct_count, {sql.mean_of_cents(_PRICE_CENTS)} AS average_value, "
     "min(l_extendedprice) AS min_value, max(l_extendedprice) AS max_value FROM lineitem GROUP BY 1",
 )
 def stats(spark, sf):
-    found = group_stats(table(spark, sf, "lineitem"), ["l_suppkey"], "l_partkey", "l_extendedprice")
-    return found.withColumn("average_value", rounded_mean("average_value"))
+    rows = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", _money("l_extendedprice").alias("price"))
+    found = group_stats(rows, ["l_suppkey"], "l_partkey", "price")
+    return shown(found.withColumn("average_value", rounded_mean("average_value")))
 
 
 @query(
@@ -311,7 +320,7 @@ def latest_daily(spark, sf):
 )
 def group_max(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "ts", F.to_date("ts").alias("day"))
-    found = attach_group_max(events, ["user_id", "day"], "ts", "last_of_day", rows_per_slice=1000)
+    found = attach_group_max(events, ["user_id", "day"], "ts", "last_of_day")
     return shown(found.select("event_id", "user_id", "last_of_day"))
 
 
@@ -337,9 +346,9 @@ def large_cap(spark, sf):
 # Sorts and top-k.
 
 
-@query("sort_by_aggregate", f"SELECT l_suppkey, round(avg(l_extendedprice) + {NUDGE}, 4) AS average FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1")
+@query("sort_by_aggregate", f"SELECT l_suppkey, {sql.mean_of_cents(_PRICE_CENTS)} AS average FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1")
 def sort_by_aggregate(spark, sf):
-    means = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.avg("l_extendedprice").alias("average"))
+    means = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.avg(_money("l_extendedprice")).alias("average"))
     means = means.withColumn("average", rounded_mean("average"))
     return means.orderBy(F.col("average").desc_nulls_first(), "l_suppkey")
 
