@@ -7,8 +7,8 @@ squares over nonnegative rates, by projected gradients. Residuals are weighed by
 one over the domain's tokens and gradients by one over the document's, which
 makes steps of length one safe. A step needs the domains' sums over all documents
 only, a few numbers; a document's rate is an expression of its posteriors and the
-residuals of all steps, so no state is kept per document. Everything is built-in
-functions and aggregates.
+residuals of the steps since rates were last written, which they are every few
+steps. Everything is built-in functions and aggregates.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ SLOTS = 16384
 EVIDENCE = 100.0  # words; a longer text counts no more than so many
 MAX_STEPS = 60
 TOLERANCE = 1e-4
+STEPS_AT_ONCE = 8  # after so many steps rates are written, so that their expression stays short
 
 _SPACE = r"[\x20\t-\r]+"
 
@@ -93,8 +94,13 @@ def _sums(members: DataFrame, weight: Column, n: int) -> list[float]:
     return [x or 0.0 for x in members.agg(*cells).first()]
 
 
-def fit_rates(members: DataFrame, targets: list[float]) -> tuple[Column, list[list[float]]]:
-    """The rate of a row of ``mix_tokens`` and ``mix_posteriors`` as a column, and the steps it is made of.
+def _next(rate: Column, step: list[float]) -> Column:
+    slope = sum((F.col("mix_posteriors")[i] * F.lit(x) for i, x in enumerate(step)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), rate - slope)
+
+
+def rated(members: DataFrame, targets: list[float]) -> tuple[DataFrame, list[list[float]]]:
+    """Rows of ``mix_tokens`` and ``mix_posteriors`` with their ``mix_rate``, and the steps it is made of.
 
     Rates start at one. A domain that no document belongs to cannot be met and
     is left out.
@@ -104,11 +110,21 @@ def fit_rates(members: DataFrame, targets: list[float]) -> tuple[Column, list[li
     rate, steps = F.lit(1.0), []
     for _ in range(MAX_STEPS):
         steps.append([(got - want) / have if have > 0 else 0.0 for got, want, have in zip(reached, targets, present, strict=True)])
-        slope = sum((F.col("mix_posteriors")[i] * F.lit(x) for i, x in enumerate(steps[-1])), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - slope)
+        rate = _next(rate, steps[-1])
         before, reached = reached, _sums(members, rate, n)
         if max(abs(a - b) for a, b in zip(before, reached, strict=True)) <= TOLERANCE * max(sum(targets), 1.0):
             break
+        if len(steps) % STEPS_AT_ONCE == 0:
+            members, rate = c.cut(members.withColumn("mix_rate", rate)), F.col("mix_rate")
+    return members.withColumn("mix_rate", rate), steps
+
+
+def fit_rates(members: DataFrame, targets: list[float]) -> tuple[Column, list[list[float]]]:
+    """The rate of a row of ``mix_tokens`` and ``mix_posteriors`` as a column, for rows other than ``members`` too, and its steps."""
+    steps = rated(members, targets)[1]
+    rate = F.lit(1.0)
+    for step in steps:
+        rate = _next(rate, step)
     return rate, steps
 
 
@@ -140,10 +156,10 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], budget: f
         budget = present[at] / share[at]
     elif budget is None:
         budget = sum(present)
-    rate, _ = fit_rates(members, [s * budget for s in share])
+    members, _ = rated(members, [s * budget for s in share])
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # A rate rounds up if its fraction is over the chance.
-    return members.withColumn("mix_rate", rate).withColumn("mix_copies", F.ceil(F.col("mix_rate") - chance).cast("long"))
+    return members.withColumn("mix_copies", F.ceil(F.col("mix_rate") - chance).cast("long"))
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
