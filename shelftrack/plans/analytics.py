@@ -41,8 +41,10 @@ def newly_added_books(
     days: int = fixed.NEW_BOOK_DAYS,
 ) -> DataFrame:
     """Books first seen within the last ``days`` days, newest first."""
-    dated = fct.select("book_id", "date_id").join(F.broadcast(dim_date.select("date_id", "full_date")), "date_id")
-    first_seen = first_per_key(dated, "book_id", "full_date", "first_seen_date")
+    # Day numbers grow with the days: one row per book meets the calendar, and days it lacks do not count.
+    known = fct.select("book_id", "date_id").filter(F.col("date_id").isNotNull())
+    first_day = first_per_key(known, "book_id", "date_id", "date_id")
+    first_seen = first_day.join(dim_date.select("date_id", F.col("full_date").alias("first_seen_date")), "date_id")
     recent = first_seen.filter(F.col("first_seen_date") >= F.date_sub(as_day(as_of), days))
     return (
         recent.join(dim_books.select("book_id", "title", "publisher_id"), "book_id")

@@ -17,6 +17,8 @@ from shelftrack.functions.text import as_column, null_if_missing, strip_space
 # Landed files hold line breaks inside quotes, so each is read by one task;
 # the writer bounds their size instead.
 ROWS_PER_FILE = 1_000_000
+# Set by the reader on rows whose fields do not match the header.
+_CORRUPT = "_corrupt_record"
 _BYTE_ORDER_MARK = "﻿"
 
 
@@ -30,22 +32,45 @@ def source_of(path: Column | str) -> Column:
     return F.regexp_extract(as_column(path), r"([^/=]+)/[^/]+\z", 1)
 
 
-def landed_files(spark: SparkSession, root: str, sources: Sequence[str] = fixed.SOURCES) -> DataFrame:
-    """The landed files with their source and size; contents are not read."""
-    schema = "path string, modificationTime timestamp, length long"
+def plain_path(path: Column | str) -> Column:
+    """A file's address in one spelling: listings and rows differ in the slashes behind the scheme."""
+    return F.regexp_replace(as_column(path), r"^(\w+):/+", "$1:/")
+
+
+def _listing(spark: SparkSession, root: str, sources: Sequence[str]) -> DataFrame:
     try:
-        listed = (
+        return (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.csv")
             .load(_source_globs(root, sources))
             .select("path", "modificationTime", "length")
         )
-    except AnalysisException:
-        listed = spark.createDataFrame([], schema)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, modificationTime timestamp, length long")
+
+
+def landed_files(spark: SparkSession, root: str, sources: Sequence[str] = fixed.SOURCES) -> DataFrame:
+    """The landed files with their source and size; contents are not read. Files without a byte are in ``empty_files``."""
+    listed = _listing(spark, root, sources)
     return listed.select("path", source_of("path").alias("source"), "modificationTime", "length")
 
 
+def empty_files(spark: SparkSession, root: str, sources: Sequence[str] = fixed.SOURCES) -> DataFrame:
+    """The landed files without a byte, with their source.
+
+    Scans leave such files out, so the names come from the scan's own listing,
+    which the driver holds.
+    """
+    listed = _listing(spark, root, sources)
+    names = spark.createDataFrame([(unquote(f),) for f in listed.inputFiles()], "path string")
+    filled = listed.select(plain_path("path").alias("address"))
+    empty = names.withColumn("address", plain_path("path")).join(filled, "address", "left_anti")
+    return empty.select("path", source_of("path").alias("source"))
+
+
 def missing_sources(
     spark: SparkSession, landed: DataFrame, expected: Sequence[str] = fixed.SOURCES
 ) -> DataFrame:
@@ -106,6 +131,8 @@ def read_files(
 ) -> DataFrame:
     """Rows of the files that have all required columns, with their file and source.
 
+    ``surplus`` marks rows with more fields than their file's header.
+
     A CSV scan binds columns by position, so files are grouped by header and
     every group is read with its own names. Headers repeat from file to file:
     there are as many groups as header versions, not as files. The names of
@@ -122,24 +149,29 @@ def read_files(
 
 def _no_rows(spark: SparkSession, required: Sequence[str]) -> DataFrame:
     names = [*required, "file", "source"]
-    return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    fields = [T.StructField(n, T.StringType()) for n in names]
+    return spark.createDataFrame([], T.StructType([*fields, T.StructField("surplus", T.BooleanType())]))
 
 
 def _read_group(
     spark: SparkSession, columns: Sequence[str], files: Sequence[str], required: Sequence[str], multi_line: bool
 ) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, _CORRUPT)])
     rows = (
         spark.read.schema(schema)
         .option("header", "true")
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
+        .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv([unquote(f) for f in files])
     )
     file = F.col("_metadata.file_path")
     cells = [F.nullif(strip_space(null_if_missing(c)), F.lit("")).alias(c) for c in required]
-    return rows.select(*cells, file.alias("file"), source_of(file).alias("source"))
+    # A row may have fewer fields than the header, never more.
+    bare = F.regexp_replace(_CORRUPT, '"[^"]*"', "")
+    surplus = F.coalesce(F.size(F.split(bare, ",")) > len(columns), F.lit(False))
+    return rows.select(*cells, file.alias("file"), source_of(file).alias("source"), surplus.alias("surplus"))
 
 
 def read_landing(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelftrack import fixed_values as fixed
 from shelftrack.schemas import raw_schema
+from shelftrack.sources.landing import plain_path
 from shelftrack.sources.tables import is_table, write_version
 
 
@@ -17,22 +18,29 @@ def parse_scraped_at(c: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(c, F.lit(fixed.SCRAPED_AT_FORMAT)), c.try_cast("timestamp"))
 
 
-def violation(required: Sequence[str] = fixed.REQUIRED_VALUES) -> Column:
-    """The first constraint a landed row breaks, NULL for a good row."""
+def violation(required: Sequence[str] = fixed.REQUIRED_VALUES, marked: bool = True) -> Column:
+    """The first constraint a landed row breaks, NULL for a good row; ``marked`` rows tell of surplus fields."""
+    surplus = [F.when(F.col("surplus"), "more fields than the header")] if marked else []
     missing = [F.when(F.col(c).isNull(), f"{c} is null") for c in required]
     too_long = F.when(F.length("currency") > fixed.CURRENCY_LENGTH, "currency is too long")
     no_time = F.when(parse_scraped_at(F.col("scraped_at")).isNull(), "scraped_at is no time")
-    return F.coalesce(*missing, too_long, no_time)
+    return F.coalesce(*surplus, *missing, too_long, no_time)
 
 
-def load_metrics(landed: DataFrame) -> DataFrame:
-    """Rows, bad rows and the reason for refusal per file."""
-    reason = violation()
-    return landed.groupBy("file", "source").agg(
+def load_metrics(landed: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Rows, bad rows and the reason for refusal per file; with the landed ``files`` also those without rows."""
+    reason = violation(marked="surplus" in landed.columns)
+    metrics = landed.groupBy("file", "source").agg(
         F.count("*").alias("rows"),
         F.count(reason).alias("bad_rows"),
         F.min(reason).alias("reason"),
     )
+    if files is None:
+        return metrics
+    every = files.select(F.col("path").alias("file"), "source", plain_path("path").alias("address"))
+    known = metrics.select(plain_path("file").alias("address"), "rows", "bad_rows", "reason")
+    counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("rows", "bad_rows")]
+    return every.join(known, "address", "left").select("file", "source", *counts, "reason")
 
 
 def loaded_total(metrics: DataFrame) -> DataFrame:

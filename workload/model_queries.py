@@ -232,8 +232,13 @@ def incremental_upsert(spark, sf):
     f"{when_text('ts')} AS ts, cast(cast(ts AS DATE) AS VARCHAR) AS day FROM daily",
 )
 def full_refresh(spark, sf):
-    events = table(spark, sf, "events")
-    return shown(upsert(None, _daily(newer_than(events, None, "ts")), ["user_id", "day"]))
+    from uuid import uuid4
+
+    from shelftrack.operators.upsert import full_refresh as refresh
+
+    path = f"{shared_folder(spark)}/workload/{uuid4()}/daily"
+    stored = refresh(spark, _daily(table(spark, sf, "events")), path, "day")
+    return shown(stored).select("event_id", "user_id", "event_type", "value", "ts", "day")
 
 
 @query(
@@ -257,6 +262,82 @@ def stored_upsert(spark, sf):
     )
 
 
+@query(
+    "upsert_repeated",
+    f"WITH daily AS ({_DAILY.format(rows='events')}) SELECT event_id, user_id, event_type, value, "
+    f"{when_text('ts')} AS ts, cast(cast(ts AS DATE) AS VARCHAR) AS day FROM daily",
+)
+def upsert_repeated(spark, sf):
+    """Two loads, and then both again in turn: equal to one full refresh."""
+    from uuid import uuid4
+
+    from shelftrack.operators.upsert import upsert_table
+
+    path = f"{shared_folder(spark)}/workload/{uuid4()}/daily"
+    events = table(spark, sf, "events")
+    cut = F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
+    first, second = _daily(events.filter(F.col("ts") <= cut)), _daily(events.filter(F.col("ts") > cut))
+    for new, batch in ((first, "first"), (second, "second"), (first, "first"), (second, "second")):
+        stored = upsert_table(spark, path, new, ["user_id", "day"], "day", batch)
+    return shown(stored).select("event_id", "user_id", "event_type", "value", "ts", "day")
+
+
+def _loaded_in_two(spark, sf, first, by=None):
+    """The fact after a load of the ``first`` rows and one of all rows."""
+    from uuid import uuid4
+
+    from shelftrack.plans.warehouse import Warehouse
+
+    warehouse = Warehouse(spark, f"{shared_folder(spark)}/workload/{uuid4()}/warehouse")
+    raw, days = raw_books(spark, sf), calendar(spark, sf)
+    for batch, rows in (("first", raw.filter(first)), ("second", raw)):
+        warehouse.update_staging(rows, batch, F.lit("2024-02-01 00:00:00").cast("timestamp"), by)
+        warehouse.update_facts(days, batch, per_source=by is not None)
+    return shown(warehouse.table("fct_book_prices").drop("price_day", "max_scraped_at_utc", "source"))
+
+
+@query("facts_late_source", _FCT_SQL)
+def facts_late_source(spark, sf):
+    """One publisher's scans come with the second load, older than what the first held: equal to a full refresh."""
+    return _loaded_in_two(spark, sf, ~F.col("publisher").contains("-view "), by="publisher")
+
+
+@query("facts_in_two_loads", _FCT_SQL)
+def facts_in_two_loads(spark, sf):
+    return _loaded_in_two(spark, sf, F.col("scraped_at") <= F.lit("2024-01-20 22:30:00").cast("timestamp"))
+
+
+_NIGHT = "TIMESTAMP '2024-10-27 00:00:00' + to_microseconds(epoch_us(ts) % 7200000000)"
+
+
+@query(
+    "facts_autumn_hour",
+    f"SELECT cast(user_id AS VARCHAR) AS title, count(DISTINCT {_NIGHT}) AS scans, strftime(max({_NIGHT}), '%H:%M:%S.%f') AS last_scan "
+    "FROM events GROUP BY 1",
+)
+def facts_autumn_hour(spark, sf):
+    """All scans fall into the two hours of UTC that are one hour of local time; two loads lose none."""
+    from uuid import uuid4
+
+    from shelftrack.plans.warehouse import Warehouse
+
+    warehouse = Warehouse(spark, f"{shared_folder(spark)}/workload/{uuid4()}/warehouse")
+    micros = F.unix_micros(F.col("scraped_at")) % F.lit(7_200_000_000)
+    night = F.timestamp_micros(F.lit(1729987200_000_000) + micros)
+    raw = raw_books(spark, sf).withColumn("scraped_at", night).withColumn("discount_price", F.lit("10,00"))
+    # One link a book, whatever event type told it.
+    book = F.regexp_extract("title", r"(\d+)", 1)
+    raw = raw.withColumn("book_link", F.concat(F.lit("https://izdanja.rs/k/"), book))
+    days = marts.build_dim_date(spark, "2024-10-28")
+    early = F.col("scraped_at") <= F.lit("2024-10-27 00:50:00").cast("timestamp")
+    for batch, rows in (("first", raw.filter(early)), ("second", raw)):
+        warehouse.update_staging(rows, batch)
+        warehouse.update_facts(days, batch)
+    scans = warehouse.table("stg_books").groupBy("title").agg(F.count("*").alias("scans"), F.max("book_id").alias("book_id"))
+    last = warehouse.table("fct_book_prices").select("book_id", F.date_format("max_scraped_at_utc", "HH:mm:ss.SSSSSS").alias("last_scan"))
+    return scans.join(last, "book_id").select(F.regexp_extract("title", r"(\d+)", 1).alias("title"), "scans", "last_scan")
+
+
 @query(
     "watermark_per_source",
     "WITH cut AS (SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-10 00:00:00' OR event_type = 'view'), "

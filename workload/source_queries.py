@@ -54,7 +54,7 @@ _LANDED = f"landed AS (SELECT {_LANDED_COLUMNS}, {_SOURCE_OF_RAW} AS source FROM
 
 @query("read_landing", sql.with_raw(f", {_LANDED} SELECT * FROM landed"))
 def read_landing(spark, sf):
-    return landing.read_landing(spark, _landed(spark, sf), _SOURCES).drop("file")
+    return landing.read_landing(spark, _landed(spark, sf), _SOURCES).drop("file", "surplus")
 
 
 @query(
@@ -70,7 +70,7 @@ def mixed_headers(spark, sf):
         batch = records.filter(F.col("source") == source).select(*names)
         batch.write.option("header", "true").option("escape", '"').csv(f"{root}/{fixed.LANDING_FOLDER}/{source}")
     landing.write_landing(records.filter(~F.col("source").isin("click", "view")), root)
-    return landing.read_landing(spark, f"{root}/{fixed.LANDING_FOLDER}", _SOURCES).drop("file")
+    return landing.read_landing(spark, f"{root}/{fixed.LANDING_FOLDER}", _SOURCES).drop("file", "surplus")
 
 
 @query("skipped_files", "SELECT DISTINCT event_type AS source, 'category' AS missing FROM events WHERE event_type = 'view'")
@@ -79,8 +79,8 @@ def skipped(spark, sf):
     records = _records(spark, sf)
     lacking = [c for c in fixed.REQUIRED_COLUMNS if c != "category"]
     records.filter("source = 'view'").select(*lacking).write.option("header", "true").csv(f"{root}/view")
-    records.filter("source = 'click'").select(*fixed.REQUIRED_COLUMNS).write.option("header", "true").csv(f"{root}/click")
-    headers = landing.file_headers(spark, f"{root}/*")
+    landing.write_landing(records.filter("source <> 'view'"), root)
+    headers = landing.file_headers(spark, [f"{root}/view", f"{root}/{fixed.LANDING_FOLDER}"])
     found = landing.skipped_files(headers).select(
         landing.source_of("file").alias("source"), F.explode("missing").alias("missing")
     )
@@ -137,6 +137,31 @@ def load_metrics(spark, sf):
     )
 
 
+@query(
+    "malformed_files",
+    "SELECT event_type AS source, count(*) AS n_rows, "
+    "CASE event_type WHEN 'view' THEN 'more fields than the header' END AS reason FROM events GROUP BY 1 "
+    "UNION ALL SELECT 'empty', 0, NULL UNION ALL SELECT 'header', 0, NULL",
+)
+def malformed_files(spark, sf):
+    """One source writes a field too many in every row, two more land a file without rows."""
+    root = _fresh(spark, "landing")
+    records = _records(spark, sf)
+    landing.write_landing(records.filter("source <> 'view'"), root)
+    folder = f"{root}/{fixed.LANDING_FOLDER}"
+    cells = [F.concat(F.lit('"'), F.coalesce(F.replace(c, F.lit('"'), F.lit('""')), F.lit("")), F.lit('"')) for c in fixed.REQUIRED_COLUMNS]
+    lines = records.filter("source = 'view'").select(F.concat_ws(",", *cells, F.lit("surplus")).alias("value"))
+    header = spark.createDataFrame([(",".join(fixed.REQUIRED_COLUMNS),)], "value string")
+    for name, body in (("view", header.unionByName(lines)), ("header", header), ("empty", header.limit(0))):
+        # Lines as they are: no quoting, and a separator that no text has.
+        body.coalesce(1).write.option("quote", "\0").option("sep", "\1").csv(f"{folder}/{name}")
+    sources = (*_SOURCES, "empty", "header")
+    files = landing.landed_files(spark, folder, sources).select("path", "source")
+    files = files.unionByName(landing.empty_files(spark, folder, sources))
+    metrics = raw_table.load_metrics(landing.read_landing(spark, folder, sources), files)
+    return metrics.groupBy("source").agg(F.sum("rows").alias("n_rows"), F.min("reason").alias("reason"))
+
+
 @query("loaded_total", "SELECT count(*) AS rows_loaded FROM events WHERE event_type NOT IN ('signup', 'error')")
 def loaded_total(spark, sf):
     landed = landing.read_landing(spark, _landed(spark, sf, _half_bad), _SOURCES)
@@ -370,4 +395,4 @@ def stream(spark, sf):
     days = tables.save_model(calendar(spark, sf), "stream_calendar", "table", f"{root}/dim_date")
     files = landing_stream(spark, f"{root}/{fixed.LANDING_FOLDER}", _SOURCES)
     streaming_upsert(files, warehouse, days, f"{root}/checkpoint").awaitTermination()
-    return shown(warehouse.table("fct_book_prices").drop("price_day"))
+    return shown(warehouse.table("fct_book_prices").drop("price_day", "max_scraped_at_utc", "source"))
