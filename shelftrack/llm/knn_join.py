@@ -3,9 +3,10 @@
 The largest inner product becomes the smallest distance: a data vector gets one
 more component, ``sqrt(M^2 - |x|^2)`` with M the longest length, a query gets a
 zero there. Data and queries go to their nearest of a few pivots. Summaries -
-per data cell the ``k + 1`` smallest distances to its pivot, per query cell the
-least and largest distance to every pivot - bound how far the ``k``-th
-neighbour of any query of a cell can be. A data row is sent to a query cell only if
+per data cell the ``k + 1`` ids nearest to its pivot with their smallest distances,
+per query cell the least and largest distance to every pivot - bound how far the
+``k``-th neighbour of any query of a cell can be. Ids count once there, as a query
+leaves out all rows of its own. A data row is sent to a query cell only if
 its own distance to its pivot leaves it within that bound. Cells are cut into
 groups of bounded size, each solved by one product of matrices; a last ranking
 merges the groups of a query.
@@ -162,7 +163,8 @@ def top_products(queries: DataFrame, data: DataFrame, k: int, n_pivots: int = PI
     )
     seen = seen.groupBy("cell", "pivot").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n"))
     order = Window.partitionBy("cell").orderBy("distance")
-    near = rows.select("cell", "distance").withColumn("i", F.row_number().over(order)).filter(F.col("i") <= k + 1)
+    near = rows.groupBy("cell", "vec_id").agg(F.min("distance").alias("distance"))
+    near = near.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= k + 1)
     bounds, sizes = _bounds(seen.collect(), near.collect(), len(picked), k, longest)
     splits = np.maximum(1, -(-sizes // GROUP_QUERIES))
     counted = rows.select("cell", "distance").mapInArrow(_count_needed(bounds), "g int, n long")
@@ -192,11 +194,15 @@ def _bounds(seen, near, n: int, k: int, longest: float) -> tuple[np.ndarray, np.
     for row in seen:
         least[row.cell, row.pivot], most[row.cell, row.pivot], sizes[row.cell] = row.least, row.most, row.n
     cells, distances = np.array([r.cell for r in near]), np.array([r.distance for r in near])
+    ids = np.array([r.vec_id for r in near])
     bounds = np.empty((n, n, 2))
     slack = 1e-6 * (1 + longest**0.5)
     for g in range(n):
-        reach = np.sort(most[g, cells] + distances)
-        theta = reach[k] if len(reach) > k and sizes[g] else np.inf
+        reach = most[g, cells] + distances
+        order = np.argsort(reach)
+        # Of k + 1 ids one at most is the query's own; an id may lie in several cells.
+        nearest = np.sort(np.unique(ids[order], return_index=True)[1])
+        theta = reach[order[nearest[k]]] if len(nearest) > k and sizes[g] else np.inf
         bounds[g, :, 0] = least[g] - theta - slack if sizes[g] else np.inf
         bounds[g, :, 1] = most[g] + theta + slack if sizes[g] else -np.inf
     return bounds, sizes

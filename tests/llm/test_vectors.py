@@ -45,6 +45,21 @@ def test_exact_edges(spark):
     assert knn_join.top_products(data, data.limit(0), 3).count() == 0
 
 
+def test_exact_repeated_id(spark):
+    """Ids of many equal rows, more than the query asks for."""
+    whole = np.floor(8 * np.random.default_rng(5).standard_normal((220, 16))).astype(int)
+    names = np.concatenate([np.repeat(np.arange(0, 400, 20), 30), 20 * np.arange(200) + 1])
+    whole = np.concatenate([np.repeat(whole[:20], 30, axis=0), whole[20:]])
+    data = spark.createDataFrame([(int(n), v.tolist()) for n, v in zip(names, whole, strict=True)], "vec_id long, vector array<long>")
+    asked = data.filter("vec_id % 20 = 0")
+    own = {r.vec_id: r.vector for r in asked.groupBy("vec_id").agg(F.min("vector").alias("vector")).collect()}
+    got, wanted = knn_join.top_products(asked, data, 4).collect(), []
+    for q, vector in own.items():
+        scores = sorted((-int(np.dot(vector, x)), int(n)) for n, x in zip(names, whole, strict=True) if n != q)
+        wanted += [(q, i + 1, n, -s) for i, (s, n) in enumerate(scores[:4])]
+    assert sorted(tuple(r) for r in got) == sorted(wanted)
+
+
 @pytest.mark.parametrize("block", [128, 4096])
 def test_recall(spark, monkeypatch, block):
     monkeypatch.setattr(collision_search, "BLOCK_ROWS", block)
