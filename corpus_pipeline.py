@@ -57,9 +57,14 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn at their fitted rates, each once at most; the good domain keeps its tokens."""
+    """Documents at their fitted rates, as many rows each as it has copies; the good domain keeps its tokens."""
     mixed = mix(docs, label_domains(c.read(spark, sf_dir, "labels")), MIX, keeping="good")
-    return _same_rows(docs, mixed.filter(F.col("mix_copies") > 0))
+    # Rows of one id and text are rated alike.
+    copies = mixed.filter(F.col("mix_copies") > 0).groupBy("doc_id", "text_hash").agg(F.max("mix_copies").alias("mix_copies"))
+    copies = copies.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "mix_copies")
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("kept_hash"))
+    repeated = docs.join(copies, same).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
+    return repeated.select(*docs.columns)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

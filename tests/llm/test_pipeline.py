@@ -1,6 +1,7 @@
 """The pipeline stage by stage, and every registered query against its SQL."""
 
 import os
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -8,6 +9,8 @@ import pytest
 
 import corpus_pipeline
 from shelftrack.llm import queries as registered
+from shelftrack.llm.mixing import label_domains, mix
+from shelftrack.llm.queries import MIX
 
 TABLES = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="no tables")
@@ -58,6 +61,21 @@ def test_stages(spark, tmp_path):
     assert set(after) == set(before) and all(r.round_trip for r in after.values())
 
 
+def test_mixing_meets_targets(spark):
+    """Domains that hold less than their target are raised by copies."""
+    docs, labels = (spark.read.parquet(f"{TABLES}/{name}.parquet") for name in ("documents", "labels"))
+    domains = label_domains(labels)
+    rare = docs.join(domains.filter("domain <> 'good'"), "doc_id", "left_semi").orderBy("doc_id").limit(6)
+    docs = docs.join(domains.filter("domain = 'good'"), "doc_id", "left_semi").unionByName(rare).localCheckpoint()
+    rated = {r.doc_id: r for r in mix(docs, domains, MIX, keeping="good").collect()}
+    kept = Counter(r.doc_id for r in corpus_pipeline.source_mixing(spark, docs, str(TABLES)).collect())
+    assert kept == Counter({i: r.mix_copies for i, r in rated.items() if r.mix_copies}) and max(kept.values()) > 1
+    names, good = sorted(MIX), sum(r.mix_tokens * r.mix_posteriors[0] for r in rated.values())
+    for i, name in enumerate(names):
+        reached = sum(n * rated[d].mix_tokens * rated[d].mix_posteriors[i] for d, n in kept.items())
+        assert reached == pytest.approx(good * MIX[name] / MIX["good"], rel=0.05 if name == "good" else 0.3), name
+
+
 def test_run(spark):
     found = corpus_pipeline.run(spark, str(TABLES))
     assert found.count() > 0 and found.columns == ["doc_id", "tokens", "n_tokens", "round_trip"]
