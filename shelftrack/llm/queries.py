@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from shelftrack.llm import common as c
 from shelftrack.llm import vectors as v
+from shelftrack.llm.alignment import align
 from shelftrack.llm.collision_search import nearest_products
+from shelftrack.llm.conversations import damage, repair
 from shelftrack.llm.knn_join import top_products
 from shelftrack.llm.language import identify
 from shelftrack.llm.line_dedup import remove_repeated_lines
 from shelftrack.llm.mixing import label_domains, mix
+from shelftrack.llm.packing import pack
 from shelftrack.llm.quality import score_quality
 from shelftrack.llm.sentencepiece_fst import encode
 from shelftrack.llm.simhash import near_duplicates
@@ -57,8 +60,9 @@ def op1(spark, sf):
     return top_products(whole.filter(F.col("vec_id") % 20 == 0), whole, 20)
 
 
-# Where the public tokenizers lie; the file is read, never copied.
-TOKENIZER = os.environ.get("SHELFTRACK_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
+# Where the public tokenizers lie; the files are read, never copied.
+TOKENIZERS = os.environ.get("SHELFTRACK_TOKENIZERS", "/opt/tokenizers")
+TOKENIZER = os.environ.get("SHELFTRACK_TOKENIZER", f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
 @query("op2_sentencepiece")
@@ -113,3 +117,19 @@ def op9(spark, sf):
 @query("op10_quality")
 def op10(spark, sf):
     return score_quality(c.read(spark, sf, "documents"), c.read(spark, sf, "labels"))
+
+
+@query("op11_token_alignment")
+def op11(spark, sf):
+    aligned = align(c.read(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", TOKENIZER, digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op12_conversation_repair")
+def op12(spark, sf):
+    return repair(damage(c.read(spark, sf, "conversations")), "times", digest=True)
+
+
+@query("op13_sequence_packing")
+def op13(spark, sf):
+    return pack(c.read(spark, sf, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", limit=4096, end=1)

@@ -32,7 +32,12 @@ def test_whole_table(spark, name):
     df = registered.QUERIES[name](spark, str(TABLES))
     table = "embeddings" if "vec_id" in df.columns else "documents"
     rows = spark.read.parquet(f"{TABLES}/{table}.parquet")
-    if table == "documents":
+    if "conv_id" in df.columns:
+        rows = spark.read.parquet(f"{TABLES}/conversations.parquet").select("conv_id").distinct()
+        assert sorted(r.conv_id for r in df.select("conv_id").collect()) == sorted(r.conv_id for r in rows.collect())
+    elif "piece" in df.columns:
+        assert sorted(r.doc_id for r in df.filter("piece = 0").collect()) == sorted(r.doc_id for r in rows.collect())
+    elif table == "documents":
         assert sorted(r.doc_id for r in df.select("doc_id").collect()) == sorted(r.doc_id for r in rows.select("doc_id").collect())
     else:
         assert df.count() == 20 * rows.filter("vec_id % 20 = 0").count()
@@ -66,7 +71,7 @@ def test_mixing_meets_targets(spark):
     docs, labels = (spark.read.parquet(f"{TABLES}/{name}.parquet") for name in ("documents", "labels"))
     domains = label_domains(labels)
     rare = docs.join(domains.filter("domain <> 'good'"), "doc_id", "left_semi").orderBy("doc_id").limit(6)
-    docs = docs.join(domains.filter("domain = 'good'"), "doc_id", "left_semi").unionByName(rare).localCheckpoint()
+    docs = docs.join(domains.filter("domain = 'good'"), "doc_id", "left_semi").unionByName(rare).checkpoint()
     rated = {r.doc_id: r for r in mix(docs, domains, MIX, keeping="good").collect()}
     kept = Counter(r.doc_id for r in corpus_pipeline.source_mixing(spark, docs, str(TABLES)).collect())
     assert kept == Counter({i: r.mix_copies for i, r in rated.items() if r.mix_copies}) and max(kept.values()) > 1
@@ -86,9 +91,15 @@ def test_stages_take_empty_and_odd_tables(spark):
     rows = [(1, "the cat sat on the mat and slept", "en", "a", 32, 1), (None, None, None, None, None, 1), (2, "", "en", "a", 0, 1)]
     rows += [(3, "the cat sat on the mat and slept", "en", "a", 32, 1), (None, "no id at all in this row of words", "en", "b", 33, 2)]
     for df in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
-        docs = df
+        docs, wanted = df, None
         for name, stage in corpus_pipeline.STAGES:
+            if name == "source mixing":
+                domains = label_domains(spark.read.parquet(f"{TABLES}/labels.parquet"))
+                wanted = Counter({r.doc_id: r.mix_copies for r in mix(docs, domains, MIX, keeping="good").collect()})
             docs = stage(spark, docs, str(TABLES))
             if name != "SentencePiece":
                 assert docs.columns == df.columns
-        assert docs.count() == (2 if df.count() else 0)
+            if name == "SimHash near-dedup":
+                assert sorted(r.doc_id or 0 for r in docs.collect()) == ([0, 1] if df.count() else [])
+        # Each document comes as often as it has copies.
+        assert Counter(r.doc_id for r in docs.collect()) == +wanted
