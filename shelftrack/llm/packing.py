@@ -28,7 +28,8 @@ from shelftrack.llm import segments as s
 SHARD = 20_000  # pieces that one task places
 _PART = 4 << 20
 _JOINED = 1 << 16
-_BETWEEN = "\ue000"  # a pre-token of its own
+_BETWEEN = "\x01"  # a pre-token of its own, of one token that no other text has
+_WORDS = 800_000  # known words of a worker
 
 
 class WordTokens:
@@ -39,8 +40,8 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = True
-        self.between = np.array(self._plain([_BETWEEN])[0])
-        self.known = s.Known()
+        (self.between,) = self._plain([_BETWEEN])[0]
+        self.known = s.Known(_WORDS)
         self.forget()
 
     def forget(self) -> None:
@@ -56,12 +57,9 @@ class WordTokens:
             group = [word for word, _ in group]
             if not any(_BETWEEN in word for word in group):
                 numbers = np.array(self._plain([f" {_BETWEEN} ".join([*group, ""])])[0], np.uint32)
-                n = len(self.between)
-                marks = np.flatnonzero(np.all(np.lib.stride_tricks.sliding_window_view(numbers, n) == self.between, axis=1))
+                marks = np.flatnonzero(numbers == self.between)
                 if len(marks) == len(group):
-                    of_mark = np.zeros(len(numbers), bool)
-                    of_mark[(marks[:, None] + np.arange(n)).ravel()] = True
-                    self.store.extend(numbers[~of_mark], np.diff(np.concatenate([[0], marks + n])) - n)
+                    self.store.extend(np.delete(numbers, marks), np.diff(marks, prepend=-1) - 1)
                     continue
             found = self._plain(group)
             flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
@@ -69,9 +67,7 @@ class WordTokens:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all texts, one behind the other, and the bounds of each."""
-        words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
-        if isinstance(words, pa.ChunkedArray):
-            words = words.combine_chunks()
+        words = pc.ascii_split_whitespace(_plainer(texts))
         distinct = words.flatten().dictionary_encode()
         rows = self.known.look_up(distinct.dictionary, self.forget, self._add)[distinct.indices.to_numpy()]
         numbers, bounds = self.store.take(rows)
@@ -79,6 +75,27 @@ class WordTokens:
         return numbers, bounds[edges - edges[0]]
 
 
+def _plainer(texts: pa.Array) -> pa.Array:
+    """Texts of the same numbers with fewer distinct words: a blank before a mark that ends a word, ASCII in lower case.
+
+    The tokenizer drops white space, lowers letters and cuts between a letter and a mark itself. Case
+    stays if there is a combining mark, with which a lower letter may become another character.
+    """
+    data, bounds = c.flat(texts)
+    one, two, behind = (np.concatenate([np.zeros(2, np.uint8), data, [0x20]])[k : k + len(data)] for k in (1, 0, 3))
+    letter = ((one | 0x20) >= 0x61) & ((one | 0x20) <= 0x7A) | (two == 0xC3) & (one >= 0x80) & (one != 0x97) & (one != 0xB7)
+    marks = np.flatnonzero(_MARKS[data] & letter & c.SPACES[behind])
+    inside = marks[~np.isin(marks, bounds)]
+    shift = np.searchsorted(inside, bounds)
+    data = np.insert(data, inside, 0x20)
+    offsets = pa.py_buffer((bounds + shift).astype(np.int64))
+    plain = pa.LargeStringArray.from_buffers(len(texts), offsets, pa.py_buffer(np.ascontiguousarray(data)))
+    return plain if np.isin(data, (0xCC, 0xCD)).any() else pc.ascii_lower(plain)
+
+
+_MARKS = np.isin(np.arange(256), list(b".,;:!?"))
+
+
 @functools.lru_cache(maxsize=2)
 def _loaded(model: str) -> WordTokens:
     return WordTokens(model)

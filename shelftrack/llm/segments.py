@@ -60,24 +60,21 @@ def _room(values: np.ndarray, n: int) -> np.ndarray:
 
 
 class Known:
-    """Numbers of the values met so far; forgotten when they are too many, which costs time only."""
+    """Indexes of the values met so far; forgotten when they are too many, which costs time only."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int):
         self.most, self.index = most, {}
 
     def look_up(self, values: pa.Array, forget: Callable[[], None], add: Callable[[list], None]) -> np.ndarray:
         """The index of each of some distinct values; ``add`` gets the new ones in the order of their indexes."""
         values = values.to_pylist()
-        if len(self.index) + len(values) > self.most and self.index:
-            self.index = {}
+        found = list(map(self.index.get, values))
+        new = [value for value, k in zip(values, found, strict=True) if k is None]
+        if new and self.index and len(self.index) + len(new) > self.most:
+            self.index, new = {}, values
             forget()
-        index, new, out = self.index, [], np.empty(len(values), np.int64)
-        for i, value in enumerate(values):
-            k = index.get(value)
-            if k is None:
-                k = index[value] = len(index)
-                new.append(value)
-            out[i] = k
         if new:
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
             add(new)
-        return out
+            found = list(map(self.index.get, values))
+        return np.array(found, np.int64)

@@ -28,7 +28,10 @@ ODD = [
     "Straße ÉTÉ été  nbsp  thin space 　wide  line",
     "日本語のテキスト 中文 한국어 🙂🙃 👩‍👩‍👧 ​ zero",
     "a▁b mark",
-    "private  usearea",
+    "mark \x01 in\x01side \x01",
+    "Word. WORD, (word.) é! ÷, ×: don't. 'S's, x.. x.,y a.b H\u0331. h\u0331, J\u030c",
+    "End.",
+    ", starts",
     "nul \x00 \x1c\x1d \x7f del",
     "x" * 3000 + " " * 50 + "yz" * 700,
     "é ́ combining",
