@@ -31,7 +31,8 @@ from shelftrack.llm import common as c
 from shelftrack.llm import exchange as x
 from shelftrack.llm import segments as s
 
-_PART = 8 << 20  # bytes of text of a block
+_PART = 4 << 20  # bytes of text of a block
+_SEGMENTS = 400_000  # known segments of a worker
 _BUCKET = 64 << 20  # bytes of text for each bucket of pairs
 _JOINED = 1 << 16
 _MARK = "▁".encode()
@@ -85,12 +86,12 @@ class Pair:
         self.b_bytes, self.n_b = _Bodies(of_b), len(of_b)
         same = [min(by_bytes[body])[1] if body in by_bytes else -1 for body in bodies]
         self.same = np.array([-1 if i in special.values() else b for i, b in enumerate(same)], np.int64)
-        self.known = s.Known(150_000)
+        self.known = s.Known(_SEGMENTS)
         self.forget()
 
     def forget(self) -> None:
         self.counts = s.Ragged(np.int64)  # A tokens, B tokens, groups, links, or -1 four times
-        self.links, self.times = s.Ragged(np.int64), s.Ragged(np.int64)
+        self.links, self.times = s.Ragged(np.int64), s.Ragged(np.int32)
         self.texts: list[str] = []
 
     # Segments.
@@ -111,22 +112,16 @@ class Pair:
     def _add(self, found: list[bytes]) -> None:
         """Aligns segments, many in one text; those that could affect others each alone."""
         size = (np.cumsum([len(f) for f in found]) // _JOINED).tolist()
-        for _, group in itertools.groupby(range(len(found)), key=lambda i: size[i]):
-            group = [found[i] for i in group]
-            alone = [_MARK in f or not _ends_safe(f) for f in group]
-            plain = [f for f, a in zip(group, alone, strict=True) if not a]
-            aligned = self._align(plain) if plain else []
-            if aligned is None:
-                aligned = [self._one(f) for f in plain]
-            rest = iter(aligned)
-            self._keep([self._one(f) if a else next(rest) for f, a in zip(group, alone, strict=True)])
-
-    def _one(self, segment: bytes):
-        found = self._align([segment])
-        return found[0] if found else None
-
-    def _align(self, group: list[bytes]):
-        """Group text, counts and links of every segment; none if tokens do not give the bytes."""
+        for _, group in itertools.groupby(zip(found, size, strict=True), key=lambda pair: pair[1]):
+            for alone, run in itertools.groupby((f for f, _ in group), key=lambda f: _MARK in f or not _ends_safe(f)):
+                run = list(run)
+                if alone or not self._align(run):
+                    for segment in run:
+                        if not self._align([segment]):
+                            self._keep([""], np.full((1, 4), -1), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(1, np.int64))
+
+    def _align(self, group: list[bytes]) -> bool:
+        """Keeps group text, counts and links of every segment; not if tokens do not give the bytes."""
         body = b"".join(group)
         text = body.decode()
         a = np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64)
@@ -134,48 +129,48 @@ class Pair:
         b = np.array([self.b.piece_to_id("▁")] if text == " " else self.b.encode(text[1:]), np.int64)
         whole = np.frombuffer(body, np.uint8)
         if not np.array_equal(self.a_bytes.join(a), whole) or not np.array_equal(self.b_bytes.join(b), whole):
-            return None
+            return False
         a_end, b_end = np.cumsum(self.a_bytes.size[a]), np.cumsum(self.b_bytes.size[b])
         common = np.intersect1d(a_end, b_end, assume_unique=True)
         ends = np.cumsum([len(g) for g in group])
         last = np.searchsorted(common, ends)
         if not np.array_equal(common[np.minimum(last, len(common) - 1)], ends):
-            return None
-        a_first = np.concatenate([[0], np.searchsorted(a_end, common, "right")]).tolist()
-        b_first = np.concatenate([[0], np.searchsorted(b_end, common, "right")]).tolist()
-        a, b, out, lo, n_b = a.tolist(), b.tolist(), [], 0, self.n_b
-        for hi in (last + 1).tolist():
-            texts, links, times, n_links = [], [], [], 0
-            for g in range(lo, hi):
-                p, q, r, t = a_first[g], a_first[g + 1], b_first[g], b_first[g + 1]
-                if q - p == 1 and t - r == 1:
-                    texts.append(f"{a[p]}|{b[r]}")
-                    links.append(a[p] * n_b + b[r])
-                    times.append(1)
-                    n_links += 1
-                    continue
-                texts.append(",".join(map(str, a[p:q])) + "|" + ",".join(map(str, b[r:t])))
-                n_links += (q - p) * (t - r)
-                if (q - p) * (t - r) <= _WIDE:
-                    links += [i * n_b + j for i in a[p:q] for j in b[r:t]]
-                    times += [1] * ((q - p) * (t - r))
-                else:
-                    (i, m), (j, n) = (np.unique(v, return_counts=True) for v in (a[p:q], b[r:t]))
-                    links += (i[:, None] * n_b + j).ravel().tolist()
-                    times += (m[:, None] * n).ravel().tolist()
-            counts = (a_first[hi] - a_first[lo], b_first[hi] - b_first[lo], hi - lo, n_links)
-            out.append((";".join(texts), counts, links, times))
-            lo = hi
-        return out
-
-    def _keep(self, aligned: list) -> None:
-        bad = ("", (-1, -1, -1, -1), [], [])
-        texts, counts, links, times = zip(*(bad if x is None else x for x in aligned), strict=True)
+            return False
+        a_first = np.concatenate([[0], np.searchsorted(a_end, common, "right")])
+        b_first = np.concatenate([[0], np.searchsorted(b_end, common, "right")])
+        first = np.concatenate([[0], last + 1])
+        n_a, n_b = np.diff(a_first), np.diff(b_first)
+        links, times, rows = self._links(a, b, a_first, b_first)
+        own = (a_first[first[1:]] - a_first[first[:-1]], b_first[first[1:]] - b_first[first[:-1]], np.diff(first))
+        counts = np.stack([*own, np.add.reduceat(n_a * n_b, first[:-1])], 1)
+        a, b = a.tolist(), b.tolist()
+        spans = zip(a_first.tolist(), n_a.tolist(), b_first.tolist(), n_b.tolist(), strict=False)
+        texts = [f"{a[p]}|{b[q]}" if m == n == 1 else f"{','.join(map(str, a[p : p + m]))}|{','.join(map(str, b[q : q + n]))}" for p, m, q, n in spans]
+        edges = first.tolist()
+        self._keep([";".join(texts[lo:hi]) for lo, hi in zip(edges, edges[1:], strict=False)], counts, links, times, np.add.reduceat(rows, first[:-1]))
+        return True
+
+    def _links(self, a: np.ndarray, b: np.ndarray, a_first: np.ndarray, b_first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Links of all groups with their times, and how many rows each group has."""
+        n_a, n_b = np.diff(a_first), np.diff(b_first)
+        rows = n_a * n_b
+        if rows.max() <= _WIDE:
+            of = np.repeat(np.arange(len(rows)), rows)
+            turn = np.arange(len(of)) - np.repeat(np.cumsum(rows) - rows, rows)
+            links = a[a_first[of] + turn // n_b[of]] * self.n_b + b[b_first[of] + turn % n_b[of]]
+            return links, np.ones(len(links), np.int32), rows
+        links, times = [], []
+        for p, m, q, n in zip(a_first.tolist(), n_a.tolist(), b_first.tolist(), n_b.tolist(), strict=False):
+            (i, often_i), (j, often_j) = (np.unique(v, return_counts=True) for v in (a[p : p + m], b[q : q + n]))
+            links.append((i[:, None] * self.n_b + j).ravel())
+            times.append((often_i[:, None] * often_j).ravel())
+        return np.concatenate(links), np.concatenate(times).astype(np.int32), np.array([len(x) for x in links])
+
+    def _keep(self, texts: list[str], counts: np.ndarray, links: np.ndarray, times: np.ndarray, sizes: np.ndarray) -> None:
         self.texts += texts
-        self.counts.extend(np.array(counts, np.int64).ravel(), np.full(len(counts), 4))
-        sizes = np.array([len(x) for x in links], np.int64)
-        for store, values in ((self.links, links), (self.times, times)):
-            store.extend(np.fromiter(itertools.chain.from_iterable(values), np.int64), sizes)
+        self.counts.extend(counts.ravel(), np.full(len(counts), 4))
+        self.links.extend(links, sizes)
+        self.times.extend(times, sizes)
 
     # Documents.
 
@@ -199,7 +194,7 @@ class Pair:
         edges, codes, known = np.searchsorted(doc, np.arange(len(filled) + 1)).tolist(), rows.tolist(), self.texts
         groups = [";".join([known[k] for k in codes[a:b]]) for a, b in zip(edges, edges[1:], strict=False)]
         links, at = self.links.take(rows)
-        times = self.times.take(rows)[0]
+        times = self.times.take(rows)[0].astype(np.int64)
         owner = np.repeat(doc, np.diff(at))
         kind = owner * (self.n_a * self.n_b) + links
         order = np.argsort(kind)
