@@ -1,7 +1,11 @@
-"""Session settings the operators rely on."""
+"""Session settings the operators rely on, and the package for Python workers."""
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Stored instants are UTC wall-clock times. The JVM does not compile methods
@@ -40,3 +44,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give Python workers the package, wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="shelftrack-code-")
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/shelftrack", "zip", str(package.parent), package.name))

@@ -4,22 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelftrack import fixed_values as fixed
 from shelftrack.functions.text import as_column, null_if_missing, strip_space
+from shelftrack.session import ship
+from shelftrack.sources.landing_source import NAME, LandingSource
 
 # Landed files hold line breaks inside quotes, so each is read by one task;
 # the writer bounds their size instead.
 ROWS_PER_FILE = 1_000_000
-# Set by the reader on rows whose fields do not match the header.
-_CORRUPT = "_corrupt_record"
-_BYTE_ORDER_MARK = "﻿"
 
 
 def _source_globs(root: str, sources: Sequence[str]) -> str:
@@ -32,11 +29,6 @@ def source_of(path: Column | str) -> Column:
     return F.regexp_extract(as_column(path), r"([^/=]+)/[^/]+\z", 1)
 
 
-def plain_path(path: Column | str) -> Column:
-    """A file's address in one spelling: listings and rows differ in the slashes behind the scheme."""
-    return F.regexp_replace(as_column(path), r"^(\w+):/+", "$1:/")
-
-
 def _listing(spark: SparkSession, root: str, sources: Sequence[str]) -> DataFrame:
     try:
         return (
@@ -53,24 +45,11 @@ def _listing(spark: SparkSession, root: str, sources: Sequence[str]) -> DataFram
 
 
 def landed_files(spark: SparkSession, root: str, sources: Sequence[str] = fixed.SOURCES) -> DataFrame:
-    """The landed files with their source and size; contents are not read. Files without a byte are in ``empty_files``."""
+    """The landed files with their source and size; contents are not read. Files without a byte are in ``scan_landing`` only."""
     listed = _listing(spark, root, sources)
     return listed.select("path", source_of("path").alias("source"), "modificationTime", "length")
 
 
-def empty_files(spark: SparkSession, root: str, sources: Sequence[str] = fixed.SOURCES) -> DataFrame:
-    """The landed files without a byte, with their source.
-
-    Scans leave such files out, so the names come from the scan's own listing,
-    which the driver holds.
-    """
-    listed = _listing(spark, root, sources)
-    names = spark.createDataFrame([(unquote(f),) for f in listed.inputFiles()], "path string")
-    filled = listed.select(plain_path("path").alias("address"))
-    empty = names.withColumn("address", plain_path("path")).join(filled, "address", "left_anti")
-    return empty.select("path", source_of("path").alias("source"))
-
-
 def missing_sources(
     spark: SparkSession, landed: DataFrame, expected: Sequence[str] = fixed.SOURCES
 ) -> DataFrame:
@@ -79,33 +58,49 @@ def missing_sources(
     return wanted.join(landed.select("source").distinct(), "source", "left_anti")
 
 
-def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """The header line of every file as an array of column names.
+def scan_landing(
+    spark: SparkSession, root: str, sources: Sequence[str] = fixed.SOURCES, required: Sequence[str] = fixed.REQUIRED_COLUMNS
+) -> DataFrame:
+    """All landed records of the sources as stripped text, and a row of ``line`` 0 for every file.
 
-    The first line of a file is the one with the smallest row number among
-    those of its first block.
+    One scan, see ``landing_source``. Missing cells are NULL. ``surplus`` marks records with more
+    fields than their file's header, ``lacking`` names the required columns that a file does not have; such a
+    file gives no records.
     """
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .text(paths)
-        .filter(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("line"))
-    )
-    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    bare = F.regexp_replace("header", f'[\r"{_BYTE_ORDER_MARK}]', "")
-    return first.select("file", F.split(bare, ",").alias("columns"))
+    return tidy(_options(spark, spark.read, sources, required).load(root), required)
+
+
+def _options(spark: SparkSession, reader, sources: Sequence[str], required: Sequence[str]):
+    ship(spark)
+    spark.dataSource.register(LandingSource)
+    return reader.format(NAME).option("sources", ",".join(sources)).option("required", ",".join(required))
 
 
-def require_columns(headers: DataFrame, required: Sequence[str] = fixed.REQUIRED_COLUMNS) -> DataFrame:
-    """Headers with the required columns each of them lacks."""
-    wanted = F.array(*[F.lit(c) for c in required])
-    return headers.withColumn("missing", F.array_except(wanted, "columns"))
+def tidy(scanned: DataFrame, required: Sequence[str] = fixed.REQUIRED_COLUMNS) -> DataFrame:
+    cells = [F.nullif(strip_space(null_if_missing(c)), F.lit("")).alias(c) for c in required]
+    return scanned.select(*cells, "file", "source", "line", "surplus", "lacking")
 
 
-def skipped_files(headers: DataFrame, required: Sequence[str] = fixed.REQUIRED_COLUMNS) -> DataFrame:
+def stream_landing(
+    spark: SparkSession,
+    root: str,
+    sources: Sequence[str] = fixed.SOURCES,
+    required: Sequence[str] = fixed.REQUIRED_COLUMNS,
+    settle: float | None = None,
+) -> DataFrame:
+    """``scan_landing`` as a stream: every file once, in the order of their times."""
+    reader = _options(spark, spark.readStream, sources, required)
+    return tidy((reader if settle is None else reader.option("settle", settle)).load(root), required)
+
+
+def skipped_files(scanned: DataFrame) -> DataFrame:
     """Files left out as a whole, and the columns they lack."""
-    return require_columns(headers, required).filter(F.size("missing") > 0).select("file", "missing")
+    return scanned.filter((F.col("line") == 0) & (F.size("lacking") > 0)).select("file", "source", F.col("lacking").alias("missing"))
+
+
+def records(scanned: DataFrame) -> DataFrame:
+    """The records of a scan, without the files' own rows."""
+    return scanned.filter(F.col("line") > 0).drop("lacking")
 
 
 def project_required(df: DataFrame, required: Sequence[str] = fixed.REQUIRED_COLUMNS) -> DataFrame:
@@ -123,71 +118,14 @@ def append_batches(batches: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), batches)
 
 
-def read_files(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    required: Sequence[str] = fixed.REQUIRED_COLUMNS,
-    multi_line: bool = True,
-) -> DataFrame:
-    """Rows of the files that have all required columns, with their file and source.
-
-    ``surplus`` marks rows with more fields than their file's header.
-
-    A CSV scan binds columns by position, so files are grouped by header and
-    every group is read with its own names. Headers repeat from file to file:
-    there are as many groups as header versions, not as files. The names of
-    the files, which the scan lists on the driver anyway, stream to it one
-    task at a time.
-    """
-    complete = require_columns(file_headers(spark, paths), required).filter(F.size("missing") == 0)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in complete.select("columns", "file").toLocalIterator():
-        groups.setdefault(tuple(row["columns"]), []).append(row["file"])
-    batches = [_read_group(spark, columns, files, required, multi_line) for columns, files in groups.items()]
-    return append_batches(batches) if batches else _no_rows(spark, required)
-
-
-def _no_rows(spark: SparkSession, required: Sequence[str]) -> DataFrame:
-    names = [*required, "file", "source"]
-    fields = [T.StructField(n, T.StringType()) for n in names]
-    return spark.createDataFrame([], T.StructType([*fields, T.StructField("surplus", T.BooleanType())]))
-
-
-def _read_group(
-    spark: SparkSession, columns: Sequence[str], files: Sequence[str], required: Sequence[str], multi_line: bool
-) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, _CORRUPT)])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .csv([unquote(f) for f in files])
-    )
-    file = F.col("_metadata.file_path")
-    cells = [F.nullif(strip_space(null_if_missing(c)), F.lit("")).alias(c) for c in required]
-    # A row may have fewer fields than the header, never more.
-    bare = F.regexp_replace(_CORRUPT, '"[^"]*"', "")
-    surplus = F.coalesce(F.size(F.split(bare, ",")) > len(columns), F.lit(False))
-    return rows.select(*cells, file.alias("file"), source_of(file).alias("source"), surplus.alias("surplus"))
-
-
 def read_landing(
     spark: SparkSession,
     root: str,
     sources: Sequence[str] = fixed.SOURCES,
     required: Sequence[str] = fixed.REQUIRED_COLUMNS,
-    multi_line: bool = True,
 ) -> DataFrame:
-    """All landed rows of the sources, as stripped text."""
-    try:
-        return read_files(spark, _source_globs(root, sources), required, multi_line)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return _no_rows(spark, required)
+    """All landed records of the sources with their ``file``, ``source``, ``line`` and ``surplus`` mark; files that lack a column are left out."""
+    return records(scan_landing(spark, root, sources, required))
 
 
 def stamp_scraped_at(df: DataFrame, ts: str | Column | None = None) -> DataFrame:

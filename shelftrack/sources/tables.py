@@ -14,6 +14,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +62,17 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/shelftrack/{uuid.uuid4().hex}"
 
 
+def read_if_any(spark: SparkSession, path: str, base: str | None = None) -> DataFrame | None:
+    """The Parquet files under ``path``, None if there are none; any other problem is raised."""
+    try:
+        reader = spark.read if base is None else spark.read.option("basePath", base)
+        return reader.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 # Files.
 
 

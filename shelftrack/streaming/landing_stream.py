@@ -1,9 +1,9 @@
 """The incremental load as a stream over landed files.
 
-The stream carries file names only; its checkpoint is the ledger of files
-already loaded. Every micro-batch reads its files by header, as the batch
-loader does, and hands the rows on under a name made of the stream's id and
-the micro-batch's number, so that a repeated micro-batch replaces itself.
+The stream reads every landed file once, by the source's own offsets. A
+micro-batch is parsed once, into the raw table, under a name made of the
+stream's id and the micro-batch's number, so that a repeated micro-batch
+replaces itself.
 """
 
 from __future__ import annotations
@@ -15,41 +15,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelftrack import fixed_values as fixed
 from shelftrack.plans.warehouse import Warehouse
-from shelftrack.sources.landing import read_files
+from shelftrack.sources.landing import stream_landing
 from shelftrack.sources.raw_table import append_raw, read_batch
 
-_FILES_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-
 
 def landing_stream(
-    spark: SparkSession, root: str, sources: Sequence[str] = fixed.SOURCES, files_per_batch: int = 1000
+    spark: SparkSession, root: str, sources: Sequence[str] = fixed.SOURCES, settle: float | None = None
 ) -> DataFrame:
-    """Paths of landed files as they arrive; contents are not read here."""
-    names = ",".join(f"{s},source={s}" for s in sources)
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(_FILES_SCHEMA)
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(f"{root.rstrip('/')}/{{{names}}}")
-        .select("path")
-    )
+    """Records of landed files as they arrive, and a row for each file; ``settle`` seconds pass before a file is taken."""
+    return stream_landing(spark, root, sources, settle=settle)
 
 
 def _each_batch(
-    files: DataFrame, checkpoint: str, handle: Callable[[DataFrame, str], None]
+    scanned: DataFrame, checkpoint: str, handle: Callable[[DataFrame, str], None]
 ) -> StreamingQuery:
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        # At most files_per_batch names.
-        paths = [row["path"] for row in batch.toLocalIterator()]
-        if paths:
-            spark = batch.sparkSession
-            stream = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
-            handle(read_files(spark, paths), f"{stream}-{batch_id:012d}")
+        stream = batch.sparkSession.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+        handle(batch, f"{stream}-{batch_id:012d}")
 
     return (
-        files.writeStream.foreachBatch(on_batch)
+        scanned.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -57,18 +42,18 @@ def _each_batch(
 
 
 def load_stream(
-    files: DataFrame, raw_path: str, checkpoint: str, quarantine: str | None = None
+    scanned: DataFrame, raw_path: str, checkpoint: str, quarantine: str | None = None
 ) -> StreamingQuery:
     """Append arriving files to the raw table."""
 
     def handle(landed: DataFrame, batch: str) -> None:
         append_raw(landed.sparkSession, landed, raw_path, batch, quarantine)
 
-    return _each_batch(files, checkpoint, handle)
+    return _each_batch(scanned, checkpoint, handle)
 
 
 def streaming_upsert(
-    files: DataFrame,
+    scanned: DataFrame,
     warehouse: Warehouse,
     dim_date: DataFrame,
     checkpoint: str,
@@ -96,4 +81,4 @@ def streaming_upsert(
         else:
             warehouse.apply_batch(loaded, dim_date, batch, as_of)
 
-    return _each_batch(files, checkpoint, handle)
+    return _each_batch(scanned, checkpoint, handle)

@@ -231,9 +231,9 @@ def _land(spark, root, scans):
 
 
 def _stream(spark, root, warehouse, **options):
-    files = landing_stream(spark, f"{root}/{fixed.LANDING_FOLDER}", files_per_batch=1)
+    scanned = landing_stream(spark, f"{root}/{fixed.LANDING_FOLDER}", settle=0)
     calendar = marts.build_dim_date(spark, AS_OF)
-    streaming_upsert(files, warehouse, calendar, f"{warehouse.root}/ledger", **options).awaitTermination()
+    streaming_upsert(scanned, warehouse, calendar, f"{warehouse.root}/ledger", **options).awaitTermination()
 
 
 def test_stream_equals_batch_in_any_order(spark, raw, rows, tmp_path):
@@ -261,6 +261,6 @@ def test_load_stream_reads_a_file_once(spark, tmp_path):
     root = str(tmp_path)
     _land(spark, root, SCANS[:2])
     for _ in range(2):
-        files = landing_stream(spark, f"{root}/{fixed.LANDING_FOLDER}")
-        load_stream(files, f"{root}/raw", f"{root}/ledger").awaitTermination()
+        scanned = landing_stream(spark, f"{root}/{fixed.LANDING_FOLDER}", settle=0)
+        load_stream(scanned, f"{root}/raw", f"{root}/ledger").awaitTermination()
     assert spark.read.parquet(f"{root}/raw").count() == 2

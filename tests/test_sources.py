@@ -1,14 +1,15 @@
 """Landing, raw table, run statistics and pages."""
 
 import json
-from datetime import datetime
+import os
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from shelftrack import fixed_values as fixed
 from shelftrack.schemas import book_schema, landed_schema, raw_schema, stats_schema, stg_books_schema
-from shelftrack.sources import landing, pages, raw_table, run_stats
+from shelftrack.sources import landing, landing_source, pages, raw_table, run_stats
 from shelftrack.sources.page_rules import SOURCE_RULES
 
 HEADER = ",".join(fixed.REQUIRED_COLUMNS)
@@ -45,35 +46,130 @@ def test_read_landing(spark, landed):
 
 
 def test_skipped_files_and_missing_sources(spark, landed):
-    headers = landing.file_headers(spark, landed + "/{laguna,mikrok,prometej}")
-    skipped = landing.skipped_files(headers).collect()
+    scanned = landing.scan_landing(spark, landed)
+    skipped = landing.skipped_files(scanned).collect()
     assert [r["file"].rsplit("/", 1)[-1] for r in skipped] == ["lacking.csv"]
     assert set(skipped[0]["missing"]) == set(fixed.REQUIRED_COLUMNS) - {"title", "author"}
+    metrics = {r["file"].rsplit("/", 1)[-1]: r["rows"] for r in raw_table.load_metrics(scanned).collect()}
+    assert metrics == {"good.csv": 2, "other order.csv": 1, "no_title.csv": 2, "bad_time.csv": 1, "empty.csv": 0}
     files = landing.landed_files(spark, landed, ("laguna", "mikrok"))
     assert [r[0] for r in landing.missing_sources(spark, files).collect()] == ["prometej"]
 
 
+def test_one_scan_reads_each_file_once(spark, landed):
+    plan = landing.read_landing(spark, landed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 1 and "FileScan" not in plan
+    lines = landing.read_landing(spark, landed).filter("source = 'laguna'").select("file", "line").collect()
+    assert sorted((r["file"].rsplit("/", 1)[-1], r["line"]) for r in lines) == [("good.csv", 1), ("good.csv", 2), ("other order.csv", 1)]
+
+
+def test_odd_files(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "source=laguna"
+    (folder / "_temporary").mkdir(parents=True)
+    (folder / "_temporary" / "part.csv").write_text(f"{HEADER}\n{GOOD}\n")
+    quoted = ",".join(f'"{c}"' for c in fixed.REQUIRED_COLUMNS)
+    (folder / "quoted.csv").write_bytes(b"\xef\xbb\xbf" + f"{quoted}\r\n\r\nx,y\r\n".encode() + b"bad \xff byte\r\n")
+    (folder / "wide.csv").write_text(f"{HEADER}\n{GOOD},\n{GOOD}\n" + "".join(f"n{i}\n" for i in range(5000)))
+    (folder / "long.csv").write_text(f'{HEADER}\n"{"z" * 300_000}\n"\n')
+    (folder / "none.txt").write_text("x")
+    got = landing.read_landing(spark, f"file://{tmp_path}").collect()
+    by = lambda name: sorted((r for r in got if r["file"].endswith(name)), key=lambda r: r["line"])
+    assert len(got) == 2 + 5002 + 1
+    assert [(r["title"], r["author"]) for r in by("quoted.csv")] == [("x", "y"), ("bad \ufffd byte", None)]
+    wide = by("wide.csv")
+    assert [r["surplus"] for r in wide[:3]] == [True, False, False] and [r["line"] for r in wide] == list(range(1, 5003))
+    assert wide[-1]["title"] == "n4999" and len(by("long.csv")[0]["title"]) == 300_000
+    # However many shares a folder has, each file falls to one of them.
+    monkeypatch.setattr(landing_source, "_SHARE_BYTES", 1)
+    options = {"path": str(tmp_path), "sources": "laguna", "required": ",".join(fixed.REQUIRED_COLUMNS)}
+    reader = landing_source.LandingReader(options)
+    assert len(reader.partitions()) == 3
+    assert sum(batch.num_rows for share in reader.partitions() for batch in reader.read(share)) == len(got) + 3
+
+
+def test_stream_offsets(tmp_path):
+    options = {"path": str(tmp_path), "sources": "a,b", "required": "title", "settle": "0"}
+    reader = landing_source.LandingStreamReader(options)
+    assert reader.latestOffset() == reader.initialOffset()
+    seen = []
+    start = reader.initialOffset()
+    for n, name in enumerate(("a/1.csv", "b/1.csv", "a/2.csv")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(f"title\n{name}\n")
+        os.utime(tmp_path / name, ns=(10**9 * (n + 1), 10**9 * (n + 1)))
+        if n == 1:
+            continue
+        end = reader.latestOffset()
+        for _ in range(2):  # a repeated micro-batch holds the same files
+            again = [r["title"] for s in reader.partitions(start, end) for b in reader.read(s) for r in b.to_pylist() if r["line"]]
+        seen.append(sorted(again))
+        start = end
+    assert seen == [["a/1.csv"], ["a/2.csv", "b/1.csv"]]
+    (tmp_path / "a/new.csv").write_text("title\nx\n")
+    assert landing_source.LandingStreamReader(options | {"settle": "3600"}).latestOffset() == start
+
+
 def test_nothing_landed(spark, tmp_path):
     assert landing.read_landing(spark, str(tmp_path)).count() == 0
     assert landing.landed_files(spark, str(tmp_path)).count() == 0
 
 
 def test_whole_files_are_refused(spark, landed, tmp_path, rows):
-    rows_in = landing.read_landing(spark, landed)
+    rows_in = landing.scan_landing(spark, landed)
     metrics = raw_table.append_raw(spark, rows_in, str(tmp_path / "raw"), "b1", str(tmp_path / "refused"))
     assert rows(spark.read.parquet(str(tmp_path / "raw")), "title") == [("Druga",), ("Prva",), ("Treća",)]
     assert rows(spark.read.parquet(str(tmp_path / "refused")), "reason") == [
         ("scraped_at is no time",), ("title is null",), ("title is null",)
     ]
     total = raw_table.loaded_total(metrics).first()
-    assert (total["files_loaded"], total["rows_loaded"], total["files_refused"]) == (2, 3, 2)
+    assert (total["files_loaded"], total["rows_loaded"], total["files_refused"]) == (3, 3, 2)
     stored = spark.read.parquet(str(tmp_path / "raw"))
     assert stored.filter("title = 'Druga'").first()["currency"] == "RSD"
     assert stored.filter("title = 'Prva'").first()["scraped_at"] == datetime(2024, 1, 1, 8)
     assert stored.select("id").distinct().count() == 3
-    # Loading the batch again leaves three rows.
-    raw_table.append_raw(spark, rows_in, str(tmp_path / "raw"), "b1")
-    assert spark.read.parquet(str(tmp_path / "raw")).count() == 3
+    # Loading the batch again leaves three rows with the same ids.
+    ids = rows(stored, "id")
+    raw_table.append_raw(spark, rows_in.repartition(5), str(tmp_path / "raw"), "b1")
+    assert rows(spark.read.parquet(str(tmp_path / "raw")), "id") == ids
+
+
+def test_a_repeated_batch_replaces_all_it_stored(spark, tmp_path, rows):
+    folder = tmp_path / "laguna"
+    folder.mkdir()
+    raw, refused = str(tmp_path / "raw"), str(tmp_path / "refused")
+    (folder / "1.csv").write_text(f"{HEADER}\nA,a,http://a.rs/1,,,5,RSD,laguna,,2024-01-01 08:00:00 UTC\n")
+    (folder / "2.csv").write_text(f"{HEADER}\nB,a,http://a.rs/2,,,5,RSD,laguna,,2024-01-02 08:00:00 UTC\n")
+    load = lambda batch: raw_table.append_raw(spark, landing.scan_landing(spark, str(tmp_path)), raw, batch, refused)
+    load("b0")
+    load("b1")
+    (folder / "2.csv").write_text(f"{HEADER}\n,a,http://a.rs/2,,,5,RSD,laguna,,2024-01-02 08:00:00 UTC\n")
+    load("b1")
+    assert rows(raw_table.read_batch(spark, raw, "b1"), "title", "scrape_day") == [("A", date(2024, 1, 1))]
+    assert rows(spark.read.parquet(raw), "batch", "title") == [("b0", "A"), ("b0", "B"), ("b1", "A")]
+    assert rows(spark.read.parquet(refused), "reason", "batch") == [("title is null", "b1")]
+    (folder / "2.csv").unlink()
+    (folder / "1.csv").write_text(f"{HEADER}\nA,a,,,,5,RSD,laguna,,2024-01-01 08:00:00 UTC\n")
+    load("b1")
+    assert raw_table.read_batch(spark, raw, "b1") is None
+    assert rows(spark.read.parquet(refused), "reason") == [("book_link is null",)]
+    (folder / "1.csv").unlink()
+    assert load("b1").count() == 0 and spark.read.parquet(refused).count() == 0
+
+
+def test_a_batch_is_parsed_once(spark, tmp_path):
+    count = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            count.add(batch.num_rows)
+            yield batch
+
+    folder = tmp_path / "laguna"
+    folder.mkdir()
+    (folder / "1.csv").write_text(f"{HEADER}\n{GOOD}\n,,,,,,,,,\n")
+    scanned = landing.scan_landing(spark, str(tmp_path))
+    raw_table.append_raw(spark, scanned.mapInArrow(seen, scanned.schema), str(tmp_path / "raw"), "b", str(tmp_path / "refused"))
+    assert count.value == 3
 
 
 def test_write_landing_round_trip(spark, tmp_path):

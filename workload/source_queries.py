@@ -54,7 +54,7 @@ _LANDED = f"landed AS (SELECT {_LANDED_COLUMNS}, {_SOURCE_OF_RAW} AS source FROM
 
 @query("read_landing", sql.with_raw(f", {_LANDED} SELECT * FROM landed"))
 def read_landing(spark, sf):
-    return landing.read_landing(spark, _landed(spark, sf), _SOURCES).drop("file", "surplus")
+    return landing.read_landing(spark, _landed(spark, sf), _SOURCES).drop("file", "surplus", "line")
 
 
 @query(
@@ -70,7 +70,7 @@ def mixed_headers(spark, sf):
         batch = records.filter(F.col("source") == source).select(*names)
         batch.write.option("header", "true").option("escape", '"').csv(f"{root}/{fixed.LANDING_FOLDER}/{source}")
     landing.write_landing(records.filter(~F.col("source").isin("click", "view")), root)
-    return landing.read_landing(spark, f"{root}/{fixed.LANDING_FOLDER}", _SOURCES).drop("file", "surplus")
+    return landing.read_landing(spark, f"{root}/{fixed.LANDING_FOLDER}", _SOURCES).drop("file", "surplus", "line")
 
 
 @query("skipped_files", "SELECT DISTINCT event_type AS source, 'category' AS missing FROM events WHERE event_type = 'view'")
@@ -78,13 +78,11 @@ def skipped(spark, sf):
     root = _fresh(spark, "landing")
     records = _records(spark, sf)
     lacking = [c for c in fixed.REQUIRED_COLUMNS if c != "category"]
-    records.filter("source = 'view'").select(*lacking).write.option("header", "true").csv(f"{root}/view")
+    folder = f"{root}/{fixed.LANDING_FOLDER}"
+    records.filter("source = 'view'").select(*lacking).write.option("header", "true").csv(f"{folder}/view")
     landing.write_landing(records.filter("source <> 'view'"), root)
-    headers = landing.file_headers(spark, [f"{root}/view", f"{root}/{fixed.LANDING_FOLDER}"])
-    found = landing.skipped_files(headers).select(
-        landing.source_of("file").alias("source"), F.explode("missing").alias("missing")
-    )
-    return found.distinct()
+    found = landing.skipped_files(landing.scan_landing(spark, folder, _SOURCES))
+    return found.select("source", F.explode("missing").alias("missing")).distinct()
 
 
 @query("strip_all", sql.with_raw("SELECT id, regexp_replace(title, '^\\s+|\\s+$', '', 'g') AS title, regexp_replace(author, '^\\s+|\\s+$', '', 'g') AS author, user_link FROM (SELECT *, regexp_replace(book_link, '^\\s+|\\s+$', '', 'g') AS user_link FROM raw)"))
@@ -115,14 +113,34 @@ _ACCEPTED = (
 @query("append_raw", sql.with_raw(f", {_LANDED} SELECT * REPLACE (left(scraped_at, 19) AS scraped_at) FROM ({_ACCEPTED})"))
 def append_raw(spark, sf):
     path = _fresh(spark, "raw")
-    landed = landing.read_landing(spark, _landed(spark, sf, _half_bad), _SOURCES)
-    raw_table.append_raw(spark, landed, path, "first")
+    scanned = landing.scan_landing(spark, _landed(spark, sf, _half_bad), _SOURCES)
+    raw_table.append_raw(spark, scanned, path, "first")
     # The same batch again replaces itself.
-    raw_table.append_raw(spark, landed, path, "first")
+    raw_table.append_raw(spark, scanned, path, "first")
     stored = spark.read.parquet(path)
     return stored.withColumn("scraped_at", F.date_format("scraped_at", "yyyy-MM-dd HH:mm:ss")).select(*fixed.REQUIRED_COLUMNS)
 
 
+_WITHOUT_SIGNUPS = (
+    "SELECT title, author, book_link, category, old_price, discount_price, currency, publisher, description, left(scraped_at, 19) AS scraped_at, "
+    "source = 'signup' AS refused FROM landed"
+)
+
+
+@query("append_raw_repeated", sql.with_raw(f", {_LANDED} {_WITHOUT_SIGNUPS} WHERE source <> 'signup' UNION ALL SELECT * REPLACE (NULL AS title) FROM ({_WITHOUT_SIGNUPS} WHERE source = 'signup')"))
+def append_raw_repeated(spark, sf):
+    """A batch is loaded again after the files of one source have lost their titles: of that source nothing stays but refused rows."""
+    path = _fresh(spark, "raw")
+    for change in (None, lambda records: records.withColumn("title", F.when(F.col("source") != "signup", F.col("title")))):
+        scanned = landing.scan_landing(spark, _landed(spark, sf, change), _SOURCES)
+        raw_table.append_raw(spark, scanned, path, "first", f"{path}-refused")
+    stored = raw_table.read_batch(spark, path, "first").withColumn("refused", F.lit(False))
+    stored = stored.withColumn("scraped_at", F.date_format("scraped_at", "yyyy-MM-dd HH:mm:ss"))
+    refused = spark.read.parquet(f"{path}-refused").withColumn("refused", F.lit(True)).withColumn("scraped_at", F.substring("scraped_at", 1, 19))
+    columns = [*fixed.REQUIRED_COLUMNS, "refused"]
+    return stored.select(*columns).unionByName(refused.select(*columns))
+
+
 @query(
     "load_metrics",
     "SELECT event_type AS source, count(*) AS n_rows, CASE WHEN event_type IN ('signup', 'error') THEN count(*) ELSE 0 END AS bad_rows, "
@@ -130,8 +148,8 @@ def append_raw(spark, sf):
     "FROM events GROUP BY 1",
 )
 def load_metrics(spark, sf):
-    landed = landing.read_landing(spark, _landed(spark, sf, _half_bad), _SOURCES)
-    per_file = raw_table.load_metrics(landed)
+    scanned = landing.scan_landing(spark, _landed(spark, sf, _half_bad), _SOURCES)
+    per_file = raw_table.load_metrics(scanned)
     return per_file.groupBy("source").agg(
         F.sum("rows").alias("n_rows"), F.sum("bad_rows").alias("bad_rows"), F.min("reason").alias("reason")
     )
@@ -150,15 +168,14 @@ def malformed_files(spark, sf):
     landing.write_landing(records.filter("source <> 'view'"), root)
     folder = f"{root}/{fixed.LANDING_FOLDER}"
     cells = [F.concat(F.lit('"'), F.coalesce(F.replace(c, F.lit('"'), F.lit('""')), F.lit("")), F.lit('"')) for c in fixed.REQUIRED_COLUMNS]
-    lines = records.filter("source = 'view'").select(F.concat_ws(",", *cells, F.lit("surplus")).alias("value"))
-    header = spark.createDataFrame([(",".join(fixed.REQUIRED_COLUMNS),)], "value string")
-    for name, body in (("view", header.unionByName(lines)), ("header", header), ("empty", header.limit(0))):
-        # Lines as they are: no quoting, and a separator that no text has.
-        body.coalesce(1).write.option("quote", "\0").option("sep", "\1").csv(f"{folder}/{name}")
-    sources = (*_SOURCES, "empty", "header")
-    files = landing.landed_files(spark, folder, sources).select("path", "source")
-    files = files.unionByName(landing.empty_files(spark, folder, sources))
-    metrics = raw_table.load_metrics(landing.read_landing(spark, folder, sources), files)
+    # Lines as they are: no quoting, and a separator that no text has. Every file begins with the header.
+    lines = records.filter("source = 'view'").select(F.concat_ws(",", *cells, F.lit("surplus")).alias(",".join(fixed.REQUIRED_COLUMNS)))
+    plain = {"quote": "\0", "sep": "\1"}
+    lines.write.options(**plain, header=True).csv(f"{folder}/view")
+    nothing = lines.limit(0).coalesce(1)
+    nothing.write.options(**plain, header=True).csv(f"{folder}/header")
+    nothing.write.options(**plain).csv(f"{folder}/empty")
+    metrics = raw_table.load_metrics(landing.scan_landing(spark, folder, (*_SOURCES, "empty", "header")))
     return metrics.groupBy("source").agg(F.sum("rows").alias("n_rows"), F.min("reason").alias("reason"))
 
 
@@ -393,6 +410,6 @@ def stream(spark, sf):
     landing.write_landing(records, root)
     warehouse = Warehouse(spark, f"{root}/warehouse")
     days = tables.save_model(calendar(spark, sf), "stream_calendar", "table", f"{root}/dim_date")
-    files = landing_stream(spark, f"{root}/{fixed.LANDING_FOLDER}", _SOURCES)
-    streaming_upsert(files, warehouse, days, f"{root}/checkpoint").awaitTermination()
+    scanned = landing_stream(spark, f"{root}/{fixed.LANDING_FOLDER}", _SOURCES, settle=0)
+    streaming_upsert(scanned, warehouse, days, f"{root}/checkpoint").awaitTermination()
     return shown(warehouse.table("fct_book_prices").drop("price_day", "max_scraped_at_utc", "source"))
