@@ -1,9 +1,9 @@
 """Watermark-incremental tables.
 
 A batch holds the rows newer than what the target has seen; its rows replace
-target rows of the same key and all others stay. Stored tables are
-partitioned by a day that is a function of the key, so a batch rewrites the
-few partitions it touches and never the table.
+target rows of the same key and all others stay. A stored table only ever gets
+files added: a batch costs what it holds, whatever the table holds, and readers
+take the newest row of a key, see ``sources.tables``.
 """
 
 from __future__ import annotations
@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 
 from shelftrack.operators.aggregates import high_watermark
 from shelftrack.operators.ranking import latest_per_key
-from shelftrack.sources.tables import (
-    day_folder, listing, publish, read_table, remove, replace_table, work_folder, write_days, write_version,
-)
+from shelftrack.sources.tables import add_load, is_known, read_table, replace_table
 
 _BEFORE_ALL = "0001-01-01 00:00:00"
 
@@ -68,9 +66,11 @@ def newest(target: DataFrame, new: DataFrame, keys: Sequence[str], ts: str) -> D
     return latest_per_key(both, keys, ts, ["_new"]).drop("_new")
 
 
-def full_refresh(spark: SparkSession, new: DataFrame, path: str, partition: str | None = None) -> DataFrame:
-    """Write a table from scratch, with no watermark."""
-    replace_table(new, path, partition)
+def full_refresh(
+    spark: SparkSession, new: DataFrame, path: str, partition: str | None = None, keys: Sequence[str] = (), newest_by: str | None = None
+) -> DataFrame:
+    """Write a table from scratch, with no watermark; with ``keys`` batches may be upserted into it."""
+    replace_table(new, path, partition, keys, newest_by)
     return read_table(spark, path)
 
 
@@ -85,37 +85,13 @@ def upsert_table(
 ) -> DataFrame:
     """Upsert ``new`` into the stored table at ``path``.
 
-    The days that ``new`` touches are merged into a new version folder and
-    published at once, together with the name of the batch. A batch whose name
-    the table knows changes nothing, whatever came after it; a run that died
-    before it was published left the table as it was and is simply repeated.
+    A batch whose name the table knows changes nothing, whatever came after it; a run that died
+    before its load counted left the table as it was and is simply repeated.
     Batch names must not be used twice for different rows. ``partition`` is a date
     column that the key determines. A new row replaces the old one of its key;
-    with ``newest_by`` the later of the two stays, so that batches may come in any
-    order.
+    with ``newest_by`` the later of the two stays (of equal ones the new), so that batches may come in any
+    order. What the last load says of ``keys`` and ``newest_by`` holds for the table.
     """
-    path = path.rstrip("/")
-    current = listing(spark, path)
-    if current is not None and batch in current.batches:
-        return read_table(spark, path)
-    if current is None:
-        folders = write_days(new, path, partition)
-        publish(spark, path, None, folders, (batch,))
-        return read_table(spark, path)
-    # The batch is used twice, for its days and for the merge.
-    work = work_folder(spark)
-    try:
-        write_version(new, work)
-        new = spark.read.parquet(work)
-        # One value per calendar day of the batch, however many rows it has.
-        days = {day_folder(partition, row[0]) for row in new.select(partition).distinct().collect()}
-        folders = dict(current.folders)
-        if days:
-            touched = read_table(spark, path, days)
-            merged = upsert(touched, new, keys) if newest_by is None else newest(touched, new, keys, newest_by)
-            folders |= write_days(merged, path, partition)
-            folders.pop("", None)
-        publish(spark, path, current, folders, (*current.batches, batch))
-    finally:
-        remove(spark, work)
+    if not is_known(spark, path, batch):
+        add_load(new, path, batch, keys, partition, newest_by)
     return read_table(spark, path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelftrack.operators.upsert import full_refresh, newer_than, upsert_table
 from shelftrack.plans import marts
 from shelftrack.plans.staging import STG_KEYS, build_stg_books, one_per_scan
-from shelftrack.sources.tables import is_table, read_table, save_model
+from shelftrack.sources.tables import is_table, read_table, save_model, stored_rows
 
 
 def build_models(raw: DataFrame, dim_date: DataFrame, as_of: Column | None = None) -> dict[str, DataFrame]:
@@ -44,6 +44,11 @@ class Warehouse:
         path = self.path(name)
         return read_table(self.spark, path) if is_table(self.spark, path) else None
 
+    def rows(self, name: str) -> DataFrame | None:
+        """All rows a table was ever given since its last refresh; enough for a watermark."""
+        path = self.path(name)
+        return stored_rows(self.spark, path) if is_table(self.spark, path) else None
+
     def update_staging(
         self, raw: DataFrame, batch: str, as_of: Column | None = None, by: str | None = None
     ) -> DataFrame:
@@ -53,7 +58,7 @@ class Warehouse:
         such as the publisher, that gets a watermark per value; staging keeps
         the unchanged value as its source.
         """
-        target, source = self.table("stg_books"), by or "publisher"
+        target, source = self.rows("stg_books"), by or "publisher"
         day = "scrape_day" if "scrape_day" in raw.columns else None
         given = raw.withColumn("source", F.col(source)) if by else raw
         fresh = newer_than(
@@ -72,7 +77,7 @@ class Warehouse:
         if staged is None:
             return None
         fresh = newer_than(
-            staged, self.table("fct_book_prices"), "scraped_at_utc", "max_scraped_at_utc", "source" if per_source else None,
+            staged, self.rows("fct_book_prices"), "scraped_at_utc", "max_scraped_at_utc", "source" if per_source else None,
             None if per_source else "price_day",
         )
         daily = marts.build_fct_prices(fresh, dim_date, keep_day=True)
@@ -114,7 +119,7 @@ class Warehouse:
     def refresh(self, raw: DataFrame, dim_date: DataFrame, as_of: Column | None = None) -> None:
         """Everything from scratch, no watermark."""
         staged = one_per_scan(build_stg_books(raw, as_of, keep_instant=True))
-        stg = full_refresh(self.spark, staged, self.path("stg_books"), "scrape_day")
+        stg = full_refresh(self.spark, staged, self.path("stg_books"), "scrape_day", STG_KEYS)
         facts = marts.build_fct_prices(stg, dim_date, keep_day=True)
-        full_refresh(self.spark, facts, self.path("fct_book_prices"), "price_day")
+        full_refresh(self.spark, facts, self.path("fct_book_prices"), "price_day", marts.FCT_KEYS, "max_scraped_at_utc")
         self.rebuild_dimensions(dim_date)

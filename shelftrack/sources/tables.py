@@ -1,24 +1,26 @@
-"""Stored tables: scans, materializations, versions and the shared folder.
-
-A table that is rewritten as a whole or by days lies in version folders; a
-numbered list beside them names the folder of every day and the batches the
-table holds. A write goes to a new folder first and counts from the moment its
-list is created, which either happens or does not: a reader, or a run that dies,
-never meets half a table. Lists and folders no longer in use go with ``vacuum``.
+"""Stored tables: scans, materializations, loads and the shared folder.
+
+A table is Parquet, written by loads that only ever add files: a load is a partition of
+the table, with the rows' days below it and buckets by key. Once its rows are
+complete a row about it is appended to the loads beside the table, and only loads
+named there are read: a run that dies leaves the table as it was. Of several rows
+with one key the reader takes the newest; as files are bucketed by key, that needs
+no exchange. A full refresh is a load that makes all before it count no more.
 """
 
 from __future__ import annotations
 
-import json
+import hashlib
 import tempfile
 import uuid
-from dataclasses import dataclass, field
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_LISTS, _VERSION = "_lists", "version"
+_LOAD, _NUMBER = "load", "_number"
+_LOADS = "batch string, load string, number long, base boolean, keys array<string>, day string, newest_by string, buckets int, columns string"
 
 
 def scan(spark: SparkSession, table: str) -> DataFrame:
@@ -50,18 +52,13 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="shelftrack-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder for the steps of one run; ``remove`` it afterwards."""
-    return f"{shared_folder(spark)}/shelftrack/{uuid.uuid4().hex}"
-
-
 def read_if_any(spark: SparkSession, path: str, base: str | None = None) -> DataFrame | None:
     """The Parquet files under ``path``, None if there are none; any other problem is raised."""
     try:
@@ -73,148 +70,120 @@ def read_if_any(spark: SparkSession, path: str, base: str | None = None) -> Data
         return None
 
 
-# Files.
-
-
-def _path(spark: SparkSession, path: str):
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    found, files = _path(spark, path)
-    return files.exists(found)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    found, files = _path(spark, path)
-    files.delete(found, True)
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    found, files = _path(spark, path)
-    return sorted(status.getPath().getName() for status in files.listStatus(found)) if files.exists(found) else []
-
-
-def is_written(spark: SparkSession, path: str) -> bool:
-    """Whether a whole-table write to ``path`` has finished."""
-    return exists(spark, f"{path}/_SUCCESS") or bool(_names(spark, f"{path}/{_LISTS}"))
-
-
-def by_partition(df: DataFrame, partition: str) -> DataFrame:
-    """Rows of a partition brought together, so that a write makes few files.
-
-    Adaptive execution cuts a partition that holds too much and joins small
-    ones, to files of the advisory size.
-    """
-    return df.hint("rebalance", partition)
-
-
-def write_version(df: DataFrame, path: str) -> None:
-    """Write to a folder that only one run uses."""
-    df.write.mode("overwrite").parquet(path)
+# Loads.
 
 
-# Tables by version.
-
+def loads(spark: SparkSession, path: str) -> DataFrame | None:
+    """The loads that count, the first of each batch; None if there is no such table."""
+    known = read_if_any(spark, f"{path.rstrip('/')}-loads")
+    if known is None:
+        return None
+    first = known.groupBy("batch").agg(F.min(F.struct("number", "load", "base", "keys", "day", "newest_by", "buckets", "columns")).alias("row"))
+    first = first.select("batch", "row.*")
+    base = first.filter("base").agg(F.max("number")).scalar()
+    return first.filter(F.col("number") >= F.coalesce(base, F.lit(0)))
 
-@dataclass(frozen=True)
-class Listing:
-    """What a table holds: the version of every day folder (or of ``""``, the whole) and the batches in it."""
 
-    number: int = 0
-    folders: dict[str, str] = field(default_factory=dict)
-    batches: tuple[str, ...] = ()
+def _last(known: DataFrame | None):
+    """How many loads count, the last one's number and what it says of the table."""
+    return None if known is None else known.agg(F.count("*").alias("n"), F.max(F.struct("number", "load", "keys", "day", "newest_by", "buckets", "columns")).alias("row")).first()
 
 
-def listing(spark: SparkSession, path: str) -> Listing | None:
-    """The current list of the table at ``path``, None if there is none."""
-    known = [name for name in _names(spark, f"{path}/{_LISTS}") if name.endswith(".json")]
-    if not known:
-        return None
-    found, files = _path(spark, f"{path}/{_LISTS}/{known[-1]}")
-    stream = files.open(found)
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    content = json.loads(text)
-    return Listing(int(known[-1].removesuffix(".json")), content["folders"], tuple(content["batches"]))
-
-
-def publish(spark: SparkSession, path: str, current: Listing | None, folders: dict[str, str], batches: tuple[str, ...]) -> None:
-    """Make ``folders`` the table's content; fails if another run has published meanwhile."""
-    number = (current.number if current else 0) + 1
-    found, files = _path(spark, f"{path}/{_LISTS}/{number:012d}.json")
-    stream = files.create(found, False)
-    try:
-        stream.write(json.dumps({"folders": folders, "batches": batches}).encode())
-    finally:
-        stream.close()
+def is_known(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether a batch of this name has been loaded, also before the last full refresh."""
+    known = read_if_any(spark, f"{path.rstrip('/')}-loads")
+    return known is not None and bool(known.filter(F.col("batch") == batch).limit(1).count())
 
 
 def is_table(spark: SparkSession, path: str) -> bool:
     """Whether a table lies at ``path``; one that cannot be read is no reason to say no."""
-    return bool(_names(spark, f"{path}/{_LISTS}")) or any(not name.startswith(("_", ".")) for name in _names(spark, path))
-
-
-def read_table(spark: SparkSession, path: str, only: set[str] | None = None) -> DataFrame:
-    """The table at ``path``, by its list or as plain Parquet; ``only`` names day folders."""
-    current = listing(spark, path)
-    if current is None:
-        return spark.read.parquet(path)
-    places = [f"{path}/{_VERSION}={v}/{day}".rstrip("/") for day, v in current.folders.items() if only is None or day in only]
-    if not places:
-        # Any folder gives the columns.
-        day, v = next(iter(current.folders.items()))
-        return _read(spark, path, [f"{path}/{_VERSION}={v}/{day}".rstrip("/")]).filter(F.lit(False))
-    return _read(spark, path, places)
-
-
-def _read(spark: SparkSession, path: str, places: list[str]) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(*places).drop(_VERSION)
-
-
-def day_folder(partition: str, value: object) -> str:
-    return f"{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
-
-
-def write_days(df: DataFrame, path: str, partition: str | None) -> dict[str, str]:
-    """Write a new version folder; the day folders in it with its name."""
-    spark, version = df.sparkSession, uuid.uuid4().hex
-    folder = f"{path}/{_VERSION}={version}"
-    if partition is None:
-        df.write.parquet(folder)
-        return {"": version}
-    by_partition(df, partition).write.partitionBy(partition).parquet(folder)
-    days = [name for name in _names(spark, folder) if name.startswith(f"{partition}=")]
-    return dict.fromkeys(days, version) or {"": version}
-
-
-def replace_table(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Write a table from scratch; batches it has seen stay known."""
-    spark, path = df.sparkSession, path.rstrip("/")
-    current = listing(spark, path)
-    folders = write_days(df, path, partition)
-    publish(spark, path, current, folders, current.batches if current else ())
-
-
-def vacuum(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Remove lists but the last ``keep``, and version folders that none of these names.
-
-    Runs that write the table must not be under way.
+    try:
+        return read_if_any(spark, f"{path.rstrip('/')}-loads") is not None or read_if_any(spark, path) is not None
+    except Exception:  # whatever the reader says, there is something to read
+        return True
+
+
+def _files(spark: SparkSession, path: str, columns: str, keys: Sequence[str], day: str | None, buckets: int) -> str:
+    """The catalog's name for the files of a table, entered if the catalog does not know it."""
+    name = f"shelftrack_{hashlib.md5(path.encode()).hexdigest()}"
+    by = [key for key in keys if key != day]
+    bucketed = f"CLUSTERED BY ({', '.join(f'`{key}`' for key in by)}) INTO {buckets} BUCKETS" if by and buckets else ""
+    parts = ", ".join(["`load`", *([f"`{day}`"] if day else [])])
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, `load` string) USING parquet PARTITIONED BY ({parts}) {bucketed} LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    return name
+
+
+def add_load(
+    rows: DataFrame, path: str, batch: str, keys: Sequence[str] = (), day: str | None = None,
+    newest_by: str | None = None, base: bool = False, buckets: int | None = None,
+) -> None:
+    """Write the rows of a batch, then let them count.
+
+    The first load settles columns, days and buckets: as many buckets as ``buckets`` says or
+    half the shuffle partitions.
     """
-    path = path.rstrip("/")
-    known = [name for name in _names(spark, f"{path}/{_LISTS}") if name.endswith(".json")]
-    used: set[str] = set()
-    for name in known[-keep:]:
-        found, files = _path(spark, f"{path}/{_LISTS}/{name}")
-        stream = files.open(found)
-        content = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        stream.close()
-        used |= set(content["folders"].values())
-    for name in known[:-keep]:
-        remove(spark, f"{path}/{_LISTS}/{name}")
-    for name in _names(spark, path):
-        if name.startswith(f"{_VERSION}=") and name.split("=", 1)[1] not in used:
-            remove(spark, f"{path}/{name}")
+    spark, path = rows.sparkSession, path.rstrip("/")
+    last = _last(loads(spark, path))
+    if last is None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2) if buckets is None else buckets
+        number = 1
+    else:
+        columns, day, buckets, number = last.row.columns, last.row.day, last.row.buckets, last.row.number + 1
+        keys = keys or last.row["keys"]
+    files, load = _files(spark, path, columns, keys if last is None else last.row["keys"], day, buckets), uuid.uuid4().hex
+    by = [key for key in keys if key != day]
+    names = [name for name in spark.table(files).columns if name != _LOAD]
+    # One task a bucket, so that a day gets a file for each; without buckets days are brought together.
+    given = rows.select(*names)
+    given = given.repartition(buckets, *by) if by and buckets else given.hint("rebalance", day) if day else given
+    target = f"{files} PARTITION (load = '{load}'{f', `{day}`' if day else ''})"
+    cells = [f"`{name}`" for name in names if name != day] + ([f"`{day}`"] if day else [])
+    spark.sql(f"INSERT INTO {target} SELECT {', '.join(cells)} FROM {{given}}", given=given)
+    _count(spark, path, (batch, load, number, base, list(keys), day, newest_by, buckets, columns))
+
+
+def _count(spark: SparkSession, path: str, load: tuple) -> None:
+    """From now on a load is read."""
+    spark.createDataFrame([load], _LOADS).coalesce(1).write.mode("append").parquet(f"{path}-loads")
+
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the loads that count, also those whose key a later one has again."""
+    return _read(spark, path.rstrip("/"))[0].drop(_NUMBER)
+
+
+def _read(spark: SparkSession, path: str):
+    known = loads(spark, path)
+    last = _last(known)
+    if last is None:
+        return spark.read.parquet(path), None
+    rows = spark.table(_files(spark, path, last.row.columns, last.row["keys"], last.row.day, last.row.buckets))
+    names = [name for name in rows.columns if name != _LOAD]
+    order = [part.split("` ")[0].strip("` ") for part in last.row.columns.split(", `")]
+    names.sort(key=order.index)
+    if last.n == 1:
+        rows = rows.filter(F.col(_LOAD) == last.row.load).withColumn(_NUMBER, F.lit(last.row.number))
+    else:
+        rows = rows.join(known.select(_LOAD, F.col("number").alias(_NUMBER)), _LOAD)
+    return rows.select(*names, _NUMBER), last
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path``, the newest row of each key; without loads it is plain Parquet."""
+    rows, last = _read(spark, path.rstrip("/"))
+    if last is None:
+        return rows
+    if last.n > 1 and last.row["keys"]:
+        # The day follows from the key; named here, a filter on it reaches the files.
+        keys = dict.fromkeys([*last.row["keys"], *([last.row.day] if last.row.day else [])])
+        newest = [F.col(last.row.newest_by).desc_nulls_last()] if last.row.newest_by else []
+        window = Window.partitionBy(*keys).orderBy(*newest, F.col(_NUMBER).desc())
+        rows = rows.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    return rows.drop(_NUMBER)
+
+
+def replace_table(df: DataFrame, path: str, partition: str | None = None, keys: Sequence[str] = (), newest_by: str | None = None) -> None:
+    """Write a table from scratch; batches it has seen stay known. ``df`` may read the table itself."""
+    add_load(df, path, f"base-{uuid.uuid4().hex}", keys, partition, newest_by, base=True)

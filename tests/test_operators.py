@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelftrack import operators as op
-from shelftrack.sources.tables import read_table, vacuum
+from shelftrack.sources import tables
+from shelftrack.sources.tables import read_table, stored_rows
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -149,43 +150,76 @@ def test_repeated_batches_change_nothing(spark, rows, tmp_path):
     assert stored.columns == first.columns
 
 
-@pytest.mark.parametrize("step", ["write_days", "publish"])
-def test_a_run_that_dies_leaves_the_table_as_it_was(spark, rows, tmp_path, monkeypatch, step):
-    upsert = importlib.import_module("shelftrack.operators.upsert")
+def test_a_run_that_dies_leaves_the_table_as_it_was(spark, rows, tmp_path, monkeypatch):
     path = str(tmp_path / "table")
     first = _days(spark, [("a", datetime(2024, 1, 1, 1), 1), ("b", datetime(2024, 1, 1, 2), 2)])
     second, third = (_days(spark, [("a", datetime(2024, 1, 1, h), h)]) for h in (5, 7))
     op.upsert_table(spark, path, first, ["k", "day"], "day", "one")
     before = read_table(spark, path)
-    done = getattr(upsert, step)
+    counts = tables._count
 
     def dies(*arguments):
-        if step == "write_days":
-            done(*arguments)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(upsert, step, dies)
+    # All rows are written, but the load does not count yet.
+    monkeypatch.setattr(tables, "_count", dies)
     with pytest.raises(RuntimeError):
         op.upsert_table(spark, path, second, ["k", "day"], "day", "two")
-    monkeypatch.setattr(upsert, step, done)
+    monkeypatch.setattr(tables, "_count", counts)
+    failing = second.withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        op.upsert_table(spark, path, failing, ["k", "day"], "day", "two")
     assert rows(read_table(spark, path), "k", "v") == rows(before, "k", "v") == [("a", 1), ("b", 2)]
     # Another batch comes in between; the lost one is then repeated and does not undo it.
     op.upsert_table(spark, path, third, ["k", "day"], "day", "three", newest_by="ts")
     again = op.upsert_table(spark, path, second, ["k", "day"], "day", "two", newest_by="ts")
     assert rows(again, "k", "v") == [("a", 7), ("b", 2)]
-    vacuum(spark, path, keep=1)
-    assert rows(read_table(spark, path), "k", "v") == [("a", 7), ("b", 2)]
+    assert rows(stored_rows(spark, path), "k", "v") == [("a", 1), ("a", 5), ("a", 7), ("b", 2)]
+
+
+def test_merge_on_reading_needs_no_exchange(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for n in range(3):
+        new = _days(spark, [(f"k{i}", datetime(2024, 1, 1 + i % 4, n), n) for i in range(40)])
+        stored = op.upsert_table(spark, path, new, ["k", "day"], "day", f"b{n}", "ts")
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    # The few rows about loads are aggregated and broadcast; the table's rows stay where they are.
+    assert "Window" in plan and "hashpartitioning(k#" not in plan and "SortMergeJoin" not in plan and "Bucketed: true" in plan
+    assert {r["v"] for r in stored.collect()} == {2} and stored.count() == 40
+    # A day's filter reaches the files.
+    plan = stored.filter("day = date'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_two_loads_of_one_batch_count_once(spark, rows, tmp_path):
+    path = str(tmp_path / "table")
+    for value in (1, 2):
+        tables.add_load(_days(spark, [("a", datetime(2024, 1, 1), value)]), path, "one", ["k", "day"], "day")
+    assert rows(read_table(spark, path), "v") == [(1,)]
 
 
-def test_two_runs_at_once_do_not_overwrite_each_other(spark, tmp_path):
-    from shelftrack.sources.tables import listing, publish
+def test_refresh_and_then_batches(spark, rows, tmp_path):
+    """A refresh may read the table it replaces; batches before it stay known and count no more."""
+    path = str(tmp_path / "table")
+    first = _days(spark, [("a", datetime(2024, 1, 1), 1), ("b", datetime(2024, 1, 2), 2)])
+    op.upsert_table(spark, path, first, ["k", "day"], "day", "one")
+    op.full_refresh(spark, read_table(spark, path).withColumn("v", F.col("v") * 10), path)
+    op.upsert_table(spark, path, first, ["k", "day"], "day", "one")
+    op.upsert_table(spark, path, first.filter("k = 'b'").withColumn("v", F.lit(7)), ["k", "day"], "day", "two")
+    assert rows(read_table(spark, path), "k", "v") == [("a", 10), ("b", 7)]
+    assert rows(stored_rows(spark, path), "v") == [(10,), (20,), (7,)]
+
 
+def test_table_without_days_or_keys(spark, rows, tmp_path):
     path = str(tmp_path / "table")
-    op.upsert_table(spark, path, _days(spark, [("a", datetime(2024, 1, 1), 1)]), ["k", "day"], "day", "one")
-    seen = listing(spark, path)
-    publish(spark, path, seen, seen.folders, ("one", "two"))
-    with pytest.raises(Exception, match="FileAlreadyExists|already exists"):
-        publish(spark, path, seen, seen.folders, ("one", "three"))
+    df = spark.createDataFrame([(1, None, [1.5])], "`a b` int, d date, list array<double>")
+    for _ in range(2):
+        tables.replace_table(df, path)
+    assert rows(read_table(spark, path)) == [(1, None, [1.5])] and read_table(spark, path).columns == df.columns
+    days = str(tmp_path / "days")
+    op.upsert_table(spark, days, spark.createDataFrame([(1, None)], "k int, day date"), ["k"], "day", "one")
+    op.upsert_table(spark, days, spark.createDataFrame([(1, None)], "k int, day date"), ["k"], "day", "two")
+    assert rows(read_table(spark, days)) == [(1, None)]
 
 
 def test_interrupted_save_keeps_the_old_table(spark, rows, tmp_path):

@@ -15,7 +15,7 @@ from shelftrack import prepare
 from shelftrack.plans import marts
 from shelftrack.plans.staging import build_stg_books, one_per_scan
 from shelftrack.plans.warehouse import Warehouse
-from shelftrack.sources.tables import is_written, shared_folder, write_version
+from shelftrack.sources.tables import is_table, shared_folder
 
 CENTS = [
     "event_id",
@@ -104,12 +104,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table, typed and stored as the loader leaves it; written once per session."""
     path = f"{shared_folder(prepare(spark))}/{spark.sparkContext.applicationId}/raw{sf_dir.replace('/', '-')}"
-    if not is_written(spark, path):
+    if not is_table(spark, path):
         scans = table(spark, sf_dir, "events")
         for step in (CENTS, DIGITS, PRICES, RAW_BOOKS):
             scans = scans.selectExpr(*step)
         scans = scans.withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
-        write_version(scans, path)
+        scans.write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -160,7 +160,7 @@ def stored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     warehouse = Warehouse(spark, root)
     raw = raw_books(spark, sf_dir)
     # The last tables to be written are the dimensions.
-    if not is_written(spark, warehouse.path("brg_book_author")):
+    if not is_table(spark, warehouse.path("brg_book_author")):
         warehouse.refresh(raw, calendar(spark, sf_dir), F.lit(_AS_OF).cast("timestamp"))
     names = ("stg_books", "dim_date", "dim_authors", "dim_publishers", "dim_books", "brg_book_author", "fct_book_prices")
     stored = {name: warehouse.table(name) for name in names}
