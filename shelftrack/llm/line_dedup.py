@@ -10,6 +10,12 @@ all diagonals within the bound are bits of one byte, a byte for each number of
 edits, and a step takes one character of many pairs at once. A line needs one
 earlier neighbour only, so pairs are tried in the order of places and lines
 leave as soon as they have one.
+
+A key that many distinct lines hold, as lines from one template do, is not brought
+together. Its lines are cut finer, into segments of three bytes and more, of which
+as many as a neighbour may change and one more suffice: each line
+picks its rarest, so that what all share is never looked up, and only lines that hold
+a picked one meet.
 """
 
 from __future__ import annotations
@@ -18,7 +24,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from shelftrack.llm import common as c
 from shelftrack.llm import exchange as x
@@ -27,6 +34,8 @@ BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 _NEWLINE = 10
 _TOGETHER = 1 << 15  # pairs verified at once
+HOT = 200  # distinct lines of a key beyond which they are cut finer; below 255
+_FINE_BYTES, _FINE_MOST = 3, 48  # a finer segment's size at least, and how many a line has at most
 
 
 class _Lines:
@@ -93,9 +102,8 @@ def _send_lines(n_buckets: int):
 # Segments.
 
 
-def _segment(length: np.ndarray, i: int, max_edits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Offset and size of segment ``i`` of lines of a length; the last ones are a byte longer if need be."""
-    n = max_edits + 1
+def _segment(length: np.ndarray, i: int, n: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offset and size of segment ``i`` of ``n`` of lines of a length; the last ones are a byte longer if need be."""
     size, longer = length // n, length % n
     return i * size + np.maximum(0, i - (n - longer)), size + (i >= n - longer)
 
@@ -113,11 +121,11 @@ def _keys(lines: _Lines, at: np.ndarray, max_edits: int, near: int) -> tuple[np.
         own.append(np.full(len(rows), is_own))
 
     for i in range(max_edits + 1):
-        offset, size = _segment(length, i, max_edits)
+        offset, size = _segment(length, i, max_edits + 1)
         add(everyone, start + offset, size, length, i, True)
         for gap in range(max_edits + 1):
             rows = np.flatnonzero(length - gap >= near)
-            offset, size = _segment(length[rows] - gap, i, max_edits)
+            offset, size = _segment(length[rows] - gap, i, max_edits + 1)
             left = np.maximum(-i, gap - (max_edits - i))
             right = np.minimum(i, gap + (max_edits - i))
             for shift in range(left, right + 1):
@@ -140,69 +148,80 @@ def _send_keys(max_edits: int, near: int, n_buckets: int):
         new[1:] = keys[1:] != keys[:-1]
         first = np.flatnonzero(new)
         has_own = np.logical_or.reduceat(own, first) if len(first) else own
-        several = np.zeros(len(keys), bool)
-        several[1:] = ~new[1:] & (who[1:] != who[:-1])
-        several = np.logical_or.reduceat(several, first) if len(first) else several
+        other = new.copy()
+        other[1:] |= who[1:] != who[:-1]
+        held = np.add.reduceat(other.astype(np.int64), first) if len(first) else other
+        held = np.minimum(held, 255).astype(np.uint8)
         keys, parts = keys[first], []
         for bucket, lo, hi in c.by_bucket((keys >> np.uint64(32)).astype(np.int64))[1]:
             low = (keys[lo:hi] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            flags = np.packbits(has_own[lo:hi]), np.packbits(several[lo:hi])
-            parts.append((bucket, x.block_of(table), x.pack(low, *flags)))
+            parts.append((bucket, x.block_of(table), x.pack(low, np.packbits(has_own[lo:hi]), held[lo:hi])))
         return x.rows(parts, x.TO_BUCKET)
 
     return send
 
 
-def _find_meetings(table: pa.Table) -> pa.Table:
-    """Keys that one line has as its own and another line, here or there, holds."""
-    bucket = table.column("bucket")[0].as_py()
-    blocks, keys, own, several = table.column("block").to_pylist(), [], [], []
-    for body in table.column("body").to_pylist():
-        low, *flags = x.unpack(body, np.uint32, np.uint8, np.uint8)
-        keys.append(low)
-        for out, bits in zip((own, several), flags, strict=True):
-            out.append(np.unpackbits(bits, count=len(low)).astype(bool))
-    owner = np.repeat(np.arange(len(blocks)), [len(k) for k in keys])
-    keys, own, several = np.concatenate(keys), np.concatenate(own), np.concatenate(several)
-    order = np.argsort(keys, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
-    size = np.diff(np.append(first, len(keys)))
-    live = np.logical_or.reduceat(own[order], first) & (np.logical_or.reduceat(several[order], first) | (size > 1))
-    out = np.empty(len(keys), bool)
-    out[order] = np.repeat(live, size)
-    parts = []
-    for i, lo, hi in c.by_bucket(owner)[1]:
-        if (found := keys[lo:hi][out[lo:hi]]).size:
-            parts.append((blocks[i], bucket, found.tobytes()))
-    return x.rows(parts, x.TO_BLOCK)
+def _find_meetings(hot: int):
+    """Keys that one line has as its own and another line, here or there, holds; kind 2 if more than ``hot`` lines hold them."""
+
+    def find(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        blocks, keys, own, held = table.column("block").to_pylist(), [], [], []
+        for body in table.column("body").to_pylist():
+            low, bits, lines = x.unpack(body, np.uint32, np.uint8, np.uint8)
+            keys.append(low)
+            own.append(np.unpackbits(bits, count=len(low)).astype(bool))
+            held.append(lines)
+        owner = np.repeat(np.arange(len(blocks)), [len(k) for k in keys])
+        keys, own, held = np.concatenate(keys), np.concatenate(own), np.concatenate(held).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
+        lines = np.add.reduceat(held[order], first)
+        kind = np.where(np.logical_or.reduceat(own[order], first) & (lines > 1), np.where(lines > hot, 2, 1), 0)
+        out = np.empty(len(keys), np.int64)
+        out[order] = np.repeat(kind, np.diff(np.append(first, len(keys))))
+        parts, kinds = [], []
+        for i, lo, hi in c.by_bucket(owner)[1]:
+            for kind in (1, 2):
+                if (found := keys[lo:hi][out[lo:hi] == kind]).size:
+                    parts.append((blocks[i], bucket, found.tobytes()))
+                    kinds.append(kind)
+        return x.rows(parts, x.TO_BLOCK).append_column("kind", pa.array(kinds, pa.int32()))
+
+    return find
 
 
 def _send_candidates(max_edits: int, near: int, n_buckets: int):
+    """Lines to the buckets of the keys at which they meet; those of keys with many lines to buckets of their own."""
+
     def send(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows or not answers.num_rows:
             return x.rows([], x.TO_BUCKET)
-        is_live = answers.column("kind").to_numpy(zero_copy_only=False) == 1
-        answered = answers.filter(pa.array(is_live))
-        if not answered.num_rows:
+        kind = answers.column("kind").to_numpy(zero_copy_only=False)
+        later, *answered = (answers.filter(pa.array(kind == k)) for k in range(3))
+        if not any(a.num_rows for a in answered):
             return x.rows([], x.TO_BUCKET)
         lines = _Lines(table)
-        at = lines.owned(answers.filter(pa.array(~is_live)), near)
+        at = lines.owned(later, near)
         who, keys, own = _keys(lines, at, max_edits, near)
         keys = x.bucket_keys(keys, n_buckets)
-        met = np.flatnonzero(c.contains(x.returned_keys(answered), keys))
-        order, cuts = c.by_bucket((keys[met] >> np.uint64(32)).astype(np.int64))
-        met = met[order]
+        plain, hot = (np.flatnonzero(c.contains(x.returned_keys(a), keys)) for a in answered)
+        order, cuts = c.by_bucket((keys[plain] >> np.uint64(32)).astype(np.int64))
+        met = plain[order]
         parts = []
+
+        def body(spans: np.ndarray, *more: np.ndarray) -> bytes:
+            text = b"\n".join(lines.data[a:b].tobytes() for a, b in zip(lines.starts[spans], lines.ends[spans], strict=True))
+            return x.pack(*more, lines.doc_ids[lines.doc[spans]], lines.place[spans], lines.hashes[spans], np.frombuffer(text, np.uint8))
+
         for bucket, lo, hi in cuts:
             rows = met[lo:hi]
             sent, index = np.unique(who[rows], return_inverse=True)
-            spans = at[sent]
-            text = b"\n".join(lines.data[a:b].tobytes() for a, b in zip(lines.starts[spans], lines.ends[spans], strict=True))
-            body = x.pack(
-                (keys[rows] & np.uint64(0xFFFFFFFF)).astype(np.uint32), index.astype(np.uint32), own[rows].astype(np.uint8),
-                lines.doc_ids[lines.doc[spans]], lines.place[spans], lines.hashes[spans], np.frombuffer(text, np.uint8),
-            )
-            parts.append((bucket, x.block_of(table), body))
+            low = (keys[rows] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            parts.append((bucket, x.block_of(table), body(at[sent], low, index.astype(np.uint32), own[rows].astype(np.uint8))))
+        spans = at[np.unique(who[hot])]
+        order, cuts = c.by_bucket(n_buckets + c.spread(lines.hashes[spans], n_buckets))
+        parts += [(bucket, x.block_of(table), body(spans[order][lo:hi])) for bucket, lo, hi in cuts]
         return x.rows(parts, x.TO_BUCKET)
 
     return send
@@ -255,9 +274,11 @@ def within(data: np.ndarray, a: np.ndarray, size_a: np.ndarray, b: np.ndarray, s
     return result
 
 
-def _verify(max_edits: int):
+def _verify(max_edits: int, n_buckets: int):
     def verify(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
+        if bucket >= n_buckets:
+            return x.rows([], x.TO_BLOCK)
         blocks, fields, shift = table.column("block").to_pylist(), [], 0
         kinds = (np.uint32, np.uint32, np.uint8, np.int64, np.int64, np.uint64, np.uint8)
         for body in table.column("body").to_pylist():
@@ -314,6 +335,97 @@ def _with_earlier(keys, line, own, rank, data, starts, sizes, max_edits) -> np.n
         lo, step = lo + step, step * 2
 
 
+# Lines of keys that many lines hold.
+
+_HOT_LINES = "line long, doc_id long, place long, block int, text binary"
+
+
+def _hot_lines(n_buckets: int):
+    names, kinds = zip(*(field.split() for field in _HOT_LINES.split(", ")), strict=True)
+    schema = pa.schema(list(zip(names, [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()], strict=True)))
+
+    def lines(table: pa.Table) -> pa.Table:
+        out = [schema.empty_table()]
+        if table.column("bucket")[0].as_py() >= n_buckets:
+            for block, body in zip(table.column("block").to_pylist(), table.column("body").to_pylist(), strict=True):
+                doc_ids, place, hashes, text = x.unpack(body, np.int64, np.int64, np.uint64, np.uint8)
+                texts = pa.array(text.tobytes().split(b"\n"), pa.binary())
+                columns = [pa.array(hashes.view(np.int64)), pa.array(doc_ids), pa.array(place), pa.array([block] * len(place), pa.int32()), texts]
+                out.append(pa.Table.from_arrays(columns, schema=schema))
+        return pa.concat_tables(out)
+
+    return lines
+
+
+def _fine_keys(data: np.ndarray, bounds: np.ndarray, max_edits: int, near: int):
+    """Line, key and whether it is of the line's own segments, of all finer keys of some lines."""
+    substring, length = c.Substrings(data), np.diff(bounds)
+    who, keys, own = [], [], []
+    for gap in range(max_edits + 1):
+        short = length - gap
+        n = np.clip(short // _FINE_BYTES, max_edits + 1, max(_FINE_MOST, max_edits + 1))
+        # With a shift of s before and gap - s behind a segment, no more than max_edits bytes come or go.
+        shifts = [s for s in range(-max_edits, max_edits + 1) if abs(s) + abs(gap - s) <= max_edits]
+        for i in range(n.max(initial=0)):
+            rows = np.flatnonzero((short >= near) & (i < n))
+            offset, size = _segment(short[rows], i, n[rows])
+            for shift in shifts:
+                place = offset + shift
+                inside = (place >= 0) & (place + size <= length[rows])
+                begin = bounds[:-1][rows[inside]] + place[inside]
+                kind = (short[rows[inside]] * (_FINE_MOST + 8) + i).astype(np.uint64)
+                who.append(rows[inside])
+                keys.append(c.joined(substring(begin, begin + size[inside]), kind, 11))
+                own.append(np.full(inside.sum(), gap == shift == 0))
+    return tuple(np.concatenate(v) for v in (who, keys, own)) if who else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
+
+
+def _send_fine(max_edits: int, near: int):
+    def send(batches):
+        for batch in batches:
+            data, bounds = c.flat(batch.column("text"))
+            who, keys, own = _fine_keys(data, bounds, max_edits, near)
+            order = np.lexsort((~own, keys, who))
+            who, keys, own = who[order], keys[order], own[order]
+            new = np.ones(len(who), bool)
+            new[1:] = (who[1:] != who[:-1]) | (keys[1:] != keys[:-1])
+            line = batch.column("line").take(pa.array(who[new]))
+            yield pa.RecordBatch.from_arrays([line, pa.array(keys[new].view(np.int64)), pa.array(own[new])], ["line", "key", "own"])
+
+    return send
+
+
+def _verify_fine(max_edits: int):
+    def verify(table: pa.Table) -> pa.Table:
+        hashes, first, index = np.unique(table.column("line").to_numpy(), return_index=True, return_inverse=True)
+        lines = table.take(pa.array(first))
+        data, bounds = c.flat(lines.column("text"))
+        rank = np.empty(len(first), np.int64)
+        rank[np.lexsort((lines.column("place").to_numpy(), lines.column("doc_id").to_numpy()))] = np.arange(len(first))
+        keys, own = table.column("key").to_numpy(), table.column("own").to_numpy(zero_copy_only=False)
+        data = np.append(data, np.uint8(_NEWLINE))
+        near = _with_earlier(keys, index, own, rank, data, bounds[:-1], np.diff(bounds), max_edits)
+        bucket, blocks = table.column("bucket")[0].as_py(), lines.column("block").to_numpy()
+        order, cuts = c.by_bucket(blocks[near])
+        found = hashes[near][order].view(np.uint64)
+        return x.rows([(block, bucket, found[lo:hi].tobytes()) for block, lo, hi in cuts], x.TO_BLOCK)
+
+    return verify
+
+
+def _refine(hot: DataFrame, max_edits: int, near: int, n_buckets: int) -> DataFrame:
+    """Lines with an earlier neighbour among lines of hot keys, back to their blocks."""
+    keys = hot.select("line", "text").mapInArrow(_send_fine(max_edits, near), "line long, key long, own boolean")
+    held = keys.groupBy("key").agg(F.count("*").alias("lines"), F.max("own").alias("owned")).filter("owned")
+    rarest = Window.partitionBy("line").orderBy("lines", "key")
+    picked = keys.filter("own").join(held, "key").withColumn("rank", F.row_number().over(rarest)).filter(F.col("rank") <= max_edits + 1)
+    live = picked.filter("lines > 1").select("key").distinct()
+    members = keys.select("line", "key", F.lit(False).alias("own")).unionByName(picked.select("line", "key", F.lit(True).alias("own")))
+    members = members.join(live, "key", "left_semi").groupBy("line", "key").agg(F.max("own").alias("own"))
+    dealt = members.join(hot, "line").withColumn("bucket", F.pmod("key", F.lit(n_buckets)).cast("int"))
+    return dealt.groupBy("bucket").applyInArrow(_verify_fine(max_edits), x.BACK)
+
+
 # The texts that stay.
 
 
@@ -378,10 +490,12 @@ def remove_repeated_lines(docs: DataFrame, max_edits: int = 2, near_bytes: int =
     sent = of_block.applyInArrow(_send_lines(n_buckets), x.SENT)
     later = sent.groupBy("bucket").applyInArrow(x.find_later, x.BACK)
     keys = of_block.cogroup(later.groupBy("block")).applyInArrow(_send_keys(max_edits, near_bytes, n_buckets), x.SENT)
-    live = keys.groupBy("bucket").applyInArrow(_find_meetings, x.BACK)
+    live = keys.groupBy("bucket").applyInArrow(_find_meetings(HOT), x.BACK + ", kind int")
     candidates = of_block.cogroup(_both(later, live).groupBy("block"))
-    candidates = candidates.applyInArrow(_send_candidates(max_edits, near_bytes, n_buckets), x.SENT)
-    near = candidates.groupBy("bucket").applyInArrow(_verify(max_edits), x.BACK)
+    candidates = candidates.applyInArrow(_send_candidates(max_edits, near_bytes, n_buckets), x.SENT).groupBy("bucket")
+    near = candidates.applyInArrow(_verify(max_edits, n_buckets), x.BACK)
+    hot = candidates.applyInArrow(_hot_lines(n_buckets), _HOT_LINES)
+    near = near.unionByName(_refine(hot, max_edits, near_bytes, n_buckets)).selectExpr("*", "1 AS kind")
     counts = "doc_id long, n_lines long, n_removed long, "
     result = counts + ("kept_sha256 string" if digest else "kept string, removed array<long>")
     if keep:
@@ -390,5 +504,5 @@ def remove_repeated_lines(docs: DataFrame, max_edits: int = 2, near_bytes: int =
 
 
 def _both(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Answers of two kinds, 0 and 1."""
-    return first.selectExpr("*", "0 AS kind").unionByName(second.selectExpr("*", "1 AS kind"))
+    """Answers of kind 0 and of those that the second name."""
+    return first.selectExpr("*", "0 AS kind").unionByName(second)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -147,9 +148,10 @@ def test_transform():
         assert sorted(sorted(v) for v in got.values()) == sorted(sorted(v) for v in wanted.values())
 
 
-@pytest.mark.parametrize("most", [0, 1, 2])
-def test_lines(spark, monkeypatch, most):
+@pytest.mark.parametrize("most,hot", [(0, 200), (1, 200), (2, 200), (0, 1), (1, 1), (2, 1), (2, 4)])
+def test_lines(spark, monkeypatch, most, hot):
     monkeypatch.setattr(line_dedup, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(line_dedup, "HOT", hot)
     rng = random.Random(4)
     base = ["".join(rng.choice("abcdefg hé") for _ in range(rng.randint(3, 60))) for _ in range(40)]
 
@@ -169,6 +171,28 @@ def test_lines(spark, monkeypatch, most):
     assert collected(line_dedup.remove_repeated_lines(df, most, digest=True)) == lines_left(rows, most, 24)
 
 
+@pytest.mark.parametrize("shape", ["id {:08x} of the nightly run", "the same words in front of {:06d}", "x{:04d} and the rest is always the same"])
+def test_lines_of_one_template(spark, monkeypatch, shape):
+    """Far more lines than a key may bring together; near ones among them are found as by brute force."""
+    monkeypatch.setattr(line_dedup, "BLOCK_BYTES", 4000)
+    rng = random.Random(len(shape))
+    rows = [(i, "\n".join(shape.format(rng.randrange(10**6)) [: rng.choice([99, 99, -1])] for _ in range(8))) for i in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert collected(line_dedup.remove_repeated_lines(df, 2, digest=True)) == lines_left(rows, 2, 24)
+
+
+def test_many_lines_of_one_template(spark):
+    """Distinct lines that share a segment, none near another: all stay, in time that grows with their number."""
+    took = []
+    for n in (5_000, 20_000):
+        rows = [(i, "\n".join(f"INFO connection from host {(i * 100 + k) * 2654435761 % 2**32 * 65537:014x} closed" for k in range(100))) for i in range(n // 100)]
+        began = time.perf_counter()
+        found = line_dedup.remove_repeated_lines(spark.createDataFrame(rows, SCHEMA), 2, digest=True).agg(F.sum("n_lines"), F.sum("n_removed")).first()
+        took.append(time.perf_counter() - began)
+        assert found[0] == n and found[1] < n / 50
+    assert took[1] < 8 * max(took[0], 2)
+
+
 @pytest.mark.parametrize("most", [0, 1, 2, 3, 4])
 def test_edit_distance(most):
     rng = random.Random(2)

@@ -190,10 +190,9 @@ def plain_alignment(rows):
     return Counter(out)
 
 
-@pytest.mark.parametrize("part,wide", [(8 << 20, 4096), (2000, 4096), (50_000, 2)])
-def test_align(spark, monkeypatch, part, wide):
+@pytest.mark.parametrize("part", [8 << 20, 2000])
+def test_align(spark, monkeypatch, part):
     monkeypatch.setattr(alignment, "_PART", part)
-    monkeypatch.setattr(alignment, "_WIDE", wide)
     rows = [*enumerate(texts()), (None, "no id here"), (None, "no id here"), (3, "one two  three")]
     found = alignment.align(frame(spark, rows).repartition(3), str(BYTES), str(PIECES))
     assert found.columns == alignment._RESULT
@@ -205,9 +204,12 @@ def test_align(spark, monkeypatch, part, wide):
     )
 
 
-def test_align_forgets(monkeypatch):
+@pytest.mark.parametrize("wide", [4096, 2])
+def test_align_forgets(monkeypatch, wide):
+    """One text at a time, few known segments, and wide groups counted first."""
     pair, given = alignment.Pair(BYTES.read_text(encoding="utf-8"), PIECES.read_bytes()), texts()
     whole = pair.align(pa.array(given, pa.string()))
+    monkeypatch.setattr(alignment, "_WIDE", wide)
     pair.known.most = 20
     for at, text in enumerate(given):
         groups, totals, owner, links, times = pair.align(pa.array([text], pa.string()))
