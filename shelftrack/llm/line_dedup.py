@@ -12,10 +12,10 @@ earlier neighbour only, so pairs are tried in the order of places and lines
 leave as soon as they have one.
 
 A key that many distinct lines hold, as lines from one template do, is not brought
-together. Its lines are cut finer, into segments of three bytes and more, of which
-as many as a neighbour may change and one more suffice: each line
-picks its rarest, so that what all share is never looked up, and only lines that hold
-a picked one meet.
+together. Its lines are cut finer, into segments of which as many as a neighbour may
+change and one more suffice: each line picks its rarest, so that what all share is
+never looked up, and only lines that hold a picked one meet. Lines that had to pick a
+segment of many lines, and those that hold it, are cut finer once more.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ BUCKET_BYTES = 16 << 20
 _NEWLINE = 10
 _TOGETHER = 1 << 15  # pairs verified at once
 HOT = 200  # distinct lines of a key beyond which they are cut finer; below 255
-_FINE_BYTES, _FINE_MOST = 3, 48  # a finer segment's size at least, and how many a line has at most
+_FINE = ((3, 48), (2, 1024))  # a finer segment's bytes at least, and how many a line has at most; then finer still
 
 
 class _Lines:
@@ -47,16 +47,17 @@ class _Lines:
         self.data, bounds = c.flat(c.column(self.table, "text"))
         breaks = np.flatnonzero(self.data == _NEWLINE)
         filled = np.flatnonzero(np.diff(bounds) > 0)
-        self.starts = np.sort(np.concatenate([bounds[filled], breaks + 1]))
-        self.ends = np.sort(np.concatenate([breaks, bounds[filled + 1]]))
-        total = np.concatenate([[0], np.cumsum(self.data == _NEWLINE)])
-        counts = np.zeros(len(bounds) - 1, np.int64)
-        counts[filled] = (total[bounds[1:]] - total[bounds[:-1]])[filled] + 1
+        self.starts = np.sort(np.concatenate([bounds[filled], breaks + 1]), kind="stable")
+        self.ends = np.sort(np.concatenate([breaks, bounds[filled + 1]]), kind="stable")
+        counts = np.diff(np.searchsorted(breaks, bounds))
+        counts[filled] += 1
         self.first = np.concatenate([[0], np.cumsum(counts)])
         self.doc = np.repeat(np.arange(len(counts)), counts)
         self.place = np.arange(len(self.doc)) - self.first[self.doc]
-        solid = np.concatenate([[0], np.cumsum(~c.SPACES[self.data])])
-        self.blank = solid[self.starts] == solid[self.ends]
+        self.blank = self.starts == self.ends
+        # Only a line that begins with white space may be all of it.
+        for i in np.flatnonzero(~self.blank & c.SPACES[self.data[np.minimum(self.starts, len(self.data) - 1)]] if len(self.data) else self.blank & False):
+            self.blank[i] = c.SPACES[self.data[self.starts[i] : self.ends[i]]].all()
         self.hashes = c.span_hashes(self.data, self.starts, self.ends)
 
     def distinct(self) -> np.ndarray:
@@ -76,7 +77,8 @@ class _Lines:
 
 
 def _found(table: pa.Table, dtype) -> np.ndarray:
-    return np.sort(np.concatenate([*x.returned(table, dtype).values(), np.zeros(0, dtype)]))
+    """All hashes that came back, sorted; a bucket may have answered twice."""
+    return np.sort(np.concatenate([*(np.frombuffer(body, dtype) for body in table.column("body").to_pylist()), np.zeros(0, dtype)]))
 
 
 # Equal lines.
@@ -357,34 +359,34 @@ def _hot_lines(n_buckets: int):
     return lines
 
 
-def _fine_keys(data: np.ndarray, bounds: np.ndarray, max_edits: int, near: int):
+def _fine_keys(data: np.ndarray, bounds: np.ndarray, max_edits: int, near: int, size: int, most: int):
     """Line, key and whether it is of the line's own segments, of all finer keys of some lines."""
     substring, length = c.Substrings(data), np.diff(bounds)
     who, keys, own = [], [], []
     for gap in range(max_edits + 1):
         short = length - gap
-        n = np.clip(short // _FINE_BYTES, max_edits + 1, max(_FINE_MOST, max_edits + 1))
+        n = np.clip(short // size, max_edits + 1, most)
         # With a shift of s before and gap - s behind a segment, no more than max_edits bytes come or go.
         shifts = [s for s in range(-max_edits, max_edits + 1) if abs(s) + abs(gap - s) <= max_edits]
         for i in range(n.max(initial=0)):
             rows = np.flatnonzero((short >= near) & (i < n))
-            offset, size = _segment(short[rows], i, n[rows])
+            offset, width = _segment(short[rows], i, n[rows])
             for shift in shifts:
                 place = offset + shift
-                inside = (place >= 0) & (place + size <= length[rows])
+                inside = (place >= 0) & (place + width <= length[rows])
                 begin = bounds[:-1][rows[inside]] + place[inside]
-                kind = (short[rows[inside]] * (_FINE_MOST + 8) + i).astype(np.uint64)
+                kind = (short[rows[inside]] * most + i).astype(np.uint64)
                 who.append(rows[inside])
-                keys.append(c.joined(substring(begin, begin + size[inside]), kind, 11))
+                keys.append(c.joined(substring(begin, begin + width[inside]), kind, 11))
                 own.append(np.full(inside.sum(), gap == shift == 0))
     return tuple(np.concatenate(v) for v in (who, keys, own)) if who else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
 
 
-def _send_fine(max_edits: int, near: int):
+def _send_fine(max_edits: int, near: int, size: int, most: int):
     def send(batches):
         for batch in batches:
             data, bounds = c.flat(batch.column("text"))
-            who, keys, own = _fine_keys(data, bounds, max_edits, near)
+            who, keys, own = _fine_keys(data, bounds, max_edits, near, size, most)
             order = np.lexsort((~own, keys, who))
             who, keys, own = who[order], keys[order], own[order]
             new = np.ones(len(who), bool)
@@ -413,17 +415,23 @@ def _verify_fine(max_edits: int):
     return verify
 
 
-def _refine(hot: DataFrame, max_edits: int, near: int, n_buckets: int) -> DataFrame:
+def _refine(hot: DataFrame, max_edits: int, near: int, n_buckets: int, limit: int, levels=_FINE) -> DataFrame:
     """Lines with an earlier neighbour among lines of hot keys, back to their blocks."""
-    keys = hot.select("line", "text").mapInArrow(_send_fine(max_edits, near), "line long, key long, own boolean")
-    held = keys.groupBy("key").agg(F.count("*").alias("lines"), F.max("own").alias("owned")).filter("owned")
+    (size, most), *finer = levels
+    keys = hot.select("line", "text").mapInArrow(_send_fine(max_edits, near, size, most), "line long, key long, own boolean")
+    held = keys.groupBy("key").agg(F.count("*").alias("lines"), F.max("own").alias("owned")).filter("owned").drop("owned")
     rarest = Window.partitionBy("line").orderBy("lines", "key")
     picked = keys.filter("own").join(held, "key").withColumn("rank", F.row_number().over(rarest)).filter(F.col("rank") <= max_edits + 1)
-    live = picked.filter("lines > 1").select("key").distinct()
+    live = picked.filter("lines > 1").select("key", "lines").distinct()
     members = keys.select("line", "key", F.lit(False).alias("own")).unionByName(picked.select("line", "key", F.lit(True).alias("own")))
-    members = members.join(live, "key", "left_semi").groupBy("line", "key").agg(F.max("own").alias("own"))
-    dealt = members.join(hot, "line").withColumn("bucket", F.pmod("key", F.lit(n_buckets)).cast("int"))
-    return dealt.groupBy("bucket").applyInArrow(_verify_fine(max_edits), x.BACK)
+    members = members.join(live, "key").groupBy("line", "key").agg(F.max("own").alias("own"), F.max("lines").alias("lines"))
+    dealt = (members.filter(F.col("lines") <= limit) if finer else members).join(hot, "line")
+    dealt = dealt.withColumn("bucket", F.pmod("key", F.lit(n_buckets)).cast("int"))
+    found = dealt.groupBy("bucket").applyInArrow(_verify_fine(max_edits), x.BACK)
+    if finer:
+        again = members.filter(F.col("lines") > limit).select("line").distinct()
+        found = found.unionByName(_refine(hot.join(again, "line", "left_semi"), max_edits, near, n_buckets, limit, finer))
+    return found
 
 
 # The texts that stay.
@@ -495,7 +503,7 @@ def remove_repeated_lines(docs: DataFrame, max_edits: int = 2, near_bytes: int =
     candidates = candidates.applyInArrow(_send_candidates(max_edits, near_bytes, n_buckets), x.SENT).groupBy("bucket")
     near = candidates.applyInArrow(_verify(max_edits, n_buckets), x.BACK)
     hot = candidates.applyInArrow(_hot_lines(n_buckets), _HOT_LINES)
-    near = near.unionByName(_refine(hot, max_edits, near_bytes, n_buckets)).selectExpr("*", "1 AS kind")
+    near = near.unionByName(_refine(hot, max_edits, near_bytes, n_buckets, HOT)).selectExpr("*", "1 AS kind")
     counts = "doc_id long, n_lines long, n_removed long, "
     result = counts + ("kept_sha256 string" if digest else "kept string, removed array<long>")
     if keep:

@@ -181,6 +181,18 @@ def test_lines_of_one_template(spark, monkeypatch, shape):
     assert collected(line_dedup.remove_repeated_lines(df, 2, digest=True)) == lines_left(rows, 2, 24)
 
 
+def test_changed_copies_of_one_long_line(spark, monkeypatch):
+    """Copies with a few letters put in somewhere: all share most segments, few are near."""
+    monkeypatch.setattr(line_dedup, "BLOCK_BYTES", 20_000)
+    rng = random.Random(9)
+    base = " ".join("".join(rng.choice("etaoinshr") for _ in range(5)) for _ in range(18))
+    changes = [(rng.randrange(len(base)), "".join(rng.choice("xyz") for _ in range(4))) for _ in range(250)]
+    changes += [(at, new[:-1] + "q") for at, new in rng.choices(changes, k=60)]
+    rows = [(i, base[:at] + new + base[at:]) for i, (at, new) in enumerate(changes)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert collected(line_dedup.remove_repeated_lines(df, 2, digest=True)) == lines_left(rows, 2, 24)
+
+
 def test_many_lines_of_one_template(spark):
     """Distinct lines that share a segment, none near another: all stay, in time that grows with their number."""
     took = []
