@@ -14,8 +14,8 @@ leave as soon as they have one.
 A key that many distinct lines hold, as lines from one template do, is not brought
 together. Its lines are cut finer, into segments of which as many as a neighbour may
 change and one more suffice: each line picks its rarest, so that what all share is
-never looked up, and only lines that hold a picked one meet. Lines that had to pick a
-segment of many lines, and those that hold it, are cut finer once more.
+never looked up, and only lines that hold a picked one meet. Where a few lines had to
+pick what many hold, the many are dealt out and the few go along with each part.
 """
 
 from __future__ import annotations
@@ -35,7 +35,9 @@ BUCKET_BYTES = 16 << 20
 _NEWLINE = 10
 _TOGETHER = 1 << 15  # pairs verified at once
 HOT = 200  # distinct lines of a key beyond which they are cut finer; below 255
-_FINE = ((3, 48), (2, 1024))  # a finer segment's bytes at least, and how many a line has at most; then finer still
+_FINE_BYTES, _FINE_MOST = 2, 256  # a finer segment's size at least, and how many a line has at most
+_FEW, _DEALT = 64, 2000  # lines that go along, and lines of a part
+_FINE_ROWS = 64  # lines whose finer keys are made at once
 
 
 class _Lines:
@@ -359,13 +361,13 @@ def _hot_lines(n_buckets: int):
     return lines
 
 
-def _fine_keys(data: np.ndarray, bounds: np.ndarray, max_edits: int, near: int, size: int, most: int):
+def _fine_keys(data: np.ndarray, bounds: np.ndarray, max_edits: int, near: int):
     """Line, key and whether it is of the line's own segments, of all finer keys of some lines."""
     substring, length = c.Substrings(data), np.diff(bounds)
     who, keys, own = [], [], []
     for gap in range(max_edits + 1):
         short = length - gap
-        n = np.clip(short // size, max_edits + 1, most)
+        n = np.clip(short // _FINE_BYTES, max_edits + 1, _FINE_MOST)
         # With a shift of s before and gap - s behind a segment, no more than max_edits bytes come or go.
         shifts = [s for s in range(-max_edits, max_edits + 1) if abs(s) + abs(gap - s) <= max_edits]
         for i in range(n.max(initial=0)):
@@ -375,24 +377,25 @@ def _fine_keys(data: np.ndarray, bounds: np.ndarray, max_edits: int, near: int,
                 place = offset + shift
                 inside = (place >= 0) & (place + width <= length[rows])
                 begin = bounds[:-1][rows[inside]] + place[inside]
-                kind = (short[rows[inside]] * most + i).astype(np.uint64)
+                kind = (short[rows[inside]] * _FINE_MOST + i).astype(np.uint64)
                 who.append(rows[inside])
                 keys.append(c.joined(substring(begin, begin + width[inside]), kind, 11))
                 own.append(np.full(inside.sum(), gap == shift == 0))
     return tuple(np.concatenate(v) for v in (who, keys, own)) if who else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
 
 
-def _send_fine(max_edits: int, near: int, size: int, most: int):
+def _send_fine(max_edits: int, near: int):
     def send(batches):
         for batch in batches:
-            data, bounds = c.flat(batch.column("text"))
-            who, keys, own = _fine_keys(data, bounds, max_edits, near, size, most)
-            order = np.lexsort((~own, keys, who))
-            who, keys, own = who[order], keys[order], own[order]
-            new = np.ones(len(who), bool)
-            new[1:] = (who[1:] != who[:-1]) | (keys[1:] != keys[:-1])
-            line = batch.column("line").take(pa.array(who[new]))
-            yield pa.RecordBatch.from_arrays([line, pa.array(keys[new].view(np.int64)), pa.array(own[new])], ["line", "key", "own"])
+            for at in range(0, batch.num_rows, _FINE_ROWS):
+                some = batch.slice(at, _FINE_ROWS)
+                who, keys, own = _fine_keys(*c.flat(some.column("text")), max_edits, near)
+                order = np.lexsort((~own, keys, who))
+                who, keys, own = who[order], keys[order], own[order]
+                new = np.ones(len(who), bool)
+                new[1:] = (who[1:] != who[:-1]) | (keys[1:] != keys[:-1])
+                line = some.column("line").take(pa.array(who[new]))
+                yield pa.RecordBatch.from_arrays([line, pa.array(keys[new].view(np.int64)), pa.array(own[new])], ["line", "key", "own"])
 
     return send
 
@@ -406,7 +409,13 @@ def _verify_fine(max_edits: int):
         rank[np.lexsort((lines.column("place").to_numpy(), lines.column("doc_id").to_numpy()))] = np.arange(len(first))
         keys, own = table.column("key").to_numpy(), table.column("own").to_numpy(zero_copy_only=False)
         data = np.append(data, np.uint8(_NEWLINE))
-        near = _with_earlier(keys, index, own, rank, data, bounds[:-1], np.diff(bounds), max_edits)
+        near = np.zeros(len(first), bool)
+        # Keys of few own lines: these with all. Others: all in turn.
+        kind, of = np.unique(keys, return_inverse=True)
+        few = (np.bincount(of, own, len(kind)) <= _FEW)[of]
+        for chosen, find in ((few, _with_own), (~few, _with_earlier)):
+            if chosen.any():
+                near |= find(keys[chosen], index[chosen], own[chosen], rank, data, bounds[:-1], np.diff(bounds), max_edits)
         bucket, blocks = table.column("bucket")[0].as_py(), lines.column("block").to_numpy()
         order, cuts = c.by_bucket(blocks[near])
         found = hashes[near][order].view(np.uint64)
@@ -415,23 +424,43 @@ def _verify_fine(max_edits: int):
     return verify
 
 
-def _refine(hot: DataFrame, max_edits: int, near: int, n_buckets: int, limit: int, levels=_FINE) -> DataFrame:
+def _with_own(keys, line, own, rank, data, starts, sizes, max_edits) -> np.ndarray:
+    """Lines that have an earlier one within the bound, where one of the two has their common key as its own."""
+    near = np.zeros(len(starts), bool)
+    order = np.argsort(keys, kind="stable")
+    keys, line, own = keys[order], line[order], own[order]
+    new = np.concatenate([[True], keys[1:] != keys[:-1]])
+    first = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    size = np.diff(np.append(first, len(keys)))
+    mine = np.flatnonzero(own)
+    for some in np.split(mine, np.flatnonzero(np.diff(np.cumsum(size[group[mine]]) // _TOGETHER)) + 1):
+        count = size[group[some]]
+        row = np.repeat(some, count)
+        other = np.repeat(first[group[some]], count) + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        a, b = line[row], line[other]
+        later, earlier = np.where(rank[a] > rank[b], a, b), np.where(rank[a] > rank[b], b, a)
+        fits = (a != b) & ~near[later] & (np.abs(sizes[a] - sizes[b]) <= max_edits)
+        pair = np.unique(later[fits] * len(starts) + earlier[fits])
+        later, earlier = pair // len(starts), pair % len(starts)
+        near[later[within(data, starts[earlier], sizes[earlier], starts[later], sizes[later], max_edits)]] = True
+    return near
+
+
+def _refine(hot: DataFrame, max_edits: int, near: int, n_buckets: int) -> DataFrame:
     """Lines with an earlier neighbour among lines of hot keys, back to their blocks."""
-    (size, most), *finer = levels
-    keys = hot.select("line", "text").mapInArrow(_send_fine(max_edits, near, size, most), "line long, key long, own boolean")
+    keys = hot.select("line", "text").mapInArrow(_send_fine(max_edits, near), "line long, key long, own boolean")
     held = keys.groupBy("key").agg(F.count("*").alias("lines"), F.max("own").alias("owned")).filter("owned").drop("owned")
     rarest = Window.partitionBy("line").orderBy("lines", "key")
     picked = keys.filter("own").join(held, "key").withColumn("rank", F.row_number().over(rarest)).filter(F.col("rank") <= max_edits + 1)
-    live = picked.filter("lines > 1").select("key", "lines").distinct()
+    live = picked.filter("lines > 1").groupBy("key").agg(F.max("lines").alias("lines"), F.count("*").alias("owners"))
     members = keys.select("line", "key", F.lit(False).alias("own")).unionByName(picked.select("line", "key", F.lit(True).alias("own")))
-    members = members.join(live, "key").groupBy("line", "key").agg(F.max("own").alias("own"), F.max("lines").alias("lines"))
-    dealt = (members.filter(F.col("lines") <= limit) if finer else members).join(hot, "line")
+    members = members.join(live, "key").groupBy("line", "key", "lines", "owners").agg(F.max("own").alias("own"))
+    parts = F.when(F.col("owners") <= _FEW, F.ceil(F.col("lines") / _DEALT)).otherwise(1).cast("int")
+    part = F.when(F.col("own"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("line"), parts).cast("int")))
+    dealt = members.withColumn("part", F.explode(part)).join(hot, "line").withColumn("key", F.xxhash64("key", "part"))
     dealt = dealt.withColumn("bucket", F.pmod("key", F.lit(n_buckets)).cast("int"))
-    found = dealt.groupBy("bucket").applyInArrow(_verify_fine(max_edits), x.BACK)
-    if finer:
-        again = members.filter(F.col("lines") > limit).select("line").distinct()
-        found = found.unionByName(_refine(hot.join(again, "line", "left_semi"), max_edits, near, n_buckets, limit, finer))
-    return found
+    return dealt.groupBy("bucket").applyInArrow(_verify_fine(max_edits), x.BACK)
 
 
 # The texts that stay.
@@ -503,7 +532,7 @@ def remove_repeated_lines(docs: DataFrame, max_edits: int = 2, near_bytes: int =
     candidates = candidates.applyInArrow(_send_candidates(max_edits, near_bytes, n_buckets), x.SENT).groupBy("bucket")
     near = candidates.applyInArrow(_verify(max_edits, n_buckets), x.BACK)
     hot = candidates.applyInArrow(_hot_lines(n_buckets), _HOT_LINES)
-    near = near.unionByName(_refine(hot, max_edits, near_bytes, n_buckets, HOT)).selectExpr("*", "1 AS kind")
+    near = near.unionByName(_refine(hot, max_edits, near_bytes, n_buckets)).selectExpr("*", "1 AS kind")
     counts = "doc_id long, n_lines long, n_removed long, "
     result = counts + ("kept_sha256 string" if digest else "kept string, removed array<long>")
     if keep:

@@ -186,9 +186,11 @@ def test_changed_copies_of_one_long_line(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "BLOCK_BYTES", 20_000)
     rng = random.Random(9)
     base = " ".join("".join(rng.choice("etaoinshr") for _ in range(5)) for _ in range(18))
-    changes = [(rng.randrange(len(base)), "".join(rng.choice("xyz") for _ in range(4))) for _ in range(250)]
-    changes += [(at, new[:-1] + "q") for at, new in rng.choices(changes, k=60)]
+    changes = [(rng.randrange(len(base)), "".join(rng.choice("xyz") for _ in range(4))) for _ in range(230)]
+    changes += [(at, new[:-1] + "q") for at, new in rng.choices(changes, k=40)]
     rows = [(i, base[:at] + new + base[at:]) for i, (at, new) in enumerate(changes)]
+    rows += [(400, base), (401, base[:-1] + "q")]
+    monkeypatch.setattr(line_dedup, "_DEALT", 50)
     df = spark.createDataFrame(rows, SCHEMA)
     assert collected(line_dedup.remove_repeated_lines(df, 2, digest=True)) == lines_left(rows, 2, 24)
 
