@@ -15,7 +15,7 @@ from shelftrack.plans.warehouse import Warehouse
 from shelftrack.sources import landing, pages, raw_table, run_stats, tables
 from shelftrack.sources.page_rules import PageRules
 from shelftrack.sources.page_tree import Field
-from shelftrack.streaming import landing_stream, streaming_upsert
+from shelftrack.streaming import landing_stream, state_upsert, streaming_upsert
 from workload import oracle_parts as sql
 from workload.book_tables import calendar, raw_books, shown, table
 from workload.model_queries import _FCT_SHOWN
@@ -413,3 +413,45 @@ def stream(spark, sf):
     scanned = landing_stream(spark, f"{root}/{fixed.LANDING_FOLDER}", _SOURCES, settle=0)
     streaming_upsert(scanned, warehouse, days, f"{root}/checkpoint").awaitTermination()
     return shown(warehouse.table("fct_book_prices").drop("price_day", "max_scraped_at_utc", "source"))
+
+
+_EVENT = "event_id, user_id, event_type, value, ts, day"
+
+
+def _streamed(spark, sf, pieces, late):
+    """Events written piece by piece, read as a stream of one piece a micro-batch into a table of the newest a user and day."""
+    root = _fresh(spark, "events-stream")
+    rows = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("day", F.to_date("ts"))
+    rows = rows.select(*_EVENT.split(", "))
+    for piece in pieces:
+        rows.filter(piece).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+    given = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+    state_upsert(given, f"{root}/daily", ["user_id", "day"], "ts", "day", f"{root}/checkpoint", late, "event_id").awaitTermination()
+    return shown(tables.read_table(spark, f"{root}/daily")).select(*_EVENT.split(", "))
+
+
+_NEWEST = (
+    f"SELECT event_id, user_id, event_type, value, {sql.when_text('ts')} AS ts, cast(cast(ts AS DATE) AS VARCHAR) AS day FROM {{rows}} "
+    "QUALIFY row_number() OVER (PARTITION BY user_id, cast(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1"
+)
+
+
+@query("stream_state_upsert", _NEWEST.format(rows="events"))
+def stream_state_upsert(spark, sf):
+    """Four micro-batches, each with rows of all days and many that came before: equal to one full load."""
+    pieces = [F.col("event_id") % 4 >= 2, F.col("event_id") % 4 <= 1, F.col("event_id") % 3 == 0, F.col("user_id") % 2 == 0]
+    return _streamed(spark, sf, pieces, "60 days")
+
+
+_EARLY = "(ts < TIMESTAMP '2024-01-20' AND event_type <> 'view')"
+
+
+@query(
+    "stream_late_rows",
+    f"WITH early AS (SELECT * FROM events WHERE {_EARLY}), mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 DAY AS bound FROM early), "
+    f"kept AS (SELECT * FROM early UNION ALL SELECT * FROM events WHERE NOT {_EARLY} AND ts > (SELECT bound FROM mark)) " + _NEWEST.format(rows="kept"),
+)
+def stream_late_rows(spark, sf):
+    """One type's rows come in the end; those more than five days behind the newest of two micro-batches before are ignored."""
+    early = (F.col("ts") < F.lit("2024-01-20").cast("timestamp")) & (F.col("event_type") != "view")
+    return _streamed(spark, sf, [early, early & (F.col("event_id") % 9 == 0), ~early], "5 days")
