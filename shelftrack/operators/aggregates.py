@@ -55,13 +55,43 @@ def price_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*means, *spreads)
 
 
-def upper_outliers(df: DataFrame, columns: Sequence[str], deviations: float = fixed.OUTLIER_DEVIATIONS) -> DataFrame:
+def moments(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    """Count, mean and sum of squared deviations of every column, a row for each value of ``by``.
+
+    Such rows of different days can be put together, see ``merged_statistics``.
+    """
+    cells = []
+    for c in columns:
+        v = F.col(c).cast("double")
+        cells += [F.count(v).alias(f"n_{c}"), F.avg(v).alias(f"mean_{c}"), (F.var_pop(v) * F.count(v)).alias(f"squares_{c}")]
+    return df.groupBy(by).agg(*cells)
+
+
+def merged_statistics(parts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``price_statistics`` of all rows that ``moments`` was taken of.
+
+    Squares about the common mean are those about a part's own and the part's count times its
+    mean's squared distance; the means come first, so that no large numbers cancel.
+    """
+    weighted = [F.sum(F.col(f"n_{c}") * F.col(f"mean_{c}")) for c in columns]
+    centre = parts.agg(F.struct(*[(w / F.sum(f"n_{c}")).alias(c) for w, c in zip(weighted, columns)]).alias("mean")).scalar()
+    cells = []
+    for c in columns:
+        mean, n = centre.getField(c), F.sum(f"n_{c}")
+        squares = F.sum(F.col(f"squares_{c}") + F.col(f"n_{c}") * (F.col(f"mean_{c}") - mean) ** 2)
+        cells += [F.max(F.when(F.col(f"n_{c}") > 0, mean)).alias(f"avg_{c}"), F.when(n > 1, F.sqrt(squares / (n - 1))).alias(f"stddev_{c}")]
+    return parts.agg(*cells)
+
+
+def upper_outliers(
+    df: DataFrame, columns: Sequence[str], deviations: float = fixed.OUTLIER_DEVIATIONS, stats: DataFrame | None = None
+) -> DataFrame:
     """Rows in which any column lies more than ``deviations`` above its mean.
 
-    The one row of statistics comes in as a scalar subquery, not as a join. A
+    ``stats`` are statistics taken elsewhere, by default those of ``df``. The one row of statistics comes in as a scalar subquery, not as a join. A
     bound is NULL, and so excludes nothing, where the deviation is NULL or 0.
     """
-    stats = price_statistics(df, columns)
+    stats = price_statistics(df, columns) if stats is None else stats
     bounds = stats.select(
         F.struct(
             *[

@@ -79,7 +79,7 @@ def upsert_table(
     path: str,
     new: DataFrame,
     keys: Sequence[str],
-    partition: str,
+    partition: str | None,
     batch: str,
     newest_by: str | None = None,
 ) -> DataFrame:
@@ -88,7 +88,7 @@ def upsert_table(
     A batch whose name the table knows changes nothing, whatever came after it; a run that died
     before its load counted left the table as it was and is simply repeated.
     Batch names must not be used twice for different rows. ``partition`` is a date
-    column that the key determines. A new row replaces the old one of its key;
+    column that the key determines, None for a table without days. A new row replaces the old one of its key;
     with ``newest_by`` the later of the two stays (of equal ones the new), so that batches may come in any
     order. What the last load says of ``keys`` and ``newest_by`` holds for the table.
     """

@@ -7,10 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelftrack.operators.aggregates import merged_statistics, moments, upper_outliers
 from shelftrack.operators.upsert import full_refresh, newer_than, upsert_table
 from shelftrack.plans import marts
 from shelftrack.plans.staging import STG_KEYS, build_stg_books, one_per_scan
-from shelftrack.sources.tables import is_table, read_table, save_model, stored_rows
+from shelftrack.sources.tables import batch_rows, is_table, read_table, save_model, stored_rows
+
+
+PRICES = ("old_price", "discount_price")
 
 
 def build_models(raw: DataFrame, dim_date: DataFrame, as_of: Column | None = None) -> dict[str, DataFrame]:
@@ -103,6 +107,18 @@ class Warehouse:
             newest_by="max_scraped_at_utc",
         )
 
+    def update_price_moments(self, batch: str, columns: tuple[str, ...] = PRICES) -> DataFrame:
+        """Counts, means and squares of the prices of each day; of staging only the days that the batch touched are read."""
+        days = batch_rows(self.spark, self.path("stg_books"), batch).select("scrape_day").distinct()
+        # At most a row a day, so Spark prunes the other days before it reads.
+        touched = self.table("stg_books").join(F.broadcast(days), "scrape_day", "left_semi")
+        return upsert_table(self.spark, self.path("price_moments"), moments(touched, columns, "scrape_day"), ["scrape_day"], None, batch)
+
+    def price_outliers(self, columns: tuple[str, ...] = PRICES) -> DataFrame:
+        """Staged rows with a price far above the mean of all days, whose statistics come from the stored moments."""
+        stats = merged_statistics(self.table("price_moments"), columns)
+        return upper_outliers(self.table("stg_books"), columns, stats=stats)
+
     def rebuild_dimensions(self, dim_date: DataFrame) -> dict[str, DataFrame]:
         """Rewrite the small tables from staging; facts and staging stay."""
         stg = self.table("stg_books")

@@ -154,6 +154,16 @@ def stored_rows(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path.rstrip("/"))[0].drop(_NUMBER)
 
 
+def batch_rows(spark: SparkSession, path: str, batch: str) -> DataFrame:
+    """The rows one batch gave the table at ``path``; no other load is read. None of a batch that is not known."""
+    path = path.rstrip("/")
+    known = loads(spark, path)
+    found = known.filter(F.col("batch") == batch).select("load").first()
+    last = _last(known)
+    rows = spark.table(_files(spark, path, last.row.columns, last.row["keys"], last.row.day, last.row.buckets))
+    return rows.filter(F.col(_LOAD) == (found.load if found else "")).drop(_LOAD)
+
+
 def _read(spark: SparkSession, path: str):
     known = loads(spark, path)
     last = _last(known)

@@ -250,3 +250,17 @@ def test_empty_batch_changes_nothing(spark, rows, tmp_path):
     op.upsert_table(spark, path, first, ["k", "day"], "day", "one")
     after = op.upsert_table(spark, path, first.filter("v > 5"), ["k", "day"], "day", "none")
     assert rows(after, "k", "v") == [("a", 1)]
+
+
+def test_merged_moments(spark):
+    """Parts of very different sizes, one empty, one of a single value; large values with small spread."""
+    rng = random.Random(6)
+    rows = [(d, 1e9 + rng.gauss(d, 1), None if d == 2 else rng.random()) for d in range(5) for _ in range(1 + 40 * d)]
+    df = spark.createDataFrame(rows, "day int, a double, b double")
+    parts = op.moments(df, ["a", "b"], "day")
+    got = op.merged_statistics(parts, ["a", "b"]).first()
+    wanted = op.price_statistics(df, ["a", "b"]).first()
+    assert got.asDict() == pytest.approx(wanted.asDict(), rel=1e-6)
+    assert set(op.merged_statistics(parts.filter("day > 9"), ["a", "b"]).first()) == {None}
+    one = op.merged_statistics(parts.filter("day = 0"), ["a", "b"]).first()
+    assert one["avg_b"] == rows[0][2] and one["stddev_b"] is None
