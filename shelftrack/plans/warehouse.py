@@ -7,11 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelftrack.functions.text import not_blank, split_list
 from shelftrack.operators.aggregates import merged_statistics, moments, upper_outliers
+from shelftrack.operators.ranking import latest_per_key
 from shelftrack.operators.upsert import full_refresh, newer_than, upsert_table
 from shelftrack.plans import marts
 from shelftrack.plans.staging import STG_KEYS, build_stg_books, one_per_scan
-from shelftrack.sources.tables import batch_rows, is_table, read_table, save_model, stored_rows
+from shelftrack.sources.tables import add_load, batch_rows, is_known, is_table, read_table, save_model, stored_rows
 
 
 PRICES = ("old_price", "discount_price")
@@ -119,6 +121,39 @@ class Warehouse:
         stats = merged_statistics(self.table("price_moments"), columns)
         return upper_outliers(self.table("stg_books"), columns, stats=stats)
 
+    def update_dimensions(self, batch: str) -> None:
+        """Count what the batch's staged rows add to the support of every author, publisher and pair, and what those they replace take away.
+
+        To be called after the batch is staged. Only its own rows and those of the same keys before it
+        are read, of the days it touches.
+        """
+        staged, path = self.path("stg_books"), self.path("dimension_support")
+        if is_known(self.spark, path, batch):
+            return
+        new = batch_rows(self.spark, staged, batch)
+        days = F.broadcast(new.select("scrape_day").distinct())  # at most a row a day
+        old = read_table(self.spark, staged, before=batch).join(days, "scrape_day", "left_semi").join(new.select(*STG_KEYS), list(STG_KEYS), "left_semi")
+        signed = new.withColumn("n", F.lit(1).cast("long")).unionByName(old.withColumn("n", F.lit(-1).cast("long")))
+        authors = signed.select(F.lit("author").alias("kind"), "book_id", F.explode_outer(split_list("author")).alias("name"), "n")
+        publishers = signed.select(F.lit("publisher").alias("kind"), F.lit(None).cast("string").alias("book_id"), F.col("publisher").alias("name"), "n")
+        counted = authors.unionByName(publishers).filter(not_blank("name")).groupBy("kind", "book_id", "name").agg(F.sum("n").alias("n"))
+        latest = latest_per_key(new, ["book_id"], "scraped_at_utc")
+        upsert_table(self.spark, self.path("latest_scans"), latest, ["book_id"], None, batch, "scraped_at_utc")
+        # Last, as it is what makes the batch known.
+        add_load(counted.filter("n <> 0"), path, batch, ["book_id", "name"])
+
+    def dimensions(self) -> dict[str, DataFrame]:
+        """Authors, publishers, pairs and books as ``update_dimensions`` has counted them; what no row supports any more is gone."""
+        support = stored_rows(self.spark, self.path("dimension_support"))
+        support = support.groupBy("kind", "book_id", "name").agg(F.sum("n").alias("n")).filter("n > 0")
+        pairs = support.filter("kind = 'author'").select("book_id", F.col("name").alias("author_name"))
+        return {
+            "dim_authors": marts.build_dim_authors(pairs),
+            "dim_publishers": marts.build_dim_publishers(support.filter("kind = 'publisher'").select(F.col("name").alias("publisher"))),
+            "brg_book_author": marts.build_bridge(pairs),
+            "dim_books": marts.build_dim_books(read_table(self.spark, self.path("latest_scans"))),
+        }
+
     def rebuild_dimensions(self, dim_date: DataFrame) -> dict[str, DataFrame]:
         """Rewrite the small tables from staging; facts and staging stay."""
         stg = self.table("stg_books")

@@ -164,25 +164,27 @@ def batch_rows(spark: SparkSession, path: str, batch: str) -> DataFrame:
     return rows.filter(F.col(_LOAD) == (found.load if found else "")).drop(_LOAD)
 
 
-def _read(spark: SparkSession, path: str):
+def _read(spark: SparkSession, path: str, before: str | None = None):
     known = loads(spark, path)
     last = _last(known)
     if last is None:
         return spark.read.parquet(path), None
+    if before is not None:
+        known = known.filter(F.col("number") < known.filter(F.col("batch") == before).select("number").scalar())
     rows = spark.table(_files(spark, path, last.row.columns, last.row["keys"], last.row.day, last.row.buckets))
     names = [name for name in rows.columns if name != _LOAD]
     order = [part.split("` ")[0].strip("` ") for part in last.row.columns.split(", `")]
     names.sort(key=order.index)
-    if last.n == 1:
+    if last.n == 1 and before is None:
         rows = rows.filter(F.col(_LOAD) == last.row.load).withColumn(_NUMBER, F.lit(last.row.number))
     else:
         rows = rows.join(known.select(_LOAD, F.col("number").alias(_NUMBER)), _LOAD)
     return rows.select(*names, _NUMBER), last
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table at ``path``, the newest row of each key; without loads it is plain Parquet."""
-    rows, last = _read(spark, path.rstrip("/"))
+def read_table(spark: SparkSession, path: str, before: str | None = None) -> DataFrame:
+    """The table at ``path``, the newest row of each key; as it was ``before`` a batch, or now. Without loads it is plain Parquet."""
+    rows, last = _read(spark, path.rstrip("/"), before)
     if last is None:
         return rows
     if last.n > 1 and last.row["keys"]:

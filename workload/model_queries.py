@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from shelftrack.operators.aggregates import upper_outliers
@@ -105,6 +107,43 @@ def bridge(spark, sf):
     return models(spark, sf)["brg_book_author"]
 
 
+@query(
+    "dimensions_by_batch",
+    with_star(
+        "SELECT 'author' AS kind, NULL AS book_id, author_name AS name FROM dim_authors UNION ALL "
+        "SELECT 'publisher', NULL, publisher_name FROM dim_publishers UNION ALL "
+        "SELECT 'pair', book_id, author_id FROM brg UNION ALL SELECT 'book', book_id, title FROM dim_books"
+    ),
+)
+def dimensions_by_batch(spark, sf):
+    """Some scans come with wrong authors, publishers and titles and are corrected by a later batch; another batch comes twice: equal to a rebuild."""
+    from uuid import uuid4
+
+    from shelftrack.plans.warehouse import Warehouse
+
+    warehouse = Warehouse(spark, f"{shared_folder(spark)}/workload/{uuid4()}/warehouse")
+    raw, days = raw_books(spark, sf), calendar(spark, sf)
+    wrong = F.crc32("book_link") % 5 == 0
+    changed = {"author": F.lit("Neko Drugi, Treći"), "publisher": F.lit("nije ta"), "title": F.lit("pogrešno")}
+    early = F.col("scraped_at") <= F.lit("2024-01-15 12:00:00").cast("timestamp")
+    batches = {
+        "first": raw.filter(early).select(*(F.when(wrong, changed[c]).otherwise(F.col(c)).alias(c) if c in changed else c for c in raw.columns)),
+        "second": raw.filter(~early),
+        "third": raw.filter(early & wrong),
+    }
+    for batch in ("first", "second", "second", "third", "first"):
+        warehouse.apply_batch(batches[batch], days, batch, F.lit("2024-02-01 00:00:00").cast("timestamp"))
+        warehouse.update_dimensions(batch)
+    m = warehouse.dimensions()
+    none = F.lit(None).cast("string")
+    parts = [
+        ("author", none, "author_name", m["dim_authors"]), ("publisher", none, "publisher_name", m["dim_publishers"]),
+        ("pair", F.col("book_id"), "author_id", m["brg_book_author"]), ("book", F.col("book_id"), "title", m["dim_books"]),
+    ]
+    shown_parts = [df.select(F.lit(kind).alias("kind"), book.alias("book_id"), F.col(name).alias("name")) for kind, book, name, df in parts]
+    return reduce(lambda a, b: a.unionByName(b), shown_parts)
+
+
 @query("build_bridge_joined", _BRIDGE_SQL)
 def bridge_joined(spark, sf):
     m = models(spark, sf)
