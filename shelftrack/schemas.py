@@ -25,7 +25,7 @@ def landed_schema() -> T.StructType:
 
 
 def raw_schema() -> T.StructType:
-    """The raw table; ids are ``batch:row`` texts."""
+    """The raw table; ids are ``batch:file:record`` texts."""
     return _struct(
         ("id", _TEXT, False),
         ("title", _TEXT, False),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelftrack import fixed_values as fixed
 from shelftrack.functions.dates import seconds_between
+from shelftrack.schemas import stats_schema
 
 
 def run_stats(items: DataFrame, source: str, ts: str, requests: str | None = None, responses: str | None = None) -> DataFrame:
@@ -72,12 +73,9 @@ def write_stats_json(documents: DataFrame, root: str) -> None:
 
 
 def append_stats_table(stats: DataFrame, path: str, run_timestamp: Column | None = None) -> None:
-    """Append run stats to the monitoring table; its clock runs a fixed shift ahead of UTC."""
+    """Append run stats to the monitoring table, as declared; its clock runs a fixed shift ahead of UTC."""
     if run_timestamp is None:
         run_timestamp = F.current_timestamp() + F.make_dt_interval(hours=F.lit(fixed.MONITORING_CLOCK_SHIFT_HOURS))
-    (
-        stats.withColumn("run_timestamp", run_timestamp)
-        .withColumn("id", F.expr("uuid()"))
-        .write.mode("append")
-        .parquet(path)
-    )
+    rows = stats.withColumn("run_timestamp", run_timestamp).withColumn("id", F.expr("uuid()"))
+    # Times of sources without a zone are UTC.
+    rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stats_schema()]).write.mode("append").parquet(path)

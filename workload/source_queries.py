@@ -11,6 +11,7 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from shelftrack import fixed_values as fixed
+from shelftrack import schemas
 from shelftrack.plans.warehouse import Warehouse
 from shelftrack.sources import landing, pages, raw_table, run_stats, tables
 from shelftrack.sources.page_rules import PageRules
@@ -329,6 +330,39 @@ def save_model_view(spark, sf):
     return tables.scan(spark, "debtors").select("c_custkey", "c_name")
 
 
+def _columns_sql(name: str, columns, kind: str, rows: str) -> list[str]:
+    return [f"SELECT '{name}' AS tab, '{c}' AS col, '{kind}' AS kind, ({rows}) AS n_rows" for c in columns]
+
+
+_ALL_EVENTS, _ALL_TYPES = "SELECT count(*) FROM events", "SELECT count(DISTINCT event_type) FROM events"
+_DECLARED = [
+    *_columns_sql("record", fixed.RECORD_FIELDS, "string", _ALL_EVENTS),
+    *_columns_sql("raw", ("id", *fixed.RECORD_FIELDS), "string", _ALL_EVENTS),
+    *_columns_sql("raw", ("scraped_at",), "timestamp", _ALL_EVENTS),
+    *_columns_sql("stats", ("id", "spider_name"), "string", _ALL_TYPES),
+    *_columns_sql("stats", ("item_scraped_count", "response_received_count", "request_count"), "bigint", _ALL_TYPES),
+    *_columns_sql("stats", ("start_time", "finish_time", "run_timestamp"), "timestamp", _ALL_TYPES),
+    *_columns_sql("stats", ("duration",), "double", _ALL_TYPES),
+]
+
+
+@query("declared_schemas", " UNION ALL ".join(_DECLARED))
+def declared_schemas(spark, sf):
+    """The three declared schemas against tables as they are written: each declared column with its stored type and the table's rows."""
+    scanned = landing.scan_landing(spark, _landed(spark, sf), _SOURCES)
+    raw, monitoring = _fresh(spark, "raw"), _fresh(spark, "monitoring")
+    raw_table.append_raw(spark, scanned, raw, "first")
+    run_stats.append_stats_table(_run_stats(spark, sf), monitoring, F.lit("2024-02-01 02:00:00").cast("timestamp"))
+    stored = {"record": landing.records(scanned), "raw": raw_table.read_batch(spark, raw, "first"), "stats": tables.scan(spark, monitoring)}
+    declared = {"record": schemas.book_schema(), "raw": schemas.raw_schema(), "stats": schemas.stats_schema()}
+    found = []
+    for name, df in stored.items():
+        columns = [F.struct(F.lit(f.name).alias("col"), F.lit(df.schema[f.name].dataType.simpleString()).alias("kind")) for f in declared[name]]
+        rows = df.agg(F.count("*").alias("n_rows"))
+        found.append(rows.select(F.lit(name).alias("tab"), F.explode(F.array(*columns)).alias("c"), "n_rows").select("tab", "c.*", "n_rows"))
+    return landing.append_batches(found)
+
+
 # Pages.
 
 _RULES = PageRules(
