@@ -63,6 +63,24 @@ def per_source_cap(
     return _ranked(df, [source], order, n)
 
 
+def sample_per_source(df: DataFrame, n: int, key: str, source: str = "source") -> DataFrame:
+    """The ``n`` rows of each source whose keys have the smallest hashes; all, if it has no more.
+
+    Hashes are spread evenly, so of a source of many rows only those below twice the share that ``n``
+    is of it are ranked. Should that leave too few, its rows are ranked as a whole.
+    """
+    mark, left, total = F.xxhash64(key), "_left", "_total"
+    totals = df.groupBy(F.col(source).alias("_of")).agg(F.count("*").alias(total))
+    known = df.join(totals, F.col(source).eqNullSafe(F.col("_of"))).drop("_of")
+    share = mark.cast("double") / F.lit(2.0**64) + 0.5
+    few = known.filter(share * F.col(total) < 2.0 * n)
+    kept = few.groupBy(F.col(source).alias("_of"), total).agg(F.count("*").alias(left))
+    enough = kept.filter(F.col(left) >= F.least(F.lit(n), F.col(total))).select("_of")
+    same = F.col(source).eqNullSafe(F.col("_of"))
+    chosen = few.join(enough, same, "left_semi").unionByName(known.join(enough, same, "left_anti"))
+    return _ranked(chosen, [source], [mark, F.col(key)], n).drop(total)
+
+
 def top_k(df: DataFrame, by: Column | str, k: int, tiebreak: Sequence[Column | str] = ()) -> DataFrame:
     """The ``k`` largest values, NULLs first as in the default descending order of SQL stores."""
     return df.orderBy(as_column(by).desc_nulls_first(), *tiebreak).limit(k)

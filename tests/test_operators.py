@@ -6,6 +6,7 @@ from collections import Counter
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelftrack import operators as op
@@ -99,6 +100,17 @@ def test_upper_outliers(spark, rows):
     assert op.upper_outliers(df.filter("i < 0"), ["a"]).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 40, 300, 5000])
+def test_sample_per_source(spark, rows, n):
+    """The smallest hashes of each source, also of one whose hashes are all large and of a NULL one."""
+    df = spark.range(4000).select(F.when(F.col("id") % 10 > 0, "big").when(F.col("id") % 20 == 0, "small").alias("source"), F.col("id").alias("i"))
+    large = spark.range(20000).select(F.lit("large").alias("source"), (F.col("id") + 10000).alias("i"))
+    df = df.unionByName(large.filter(F.xxhash64("i") > 6 * 10**18))
+    ranked = Window.partitionBy("source").orderBy(F.xxhash64("i"), "i")
+    wanted = df.withColumn("r", F.row_number().over(ranked)).filter(F.col("r") <= n)
+    assert rows(op.sample_per_source(df, n, "i"), "source", "i") == rows(wanted, "source", "i")
+
+
 def test_watermark(spark, rows):
     t = lambda h: datetime(2024, 1, 1, h)
     new = spark.createDataFrame([("s", t(1)), ("s", t(3)), ("u", t(2)), ("w", t(1))], "src string, ts timestamp")
