@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelftrack.llm import common as c
-from shelftrack.operators.ranking import per_source_cap
+from shelftrack.operators.ranking import sample_per_source
 
 TRAIN_ROWS = 2000  # labelled documents per domain that the classifier sees at most
 SLOTS = 16384
@@ -72,7 +72,7 @@ def train(docs: DataFrame, labels: DataFrame, domains: list[str], rows: int = TR
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("domain").isin(domains))
     known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
     total = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
-    picked = per_source_cap(known, rows, [F.xxhash64("doc_id"), F.col("doc_id")], "domain").select("doc_id", "domain")
+    picked = sample_per_source(known, rows, "doc_id", "domain").select("doc_id", "domain")
     # At most rows times domains entries are broadcast.
     taught = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     slots = taught.select("domain", F.explode(words("text")).alias("word")).select("domain", _slot(F.col("word")).alias("slot"))
