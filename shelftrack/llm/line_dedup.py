@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from shelftrack.llm import common as c
 from shelftrack.llm import exchange as x
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 _NEWLINE = 10
 _TOGETHER = 1 << 15  # pairs verified at once
