@@ -28,7 +28,7 @@ from shelftrack.llm import common as c
 from shelftrack.llm.language import _pieces
 
 _MARK = "▁"
-_KEPT_UNITS = 1 << 20
+_KEPT_UNITS = 1 << 18
 
 
 class Machine:
