@@ -3,28 +3,31 @@
 A text's score is linear in its features: mean weights of its words' identities
 and shapes, both hashed, and a few proportions of the whole text. Of a pair of
 labelled texts the better one wins with the logistic of the difference of
-scores; descent on that loss over feature differences fits the weights. The
-quantile of scores that matches the share of poor texts becomes the threshold,
-and a logistic curve through it turns scores into numbers from 0 to 1.
+scores; descent on that loss over feature differences fits the weights. All
+labelled texts are dealt out over groups that tasks fit on their own, and the mean of their weights is
+the model. The quantile of the scores of all labelled texts that matches the share of poor ones becomes
+the threshold, and a logistic curve through it turns scores into numbers from 0 to 1.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelftrack.llm import common as c
 from shelftrack.llm.language import _pieces
-from shelftrack.operators.ranking import sample_per_source
 
-TRAIN_ROWS = 1500  # labelled documents per label that training sees at most
+TRAIN_ROWS = 1500  # labelled documents per label that a group holds, more or less
 CUT = 0.7
 _TABLE = 1 << 15
 _ROUNDS, _RATE, _DECAY = 60, 0.3, 1e-4
 _N_WHOLE = 10
 _PRIOR_WORDS = 3  # of weight zero, so that few words say little
+_LEAST = 200  # texts of the rarer label that a group has, if there are so many
+_BINS, _FEW = 4096, 10_000  # ranges that a quantile is looked for in, and rows it is then read from
 
 # Shapes: small and further letters as a, capitals as A, digits as 9, the rest as it is.
 _SHAPE = np.arange(256).astype(np.uint8)
@@ -100,11 +103,23 @@ class Model:
 
 def train(texts: list[str], good: np.ndarray, share_good: float) -> Model:
     """Fit on labelled texts; ``share_good`` is the share of good ones where they come from."""
-    model = Model(np.zeros(_TABLE), np.zeros(_N_WHOLE))
-    if not good.any() or good.all():
+    model, scores = _fit(pa.array(texts, pa.string()), good)
+    if scores is None:
         model.threshold = 1.0 if not good.any() else -1.0
         return model
-    word, form, first, whole = _features(pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())}))
+    rows = sorted((float(s), int(not g), int(g)) for s, g in zip(scores, good))
+    weights = (1 - share_good) / (~good).sum(), share_good / good.sum()
+    model.threshold = sum(_between(rows, weights, 1 - share_good + _SLIGHT)) / 2
+    model.scale = float(np.median(np.abs(scores - model.threshold))) or 1.0
+    return model
+
+
+def _fit(texts: pa.Array, good: np.ndarray) -> tuple[Model, np.ndarray | None]:
+    """A model of weights and the texts' scores; of one kind of label nothing is learnt."""
+    model = Model(np.zeros(_TABLE), np.zeros(_N_WHOLE))
+    if not good.any() or good.all():
+        return model, None
+    word, form, first, whole = _features(pa.RecordBatch.from_pydict({"text": texts}))
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
     key, times = np.unique(np.concatenate([doc * _TABLE + word, doc * _TABLE + form]), return_counts=True)
     doc, slot = key // _TABLE, key % _TABLE
@@ -124,19 +139,48 @@ def train(texts: list[str], good: np.ndarray, share_good: float) -> Model:
         slope = whole.T @ pull - _DECAY * model.whole
         seen_whole += slope**2
         model.whole += _RATE * slope / np.sqrt(seen_whole)
-    scores = np.bincount(doc, value * model.table[slot], len(texts)) + whole @ model.whole
-    model.threshold = _quantile(scores, np.where(good, share_good / good.sum(), (1 - share_good) / (~good).sum()), 1 - share_good)
-    model.scale = float(np.median(np.abs(scores - model.threshold))) or 1.0
-    return model
+    return model, np.bincount(doc, value * model.table[slot], len(texts)) + whole @ model.whole
 
 
-def _quantile(scores: np.ndarray, weights: np.ndarray, share: float) -> float:
-    """Midway between the scores on both sides of the weighted quantile."""
-    order = np.argsort(scores)
-    below = np.cumsum(weights[order])
-    at = int(np.searchsorted(below, share + 1e-12))
-    at = min(max(at, 1), len(scores) - 1)
-    return float((scores[order[at - 1]] + scores[order[at]]) / 2)
+_SLIGHT = 1e-12
+
+
+def _between(rows: list, weights: tuple[float, float], target: float, below: float = 0.0, last: float | None = None) -> tuple[float, float]:
+    """The values of the first row up to which weights add up to ``target`` and of the row before it.
+
+    ``rows`` are ascending values, each with its number of poor and of good rows; ``below`` is the weight
+    of what lies before them and ``last`` its greatest value. The first row of all counts as the second.
+    """
+    for i, (x, poor, good) in enumerate(rows):
+        if below + poor * weights[0] + good * weights[1] >= target or i == len(rows) - 1:
+            if below + weights[0 if poor else 1] < target and poor + good > 1:
+                return x, x
+            if last is not None:
+                return last, x
+            return x, x if poor + good > 1 or i + 1 == len(rows) else rows[i + 1][0]
+        below, last = below + poor * weights[0] + good * weights[1], x
+    raise ValueError("no rows")
+
+
+def _around(scored: DataFrame, x: Column, weights: tuple[float, float], target: float) -> tuple[float, float]:
+    """What ``_between`` says of all rows of ``scored``: ranges of values are counted, and the one that holds the place is cut again, until few rows are left."""
+    given = scored.select(x.alias("x"), "good")
+    poor, good = F.count(F.when(~F.col("good"), 1)).alias("poor"), F.count(F.when(F.col("good"), 1)).alias("good")
+    low, high, n = given.agg(F.min("x"), F.max("x"), F.count("*")).first()
+    below, last = 0.0, None
+    # A first range of one row may need the next value, so that one is never cut from the rest.
+    while n > _FEW and high > low:
+        place = F.least(F.floor((F.col("x") - low) / ((high - low) / _BINS)), F.lit(_BINS - 1))
+        ranges = given.filter(F.col("x").between(low, high)).groupBy(place.alias("place")).agg(F.min("x").alias("low"), F.max("x").alias("high"), poor, good)
+        ranges = sorted(ranges.collect(), key=lambda r: r.place)
+        for i, r in enumerate(ranges):
+            weight = r.poor * weights[0] + r.good * weights[1]
+            if below + weight >= target or i == len(ranges) - 1:
+                break
+            below, last = below + weight, r.high
+        low, high, n = r.low, r.high if last is not None or r.poor + r.good > 1 or i + 1 == len(ranges) else ranges[i + 1].low, r.poor + r.good
+    rows = given.filter(F.col("x").between(low, high)).groupBy("x").agg(poor, good).collect()
+    return _between(sorted((r.x, r.poor, r.good) for r in rows), weights, target, below, last)
 
 
 def _score(model: Model):
@@ -152,24 +196,80 @@ def _score(model: Model):
     return run
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[list[str], np.ndarray, float]:
+def _marks(labels: DataFrame) -> tuple[DataFrame, float]:
+    """The ids that may teach, each with whether its text is good, and the share of good ones."""
     marks = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    marks = marks.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
-    counts = {r.quality: r["count"] for r in marks.groupBy("quality").count().collect()}
-    picked = sample_per_source(marks, rows, "doc_id", "quality").select("doc_id", "quality")
-    known = {r.doc_id: r.quality for r in picked.collect()}
-    found = docs.filter(F.col("doc_id").isin(list(known))).select("doc_id", "text").collect() if known else []
-    found.sort(key=lambda r: (r.doc_id, r.text or ""))
-    good = np.array([known[r.doc_id] == 1 for r in found], bool)
-    return [r.text or "" for r in found], good, counts.get(1, 0) / max(1, sum(counts.values()))
+    marks = marks.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).select("doc_id", (F.col("quality") == 1).alias("good"))
+    counts = {r.good: r["count"] for r in marks.groupBy("good").count().collect()}
+    return marks, counts.get(True, 0) / max(1, sum(counts.values()))
+
+
+def _fit_group(group: pa.Table) -> pa.Table:
+    """The weights of one group's model that are not zero, and a row that counts the model; none of a group with one label."""
+    group = group.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
+    good = group.column("good").to_numpy(zero_copy_only=False).astype(bool)
+    model, scores = _fit(group.column("text").combine_chunks(), good)
+    weights = np.concatenate([model.table, model.whole, [float(scores is not None)]])
+    slots = np.flatnonzero(weights)
+    return pa.table({"slot": pa.array(slots.astype(np.int32)), "weight": pa.array(weights[slots])})
+
+
+def _raw(model: Model):
+    def run(batches):
+        for batch in batches:
+            for part in _pieces(batch):
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.raw(part))], ["doc_id", "raw"])
+
+    return run
+
+
+def train_all(docs: DataFrame, marks: DataFrame, share_good: float, rows: int = TRAIN_ROWS) -> Model:
+    """Fit on all rows of ``docs`` (``doc_id``, ``text``) that ``marks`` (``doc_id``, ``good``) has; ``share_good`` as in ``train``.
+
+    They are dealt out by a hash of the id over groups of about ``rows`` of the more frequent label. Where that
+    leaves a group with fewer than ``_LEAST`` of the other, its rows go to some further groups too, so that every
+    group has pairs. Threshold and scale come from the scores of all rows.
+    """
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    counts = {r.good: r["count"] for r in texts.select("doc_id").join(marks, "doc_id").groupBy("good").count().collect()}
+    n_good, n_poor = counts.get(True, 0), counts.get(False, 0)
+    model = Model(np.zeros(_TABLE), np.zeros(_N_WHOLE), 1.0 if not n_good else -1.0)
+    if not n_good or not n_poor:
+        return model
+    few, many = sorted((n_good, n_poor))
+    n_groups = -(-many // rows)
+    copies = max(1, min(n_groups, -(-_LEAST * n_groups // few)))
+    own = F.pmod(F.xxhash64("doc_id"), F.lit(n_groups))
+    last = F.when(F.col("good") == F.lit(n_good <= n_poor), copies - 1).otherwise(0)
+    group = F.explode(F.transform(F.sequence(F.lit(0), last), lambda step: F.pmod(own + step, F.lit(n_groups)).cast("int")))
+    # Merged whatever their size, so that neither side is ever sent through the driver.
+    known = texts.join(marks.hint("merge"), "doc_id").withColumn("group", group)
+    fitted = known.groupBy("group").applyInArrow(_fit_group, "slot int, weight double")
+    sums = np.zeros(_TABLE + _N_WHOLE + 1)
+    for r in fitted.groupBy("slot").agg(F.sum("weight").alias("weight")).collect():
+        sums[r.slot] = r.weight
+    n_models = max(1.0, sums[-1])
+    model.table, model.whole = sums[:_TABLE] / n_models, sums[_TABLE:-1] / n_models
+    # Every text is scored where it lies, as only ids and scores then need to meet the labels.
+    scores = texts.mapInArrow(_raw(model), texts.select("doc_id").schema.add("raw", "double"))
+    scored = scores.join(marks, "doc_id").select("good", "raw").persist(StorageLevel.DISK_ONLY)
+    try:
+        weights = (1 - share_good) / n_poor, share_good / n_good
+        model.threshold = sum(_around(scored, F.col("raw"), weights, 1 - share_good + _SLIGHT)) / 2
+        half = (n_good + n_poor) / 2 + 0.5
+        before, middle = _around(scored, F.abs(F.col("raw") - model.threshold), (1.0, 1.0), half)
+        model.scale = ((before + middle) / 2 if (n_good + n_poor) % 2 == 0 else middle) or 1.0
+    finally:
+        scored.unpersist()
+    return model
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """The quality of each document of ``doc_id`` and ``text``.
 
-    Pairs are drawn from at most ``rows`` documents per label of ``labels``
+    Pairs are drawn within groups of about ``rows`` documents per label of ``labels``
     (``doc_id``, ``quality`` 0 or 1) whose ``crc32`` of the id as text is not 2
-    modulo 4; the others are ``held_out``. The result has ``doc_id``,
+    modulo 4, of which every one is in a group; the others are ``held_out``. The result has ``doc_id``,
     ``held_out``, ``score`` from 0 to 1 and ``predicted``, 1 from the threshold up,
     which lies at ``CUT``.
 
@@ -180,7 +280,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     out. Repeated rows are scored alike; other columns are ignored.
     """
     c.ship(docs.sparkSession)
-    model = train(*_sampled(docs, labels, rows))
+    model = train_all(docs, *_marks(labels), rows)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
     return given.mapInArrow(_score(model), "doc_id long, held_out boolean, score double, predicted int")

@@ -5,6 +5,7 @@ import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +101,20 @@ def test_quality_pairs():
     assert (score[:40] >= quality.CUT).mean() > 0.95 and (score[40:] < quality.CUT).mean() > 0.95
 
 
+def test_quality_learns_from_every_label(spark, monkeypatch):
+    """Ten times as many labelled texts as a group holds: each text's own word has a weight, threshold and scale are those of all."""
+    monkeypatch.setattr(quality, "_FEW", 10)
+    monkeypatch.setattr(quality, "_BINS", 4)
+    monkeypatch.setattr(quality, "_LEAST", 15)
+    texts = [(i, f"own{i} " + ("fine words here" if i % 3 else "bad 9 9 9"), bool(i % 3)) for i in range(300)]
+    known = spark.createDataFrame(texts, "doc_id long, text string, good boolean")
+    model = quality.train_all(known.select("doc_id", "text"), known.select("doc_id", "good"), 2 / 3, rows=20)
+    slots, _, _, _ = quality._features(pa.RecordBatch.from_pydict({"text": [f"own{i}" for i in range(300)]}))
+    assert (model.table[slots] != 0).all()
+    raw = model.raw(pa.RecordBatch.from_pydict({"text": [t for _, t, _ in texts]}))
+    assert model.threshold == pytest.approx(np.sort(raw)[99:101].mean()) and model.scale == pytest.approx(np.median(np.abs(raw - model.threshold)))
+
+
 def test_quality_edges(spark):
     rows = [(1, "good words here", 9), (2, "BAD!! BAD!!", 9), (3, None, 9), (4, "", None), (4, "", None), (None, "x", 1), (5, "long " * 100000, 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, score int")
