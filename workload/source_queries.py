@@ -450,6 +450,7 @@ def stream(spark, sf):
 
 
 _EVENT = "event_id, user_id, event_type, value, ts, day"
+_PIECE_ROWS = 250_000
 
 
 def _streamed(spark, sf, pieces, late):
@@ -457,9 +458,12 @@ def _streamed(spark, sf, pieces, late):
     root = _fresh(spark, "events-stream")
     rows = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("day", F.to_date("ts"))
     rows = rows.select(*_EVENT.split(", "))
+    # Every piece gets as many files, few enough that the smallest fills them.
+    least = min(rows.select(*[F.count(F.when(piece, 1)) for piece in pieces]).first())
+    files = max(1, least // _PIECE_ROWS)
     for piece in pieces:
-        rows.filter(piece).coalesce(1).write.mode("append").parquet(f"{root}/landed")
-    given = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+        rows.filter(piece).repartition(files).write.mode("append").parquet(f"{root}/landed")
+    given = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/landed")
     state_upsert(given, f"{root}/daily", ["user_id", "day"], "ts", "day", f"{root}/checkpoint", late, "event_id").awaitTermination()
     return shown(tables.read_table(spark, f"{root}/daily")).select(*_EVENT.split(", "))
 
