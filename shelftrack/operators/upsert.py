@@ -41,8 +41,8 @@ def newer_than(
         return new
     marks = high_watermark(target, target_ts or ts, by, partition)
     if by is not None:
-        # One row per source: broadcast while small, else split by adaptive execution where rows pile up.
-        marked = new.join(marks, by, "left")
+        # One row per source, sent to where the rows lie: exchanged by it, all rows of a source would meet in one task.
+        marked = new.join(F.broadcast(marks), by, "left")
         return marked.filter(F.col("watermark").isNull() | (F.col(ts) > F.col("watermark"))).drop("watermark")
     least = F.lit(_BEFORE_ALL).cast(new.schema[ts].dataType)
     floor = marks.select(F.coalesce("watermark", least)).scalar()
