@@ -13,7 +13,7 @@ from shelftrack.operators.ranking import latest_per_key
 from shelftrack.operators.upsert import full_refresh, newer_than, upsert_table
 from shelftrack.plans import marts
 from shelftrack.plans.staging import STG_KEYS, build_stg_books, one_per_scan
-from shelftrack.sources.tables import add_load, batch_rows, is_known, is_table, read_table, save_model, stored_rows
+from shelftrack.sources.tables import add_load, batch_rows, is_counted, is_known, is_table, read_table, save_model, stored_rows
 
 
 PRICES = ("old_price", "discount_price")
@@ -99,10 +99,13 @@ class Warehouse:
 
         For loads that see every row once, such as a stream: rows are measured
         against the stored row of their own key, not against a global time, so
-        batches may come in any order and nothing is dropped as late.
+        batches may come in any order and nothing is dropped as late. The facts are
+        told from the rows as they were stored, so that texts are read once.
         """
         staged = one_per_scan(build_stg_books(raw, as_of, keep_instant=True))
         upsert_table(self.spark, self.path("stg_books"), staged, STG_KEYS, "scrape_day", batch)
+        if is_counted(self.spark, self.path("stg_books"), batch):
+            staged = batch_rows(self.spark, self.path("stg_books"), batch)
         daily = marts.build_fct_prices(staged, dim_date, keep_day=True)
         return upsert_table(
             self.spark, self.path("fct_book_prices"), daily, marts.FCT_KEYS, "price_day", batch,

@@ -95,6 +95,12 @@ def is_known(spark: SparkSession, path: str, batch: str) -> bool:
     return known is not None and bool(known.filter(F.col("batch") == batch).limit(1).count())
 
 
+def is_counted(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether the rows of a batch still count: it was loaded, and not before the last full refresh."""
+    known = loads(spark, path)
+    return known is not None and bool(known.filter(F.col("batch") == batch).limit(1).count())
+
+
 def is_table(spark: SparkSession, path: str) -> bool:
     """Whether a table lies at ``path``; one that cannot be read is no reason to say no."""
     try:
