@@ -101,11 +101,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_FILE_ROWS = 100_000
+
+
+def spread(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """The rows dealt out evenly, in parts of at most ``_FILE_ROWS``, equally many for every core.
+
+    A file of few bytes can hold millions of events, and a task takes no less than a row group:
+    what is made of them would be made by as many tasks as the file has groups.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores * max(1, -(-rows.count() // (cores * _FILE_ROWS))))
+
+
 def raw_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table, typed and stored as the loader leaves it; written once per session."""
     path = f"{shared_folder(prepare(spark))}/{spark.sparkContext.applicationId}/raw{sf_dir.replace('/', '-')}"
     if not is_table(spark, path):
-        scans = table(spark, sf_dir, "events")
+        scans = spread(spark, table(spark, sf_dir, "events").drop("props"))
         for step in (CENTS, DIGITS, PRICES, RAW_BOOKS):
             scans = scans.selectExpr(*step)
         scans = scans.withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
