@@ -295,3 +295,91 @@ def test_state_goes_on_where_it_was(spark, rows, tmp_path):
     assert arrive(("d", at(20), 1)) == sorted(now, key=repr)
     assert arrive(("a", at(5, 9), 99), ("e", at(10), 99), ("d", at(20, 5), 2)) == sorted([*now[:-1], ("d", day(20), 2)], key=repr)
     assert loads(spark, table).count() >= 4
+
+
+def test_state_of_a_bucket_is_one_value():
+    """Two thousand keys need one read, one write and one timer; half of them end together."""
+    import numpy as np
+    import pandas as pd
+    from shelftrack.streaming.state_stream import Newest
+
+    class Handle:
+        value, timers, writes = None, set(), 0
+
+        def getValueState(self, *_):
+            return self
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value, self.writes = value, self.writes + 1
+
+        def clear(self):
+            self.value = None
+
+        def registerTimer(self, at):
+            self.timers = self.timers | {at}
+
+        def deleteTimer(self, at):
+            self.timers = self.timers - {at}
+
+    class Mark:
+        at = 0
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    handle, mark, newest, n = Handle(), Mark(), Newest(), 2000
+    newest.init(handle)
+
+    def give(keys, stamps, ties=0):
+        part = pd.DataFrame({"v": keys, "newest_bucket": 0, "newest_key": [str(k) for k in keys], "newest_stamp": stamps, "newest_tie": ties})
+        return [sorted(out["v"]) for out in newest.handleInputRows((0,), iter([part.astype({"newest_stamp": "int64", "newest_tie": "int64"})] * 2), mark)]
+
+    keys = np.arange(n)
+    assert give(keys, (keys + 1) * 1000) == [list(range(n))]
+    assert handle.writes == 1 and handle.timers == {n // 2 + 1}
+    assert give(keys, (keys + 1) * 1000) == [] and handle.writes == 1
+    assert give([5, 7, n], [5999, 8000, 1], [9, 1, 0]) == [[7, n]]
+    mark.at = max(handle.timers)
+    handle.timers = set()
+    list(newest.handleExpiredTimer((0,), mark, None))
+    known, timer = newest._read()
+    assert len(known) == n // 2 and handle.timers == {timer}
+    mark.at, handle.timers = n + 1, set()
+    list(newest.handleExpiredTimer((0,), mark, None))
+    assert handle.value is None and handle.timers == set()
+
+
+def test_batch_facts_come_from_stored_rows(spark, raw, tmp_path, monkeypatch):
+    from shelftrack.plans import marts
+
+    seen, build = [], marts.build_fct_prices
+    monkeypatch.setattr(marts, "build_fct_prices", lambda stg, *a, **k: seen.append(stg.inputFiles()) or build(stg, *a, **k))
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    warehouse.apply_batch(raw, marts.build_dim_date(spark, AS_OF), "first")
+    assert seen[0] and all("stg_books" in file for file in seen[0])
+
+
+def test_watermarks_of_sources_leave_rows_where_they_lie(spark):
+    from shelftrack.operators.upsert import newer_than
+
+    rows = spark.range(100).selectExpr("id", "id % 5 AS source", "timestamp_seconds(id) AS ts")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = newer_than(rows, rows.filter("id < 50"), "ts", by="source")
+        assert "BroadcastHashJoin" in fresh._jdf.queryExecution().executedPlan().toString() and fresh.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_raw_rows_of_one_file_are_dealt_out(spark, tmp_path):
+    from workload.book_tables import spread
+
+    spark.range(5000).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    parts = spread(spark, spark.read.parquet(str(tmp_path / "rows"))).rdd.glom().map(len).collect()
+    assert len(parts) == spark.sparkContext.defaultParallelism and max(parts) <= 2 * 5000 / len(parts)
